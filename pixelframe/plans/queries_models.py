@@ -1,0 +1,196 @@
+"""Queries for estimators, tuning and model explanation (F2).
+
+Exact oracles exist for special cases with closed forms: weighted logistic
+regression on one binary feature (log odds ratio of weight sums), ridge on
+one feature (Spark's label-scaled penalty), a one-split GBT (best variance
+reduction) and k-fold CV of that ridge.  The full models are rows-only.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from pixelframe.operators import prep
+from pixelframe.operators import report as RP
+from pixelframe.plans import sqltext as S
+from pixelframe.plans import tuning as TU
+from pixelframe.plans.models import gbt_regressor, linear_regression, logistic_regression, staged_estimator
+from pixelframe.plans.queries_prep import prepared, weighted
+from pixelframe.plans.registry import register
+from pixelframe.plans.workflows import run_workflow
+from pixelframe.sources.pixels import FEATURES
+from pixelframe.sources.testdata import F2_KEYS
+
+
+def _vec(df, cols, out="features"):
+    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
+
+
+# ---- exact special cases ------------------------------------------------------
+
+@register("logit_odds", "M1", sql=f"""
+SELECT ROUND(LN((w11 * w00) / (w10 * w01)), 6) AS coefficient, ROUND(LN(w01 / w00), 6) AS intercept
+FROM (SELECT SUM(classWeightCol) FILTER (WHERE lst > 40 AND label = 1) AS w11,
+             SUM(classWeightCol) FILTER (WHERE lst > 40 AND label = 0) AS w10,
+             SUM(classWeightCol) FILTER (WHERE NOT lst > 40 AND label = 1) AS w01,
+             SUM(classWeightCol) FILTER (WHERE NOT lst > 40 AND label = 0) AS w00
+      FROM ({S.WEIGHTED_SQL}) w) s""")
+def logit_odds(spark, sf_dir):
+    w = weighted(spark, sf_dir).withColumn("x", (F.col("lst") > 40).cast("double"))
+    est = logistic_regression(features_col="features", reg_param=0.0, max_iter=1000, tol=1e-12)
+    m = est.fit(_vec(w, ["x"]))
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 6), round(float(m.intercept), 6))],
+                                 "coefficient DOUBLE, intercept DOUBLE")
+
+
+def _ridge_sql(where: str = "TRUE") -> str:
+    return f"""
+SELECT reg_param, ROUND(slope, 10) AS slope, ROUND(my - slope * mx, 10) AS intercept
+FROM (SELECT g.reg_param, s.mx, s.my, s.cxy / s.vx / (1E0 + g.reg_param / SQRT(s.vy)) AS slope
+      FROM (SELECT AVG(lst) AS mx, AVG(label) AS my, VAR_POP(lst) AS vx, VAR_POP(label) AS vy,
+                   COVAR_POP(lst, label) AS cxy FROM ({S.PREPARED_SQL}) p WHERE {where}) s,
+           (SELECT UNNEST([0E0, 0.3E0]) AS reg_param) g) r"""
+
+
+@register("ridge_single", "M3", sql=_ridge_sql())
+def ridge_single(spark, sf_dir):
+    d = _vec(prepared(spark, sf_dir), ["lst"]).cache()
+    rows = []
+    for lam in (0.0, 0.3):
+        m = linear_regression(features_col="features", reg_param=lam).fit(d)
+        rows.append((lam, round(float(m.coefficients[0]), 10), round(float(m.intercept), 10)))
+    d.unpersist()
+    return spark.createDataFrame(rows, "reg_param DOUBLE, slope DOUBLE, intercept DOUBLE")
+
+
+@register("gbt_stump", "M4", sql=f"""
+WITH d AS (SELECT lst, COUNT(*) AS n, SUM(label) AS s FROM ({S.PREPARED_SQL}) p GROUP BY lst),
+c AS (SELECT lst, LEAD(lst) OVER (ORDER BY lst) AS nxt,
+             SUM(n) OVER (ORDER BY lst) AS nl, SUM(s) OVER (ORDER BY lst) AS sl,
+             SUM(n) OVER () AS nt, SUM(s) OVER () AS st FROM d),
+cand AS (SELECT (lst + nxt) / 2 AS thr, sl / nl AS lm, (st - sl) / (nt - nl) AS rm,
+                sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) AS gain FROM c WHERE nxt IS NOT NULL),
+best AS (SELECT * FROM cand ORDER BY gain DESC, thr LIMIT 1)
+SELECT d.lst, ROUND(CASE WHEN d.lst <= best.thr THEN best.lm ELSE best.rm END, 9) AS prediction
+FROM d, best""")
+def gbt_stump(spark, sf_dir):
+    d = _vec(prepared(spark, sf_dir), ["lst"])
+    model = gbt_regressor(features_col="features", max_iter=1, max_depth=1, max_bins=64).fit(d)
+    values = d.select("lst").distinct()
+    return (model.transform(_vec(values, ["lst"]))
+            .select("lst", F.round("prediction", 9).alias("prediction")))
+
+
+@register("cv_ridge", "U1,U3,X4", sql=f"""
+WITH p AS (SELECT lst AS x, label AS y, {S.fold(3)} AS fold FROM ({S.PREPARED_SQL}) q WHERE {S.split_flag(0.7)}),
+g AS (SELECT * FROM (VALUES (2, 0.01E0), (2, 0.03E0), (3, 0.01E0), (3, 0.03E0)) t(max_iter, reg_param)),
+fs AS (SELECT DISTINCT fold FROM p),
+st AS (SELECT fs.fold, AVG(x) AS mx, AVG(y) AS my, VAR_POP(x) AS vx, VAR_POP(y) AS vy, COVAR_POP(x, y) AS cxy
+       FROM fs JOIN p ON p.fold <> fs.fold GROUP BY fs.fold),
+m AS (SELECT g.max_iter, g.reg_param, st.fold, st.mx, st.my,
+             st.cxy / st.vx / (1E0 + g.reg_param / SQRT(st.vy)) AS slope FROM st, g),
+e AS (SELECT m.max_iter, m.reg_param, m.fold,
+             SQRT(AVG((m.my - m.slope * m.mx + m.slope * p.x - p.y) * (m.my - m.slope * m.mx + m.slope * p.x - p.y))) AS rmse
+      FROM m JOIN p ON p.fold = m.fold GROUP BY 1, 2, 3)
+SELECT max_iter, reg_param, ROUND(AVG(rmse), 8) AS avg_rmse FROM e GROUP BY 1, 2""")
+def cv_ridge(spark, sf_dir):
+    train, _ = prep.hash_split(prepared(spark, sf_dir), F2_KEYS, 0.7)
+    pipe, est = staged_estimator("linear", ["lst"], estimator=linear_regression(features_col="features"))
+    pipe.setStages(pipe.getStages()[:1] + [est])  # assembler only: closed form is in raw units
+    maps = TU.param_grid(est, TU.GRIDS["linear"]["cv"])
+    res = TU.cross_validation_search(pipe, maps, TU.rmse_evaluator(), train, F2_KEYS, 3)
+    rows = [(int(m[est.maxIter]), float(m[est.regParam]), round(float(v), 8))
+            for m, v in zip(res.maps, res.metrics)]
+    return spark.createDataFrame(rows, "max_iter INT, reg_param DOUBLE, avg_rmse DOUBLE")
+
+
+# ---- full models (rows-only) ----------------------------------------------------
+
+def _train(spark, sf_dir, weights=True):
+    data = weighted(spark, sf_dir) if weights else prepared(spark, sf_dir)
+    return prep.hash_split(data, F2_KEYS, 0.7)
+
+
+def _fit_explain(kind, spark, sf_dir):
+    weights = kind in ("logistic", "forest")
+    train, _ = _train(spark, sf_dir, weights)
+    pipe, _ = staged_estimator(kind, FEATURES, prep.WEIGHT_COL if weights else None)
+    model = pipe.fit(train)
+    table = (RP.coefficients(spark, model, FEATURES) if kind in ("logistic", "linear")
+             else RP.importances(spark, model, FEATURES))
+    return RP.rank_features(table)
+
+
+@register("fit_logistic", "M1,T4,E1,P10,O1")
+def fit_logistic(spark, sf_dir):
+    return _fit_explain("logistic", spark, sf_dir)
+
+
+@register("fit_forest", "M2,T4,E2,O1")
+def fit_forest(spark, sf_dir):
+    return _fit_explain("forest", spark, sf_dir)
+
+
+@register("fit_gbt", "M4,T4,E2,O1")
+def fit_gbt(spark, sf_dir):
+    return _fit_explain("gbt", spark, sf_dir)
+
+
+@register("fit_linear", "M3,T4,E1,O1")
+def fit_linear(spark, sf_dir):
+    return _fit_explain("linear", spark, sf_dir)
+
+
+@register("score_logistic", "E3,A9")
+def score_logistic(spark, sf_dir):
+    train, test = _train(spark, sf_dir)
+    pipe, _ = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
+    scored = RP.score(pipe.fit(train), test, keep=F2_KEYS)
+    return scored.select(*F2_KEYS, "label", "prediction", RP.positive_score().alias("score"))
+
+
+def _search(kind, method, spark, sf_dir):
+    weights = kind in ("logistic", "forest")
+    train, _ = _train(spark, sf_dir, weights)
+    pipe, est = staged_estimator(kind, FEATURES, prep.WEIGHT_COL if weights else None)
+    evaluator = TU.auc_evaluator() if weights else TU.rmse_evaluator()
+    maps = TU.param_grid(est, TU.GRIDS[kind][method])
+    if method == "tvs":
+        res = TU.train_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.TRAIN_RATIO)
+    else:
+        res = TU.cross_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.FOLDS[kind])
+    return res.metrics_frame(spark)
+
+
+def _register_search(kind, method):
+    items = "U1,U2,U4,X3" if method == "tvs" else "U1,U3,U4,U5,X4"
+
+    @register(f"tune_{method}_{kind}", items)
+    def q(spark, sf_dir):
+        return _search(kind, method, spark, sf_dir)
+    return q
+
+
+for _kind in ("logistic", "forest", "gbt", "linear"):
+    for _method in ("tvs", "cv"):
+        _register_search(_kind, _method)
+
+
+@register("best_params", "O2,U2")
+def best_params(spark, sf_dir):
+    m = _search("linear", "tvs", spark, sf_dir)
+    return RP.best_params(m, larger_better=False)
+
+
+def _register_workflow(kind):
+    @register(f"workflow_{kind}", "A13,E1-E5,U2,U3")
+    def q(spark, sf_dir):
+        res = run_workflow(spark, weighted(spark, sf_dir) if kind in ("logistic", "forest")
+                           else prepared(spark, sf_dir), kind, F2_KEYS)
+        return res.summary
+    return q
+
+
+for _kind in ("logistic", "forest", "gbt", "linear"):
+    _register_workflow(_kind)
