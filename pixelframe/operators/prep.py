@@ -151,3 +151,15 @@ def split_counts(df: DataFrame, split_col: str = "split", label: str = "label")
         F.count_if(lab == 0).alias("n_label0"),
         F.count_if(lab == 1).alias("n_label1"),
     )
+
+
+def spread(df: DataFrame, key_cols: Sequence[str], min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition on the row key when the frame has fewer partitions than
+    the cluster has cores, so iterative fits use every core.  A no-op for
+    large inputs, whose scans already yield many partitions; deterministic
+    (key hash), so retried tasks see the same rows.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *key_cols)

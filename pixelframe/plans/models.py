@@ -12,9 +12,13 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pixelframe.operators.features import scaling_stages
 from pixelframe.operators.prep import WEIGHT_COL
 
-# Trees grown by the forest/GBT keep lineage short with periodic
-# checkpoints into the session's checkpoint folder.
+# Trees grown by the forest/GBT cache each row's node id (cheaper than
+# shipping deep trees to executors every level) and checkpoint that cache
+# every CHECKPOINT_INTERVAL iterations into the session's checkpoint
+# folder, which keeps lineage short on long runs.
 CHECKPOINT_INTERVAL = 10
+# Memory for per-node histograms: more nodes split per pass over the data.
+TREE_MEMORY_MB = 512
 
 
 def logistic_regression(weight_col: str | None = WEIGHT_COL, features_col: str = "normFeatures",
@@ -33,8 +37,8 @@ def random_forest(weight_col: str | None = WEIGHT_COL, features_col: str = "feat
                   seed: int = 42, **kw) -> RandomForestClassifier:
     """Weighted random-forest classifier on unscaled features (M2); Spark defaults."""
     est = RandomForestClassifier(labelCol=label, featuresCol=features_col, numTrees=num_trees,
-                                 maxDepth=max_depth, maxBins=max_bins, seed=seed,
-                                 checkpointInterval=CHECKPOINT_INTERVAL, **kw)
+                                 maxDepth=max_depth, maxBins=max_bins, seed=seed, cacheNodeIds=True,
+                                 checkpointInterval=CHECKPOINT_INTERVAL, maxMemoryInMB=TREE_MEMORY_MB, **kw)
     if weight_col:
         est.setWeightCol(weight_col)
     return est
@@ -45,8 +49,8 @@ def gbt_regressor(weight_col: str | None = None, features_col: str = "normFeatur
                   step_size: float = 0.1, seed: int = 42, **kw) -> GBTRegressor:
     """Gradient-boosted regression trees on the 0/1 label, squared loss (M4)."""
     est = GBTRegressor(labelCol=label, featuresCol=features_col, maxIter=max_iter, maxDepth=max_depth,
-                       maxBins=max_bins, stepSize=step_size, seed=seed,
-                       checkpointInterval=CHECKPOINT_INTERVAL, **kw)
+                       maxBins=max_bins, stepSize=step_size, seed=seed, cacheNodeIds=True,
+                       checkpointInterval=CHECKPOINT_INTERVAL, maxMemoryInMB=TREE_MEMORY_MB, **kw)
     if weight_col:
         est.setWeightCol(weight_col)
     return est

@@ -8,6 +8,7 @@ reduction) and k-fold CV of that ridge.  The full models are rows-only.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -108,8 +109,10 @@ def cv_ridge(spark, sf_dir):
 # ---- full models (rows-only) ----------------------------------------------------
 
 def _train(spark, sf_dir, weights=True):
+    """Persisted, spread training rows (read by every stage and iteration) and test rows."""
     data = weighted(spark, sf_dir) if weights else prepared(spark, sf_dir)
-    return prep.hash_split(data, F2_KEYS, 0.7)
+    train, test = prep.hash_split(data, F2_KEYS, 0.7)
+    return prep.spread(train, F2_KEYS).persist(StorageLevel.MEMORY_AND_DISK), test
 
 
 def _fit_explain(kind, spark, sf_dir):
@@ -117,6 +120,7 @@ def _fit_explain(kind, spark, sf_dir):
     train, _ = _train(spark, sf_dir, weights)
     pipe, _ = staged_estimator(kind, FEATURES, prep.WEIGHT_COL if weights else None)
     model = pipe.fit(train)
+    train.unpersist()
     table = (RP.coefficients(spark, model, FEATURES) if kind in ("logistic", "linear")
              else RP.importances(spark, model, FEATURES))
     return RP.rank_features(table)
@@ -146,7 +150,9 @@ def fit_linear(spark, sf_dir):
 def score_logistic(spark, sf_dir):
     train, test = _train(spark, sf_dir)
     pipe, _ = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
-    scored = RP.score(pipe.fit(train), test, keep=F2_KEYS)
+    model = pipe.fit(train)
+    train.unpersist()
+    scored = RP.score(model, test, keep=F2_KEYS)
     return scored.select(*F2_KEYS, "label", "prediction", RP.positive_score().alias("score"))
 
 
@@ -157,9 +163,12 @@ def _search(kind, method, spark, sf_dir):
     evaluator = TU.auc_evaluator() if weights else TU.rmse_evaluator()
     maps = TU.param_grid(est, TU.GRIDS[kind][method])
     if method == "tvs":
-        res = TU.train_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.TRAIN_RATIO)
+        res = TU.train_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.TRAIN_RATIO,
+                                         TU.PARALLELISM)
     else:
-        res = TU.cross_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.FOLDS[kind])
+        res = TU.cross_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.FOLDS[kind],
+                                         TU.PARALLELISM)
+    train.unpersist()
     return res.metrics_frame(spark)
 
 
@@ -187,10 +196,35 @@ def _register_workflow(kind):
     @register(f"workflow_{kind}", "A13,E1-E5,U2,U3")
     def q(spark, sf_dir):
         res = run_workflow(spark, weighted(spark, sf_dir) if kind in ("logistic", "forest")
-                           else prepared(spark, sf_dir), kind, F2_KEYS)
+                           else prepared(spark, sf_dir), kind, F2_KEYS, parallelism=TU.PARALLELISM)
         return res.summary
     return q
 
 
 for _kind in ("logistic", "forest", "gbt", "linear"):
     _register_workflow(_kind)
+
+
+@register("stream_score_logistic", "E3")
+def stream_score_logistic(spark, sf_dir):
+    """Fit on the batch train rows, then score lineitem through a file stream."""
+    from pixelframe.session import scratch_path
+    from pixelframe.sources.testdata import sample_rows
+    from pixelframe.streaming import start_scoring
+    train, _ = _train(spark, sf_dir)
+    pipe, _ = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
+    model = pipe.fit(train)
+    train.unpersist()
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+    def prepare(stream):
+        s = prep.drop_zero_or_null(sample_rows(stream), FEATURES)
+        s = prep.select_features(s, FEATURES, label="burned", keep=F2_KEYS)
+        s = prep.drop_missing(s, FEATURES + ["label"])
+        return s.filter(~prep.split_flag(F2_KEYS, 0.7))
+
+    sink = scratch_path(spark, "scored-stream")
+    q = start_scoring(spark, model, f"{sf_dir}/lineitem*.parquet", lineitem.schema, sink,
+                      prepare=prepare, keep=F2_KEYS)
+    q.awaitTermination()
+    return spark.read.parquet(sink)

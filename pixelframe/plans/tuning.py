@@ -118,7 +118,7 @@ def cross_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
     """
     folded = with_fold(train, key_cols, k, col="fold")
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        numFolds=k, foldCol="fold", parallelism=parallelism, seed=seed)
     model = cv.fit(folded)
     return SearchResult("cross_validation", model.bestModel, maps, list(model.avgMetrics),
                         evaluator.isLargerBetter(), {"k": k})
@@ -160,3 +160,5 @@ GRIDS: dict[str, dict[str, dict[str, list]]] = {
 FOLDS = {"logistic": 5, "forest": 3, "gbt": 3, "linear": 3}
 TRAIN_RATIO = 0.8
 # ---------------------------------------------------------------------------
+# Candidate fits run concurrently (each is itself a distributed job).
+PARALLELISM = 4

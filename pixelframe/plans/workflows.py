@@ -58,7 +58,7 @@ def run_workflow(spark: SparkSession, data: DataFrame, kind: str, keys: Sequence
     if weight_col == "auto":
         weight_col = prep.WEIGHT_COL if kind in CLASSIFIERS else None
     train, test = prep.hash_split(data, keys, split)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = prep.spread(train, keys).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pipe, est = staged_estimator(kind, features, weight_col)
         classifier = kind in CLASSIFIERS

@@ -64,7 +64,11 @@ def pixel_grid_meta(spark: SparkSession, sf_dir: str) -> RasterMeta:
 
 def sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pixel-shaped sample table from lineitem (key, label, 8 features)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return sample_rows(read_table(spark, sf_dir, "lineitem"))
+
+
+def sample_rows(li: DataFrame) -> DataFrame:
+    """F2 projection of lineitem rows (batch or streaming)."""
     return li.select(
         *F2_KEYS,
         F.when(F.col("l_quantity") * F.col("l_extendedprice") > F2_BURN_PRODUCT, 1.0)

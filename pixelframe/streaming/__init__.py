@@ -1,0 +1,11 @@
+"""Structured Streaming entry points.
+
+The reference is batch-only; the one operator that carries over unchanged
+to a stream is scoring (E3), because a fitted pipeline is a stateless,
+row-wise transform.  New pixel files arriving in a folder are scored with
+the same plan a batch scoring job would use.
+"""
+
+from pixelframe.streaming.scoring import score_stream, start_scoring
+
+__all__ = ["score_stream", "start_scoring"]
