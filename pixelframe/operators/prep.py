@@ -143,13 +143,16 @@ def random_split(df: DataFrame, fractions: Sequence[float] = (0.7, 0.3),
     return df.randomSplit(list(fractions), seed)
 
 
-def split_counts(df: DataFrame, split_col: str = "split", label: str = "label") -> DataFrame:
-    """Rows and class counts per split value (A1 with A2), one aggregate."""
+def split_counts(df: DataFrame, split_col: str = "split", label: str = "label",
+                 extra: Sequence[Column] = ()) -> DataFrame:
+    """Rows and class counts per split value (A1 with A2), plus any ``extra``
+    aggregates, in one aggregate over one scan."""
     lab = F.col(label)
     return df.groupBy(split_col).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(lab == 0).alias("n_label0"),
         F.count_if(lab == 1).alias("n_label1"),
+        *extra,
     )
 
 

@@ -212,27 +212,26 @@ def resample_nearest(cells: DataFrame, pixels: DataFrame, meta: RasterMeta,
                      ) -> DataFrame:
     """Nearest-neighbour reprojection of all bands at once.
 
-    Each destination centre is inverse-projected and floored to the source
-    pixel containing it; the lookup is an equi-join on that pixel index.
-    Cells outside the source never enter the join (no null-key skew); they
-    and source nulls carry ``nodata``.  The pixel side is broadcast only if
-    its maximal size (width * height rows from the metadata) is under the
-    bound; otherwise Spark shuffles both sides on the pixel key (with AQE
-    skew handling for upsampling, where one pixel feeds many cells).
+    Each destination centre is inverse-projected once and floored to the
+    source pixel containing it; the lookup is a left equi-join on that
+    pixel index.  Cells outside the source get out-of-range (never null)
+    indices, so they spread over partitions like any other key, match
+    nothing and carry ``nodata``, as do source nulls.  No filter is put on
+    the projected index: Catalyst would push it below the projection and
+    evaluate the trigonometry twice.  The pixel side is broadcast only if
+    its maximal size (width * height rows, from the metadata) is under the
+    bound; otherwise both sides shuffle on the pixel key (AQE splits the
+    hot keys of upsampling, where one pixel feeds many cells).
     """
     nodata = meta.nodata if nodata is None else nodata
     fill = F.lit(None).cast("double") if nodata is None else F.lit(float(nodata))
     lon, lat = albers_inverse("x", "y", params)
     src_row, src_col = source_pixel(lon, lat, meta)
     located = cells.select(ROW, COL, src_row.alias("src_row"), src_col.alias("src_col"))
-    inside = (F.col("src_row").between(0, meta.height - 1) & F.col("src_col").between(0, meta.width - 1))
-
     src = pixels.select(F.col(ROW).alias("src_row"), F.col(COL).alias("src_col"),
                         *[F.col(b).cast("double").alias(b) for b in band_cols])
     est_bytes = meta.n_pixels * 8 * (len(band_cols) + 2)
     if est_bytes <= broadcast_max_bytes:
         src = F.broadcast(src)
-    hit = (located.filter(inside).join(src, ["src_row", "src_col"], "left")
-           .select(ROW, COL, *[F.coalesce(F.col(b), fill).alias(b) for b in band_cols]))
-    miss = located.filter(~inside).select(ROW, COL, *[fill.alias(b) for b in band_cols])
-    return hit.unionByName(miss)
+    return (located.join(src, ["src_row", "src_col"], "left")
+            .select(ROW, COL, *[F.coalesce(F.col(b), fill).alias(b) for b in band_cols]))

@@ -38,8 +38,7 @@ FROM (SELECT w.*, CASE WHEN {S.split_flag(0.7)} THEN 'train' ELSE 'test' END AS
 GROUP BY split""")
 def prepared_split_counts(spark, sf_dir):
     w = prep.with_split(weighted(spark, sf_dir), F2_KEYS, 0.7)
-    return (prep.split_counts(w)
-            .join(w.groupBy("split").agg(F.round(F.sum("classWeightCol"), 6).alias("weight_sum")), "split"))
+    return prep.split_counts(w, extra=[F.round(F.sum(prep.WEIGHT_COL), 6).alias("weight_sum")])
 
 
 @register("drop_zero_or_null", "P3", sql=f"SELECT * FROM ({F2_SQL}) f2 WHERE {S.nonzero()}")
