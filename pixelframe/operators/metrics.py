@@ -52,18 +52,27 @@ def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pre
 def label_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per true label: support, precision, recall, F1.
 
-    One shuffle builds the (label, prediction) count matrix; everything after
-    works on #labels² rows.  Precision of label L uses all rows predicted L.
+    One shuffle builds the (label, prediction) count matrix; each matrix
+    cell is then counted once for its true label (support, tp) and once for
+    its predicted label, and re-grouped — #labels² rows, no join, one scan.
+    Precision of label L uses all rows predicted L.
     """
     cm = pred.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(
         F.count(F.lit(1)).alias("n"))
-    actual = cm.groupBy("l").agg(F.sum("n").alias("support"),
-                                 F.sum(F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    predicted = cm.groupBy(F.col("p").alias("l")).agg(F.sum("n").alias("n_predicted"))
-    m = actual.join(F.broadcast(predicted), "l", "left").fillna(0, ["n_predicted"])
+    zero = F.lit(0).cast("long")
+    roles = F.explode(F.array(
+        F.struct(F.col("l").alias("k"), F.col("n").alias("support"),
+                 F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(zero).alias("tp"),
+                 zero.alias("n_predicted")),
+        F.struct(F.col("p").alias("k"), zero.alias("support"), zero.alias("tp"),
+                 F.col("n").alias("n_predicted"))))
+    m = (cm.select(roles.alias("r")).select("r.*").groupBy("k")
+         .agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+              F.sum("n_predicted").alias("n_predicted"))
+         .filter(F.col("support") > 0))
     precision = safe_ratio("tp", "n_predicted")
     recall = safe_ratio("tp", "support")
-    return (m.select(F.col("l").alias(label), "support", "tp", "n_predicted",
+    return (m.select(F.col("k").alias(label), "support", "tp", "n_predicted",
                      precision.alias("precision"), recall.alias("recall"))
             .withColumn("f1", safe_ratio(F.lit(2.0) * F.col("precision") * F.col("recall"),
                                          F.col("precision") + F.col("recall"))))
@@ -95,16 +104,26 @@ def auc_roc(pred: DataFrame, label: str = "label", score: str | Column = "score"
             rows_per_bucket: int = AUC_ROWS_PER_BUCKET) -> DataFrame:
     """Exact area under the ROC curve with ties counted half.
 
-    AUC = Σ_s pos_s · (neg_below_s + ½ neg_s) / (P · N) over distinct scores s.
-    Distinct scores are counted first; when there are more than
-    ``rows_per_bucket`` of them they are cut into quantile buckets
-    (``percentile_approx`` over distinct scores, so a score shared by many
-    rows is still one row) and the running negative count is a per-bucket
-    window plus a broadcast table of bucket offsets (at most
-    ``AUC_MAX_BUCKETS`` rows).  Equals Spark ML's evaluator with
-    ``numBins=0``; the default evaluator down-samples the curve.
+    Equals Spark ML's evaluator with ``numBins=0``; the default evaluator
+    down-samples the curve.  The input is scanned once: the per-score counts
+    are checkpointed into the shared checkpoint folder (cutting lineage) and
+    every later step reads them.
+    """
+    g = score_counts(pred, label, score).checkpoint(eager=True)
+    return auc_from_counts(g, rows_per_bucket)
+
+
+def auc_from_counts(g: DataFrame, rows_per_bucket: int = AUC_ROWS_PER_BUCKET) -> DataFrame:
+    """AUC from ``score, pos, neg`` with one row per distinct score.
+
+    AUC = Σ_s pos_s · (neg_below_s + ½ neg_s) / (P · N).  When there are more
+    than ``rows_per_bucket`` distinct scores they are cut into quantile
+    buckets (``percentile_approx`` over distinct scores, so a score shared by
+    many rows is still one row) and the running negative count is a
+    per-bucket window plus a broadcast table of bucket offsets (at most
+    ``AUC_MAX_BUCKETS`` rows); no task ever holds more than about
+    ``rows_per_bucket`` scores.
     """
-    g = score_counts(pred, label, score)
     n_distinct = g.count()
     below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     if n_distinct <= rows_per_bucket:
@@ -169,13 +188,25 @@ def classifier_summary(models: Mapping[str, tuple[DataFrame, str | Column]], lab
     """One row per model: precision, recall, F1, accuracy, AUC.
 
     ``models`` maps a model name to (scored frame, score column/expression).
-    Every metric is a one-row aggregate; they are unioned as (model, metric,
-    value) rows and pivoted back, so no join is needed.
+    Each model's rows are scanned once into (score, prediction, label)
+    counts, checkpointed; the confusion counts and the AUC both come from
+    that table.  Models are unioned as (model, metric, value) rows and
+    pivoted back, so no join is needed.
     """
     parts = []
     for name, (df, score) in models.items():
-        parts.append(_long(binary_metrics(df, label, prediction), name, SUMMARY_METRICS[:4]))
-        parts.append(_long(auc_roc(df, label, score), name, ["auc"]))
+        s = F.col(score) if isinstance(score, str) else score
+        spl = (df.groupBy(s.alias("score"), F.col(prediction).alias(prediction), F.col(label).alias(label))
+               .agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+        cm = spl.groupBy(prediction, label).agg(F.sum("n").alias("n"))
+        lab, prd = F.col(label), F.col(prediction)
+        conf = cm.agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(a) for a, c in (
+            ("tp", (prd == 1) & (lab == 1)), ("fp", (prd == 1) & (lab == 0)),
+            ("tn", (prd == 0) & (lab == 0)), ("fn", (prd == 0) & (lab == 1)))])
+        g = spl.groupBy("score").agg(F.sum(F.when(lab > 0.5, F.col("n")).otherwise(0)).alias("pos"),
+                                     F.sum(F.when(lab <= 0.5, F.col("n")).otherwise(0)).alias("neg"))
+        parts.append(_long(metrics_from_counts(conf), name, SUMMARY_METRICS[:4]))
+        parts.append(_long(auc_from_counts(g), name, ["auc"]))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)

@@ -58,16 +58,25 @@ def to_long(wide: DataFrame, band_cols: Sequence[str]) -> DataFrame:
     return wide.select(ROW, COL, cells.alias("b")).select("b.band", ROW, COL, "b.value")
 
 
+def _band_columns(n_bands: int, names: Sequence[str] | None) -> list[Column]:
+    """One aggregate per band: the pivot on known band numbers, written as
+    conditional aggregates so it is a single aggregation (``pivot`` plans two)."""
+    names = list(names) if names else [f"Band_{i}" for i in range(1, n_bands + 1)]
+    if len(names) != n_bands:
+        raise ValueError(f"{len(names)} names for {n_bands} bands")
+    return [F.max(F.when(F.col("band") == F.lit(i + 1), F.col("value"))).alias(n)
+            for i, n in enumerate(names)]
+
+
 def stack_bands(long: DataFrame, n_bands: int, names: Sequence[str] | None = None) -> DataFrame:
     """Long -> wide: one column per band, ``Band_1..Band_n`` by default.
 
-    ``pivot`` with explicit values: no extra job to discover the bands.
-    Shuffles on (row_px, col_px); each group holds at most ``n_bands`` rows.
+    One shuffle on (row_px, col_px) with map-side partial aggregation; each
+    group holds at most ``n_bands`` rows (one value per band and pixel).
     """
-    names = list(names) if names else [f"Band_{i}" for i in range(1, n_bands + 1)]
-    wide = (long.groupBy(ROW, COL).pivot("band", list(range(1, n_bands + 1)))
-            .agg(F.first("value")))
-    return wide.select(*[F.col(str(i + 1)).alias(n) for i, n in enumerate(names)], ROW, COL)
+    cols = _band_columns(n_bands, names)
+    wide = long.groupBy(ROW, COL).agg(*cols)
+    return wide.select(*[c for c in wide.columns if c not in (ROW, COL)], ROW, COL)
 
 
 def to_tiles(long: DataFrame, tile: int = 50) -> DataFrame:
@@ -91,12 +100,13 @@ def to_tiles(long: DataFrame, tile: int = 50) -> DataFrame:
                     F.transform("rows", lambda r: r["vals"]).alias("values")))
 
 
-def flatten_tiles(tiles: DataFrame, tile: int = 50) -> DataFrame:
+def flatten_tiles(tiles: DataFrame, tile: int = 50, keep_tile: bool = False) -> DataFrame:
     """Tiles -> long ``band, row_px, col_px, value`` (G7): two ``posexplode``s, no shuffle."""
     t = F.lit(int(tile))
     r = tiles.select("band", "tile_row", "tile_col", F.posexplode("values").alias("r", "row_vals"))
     c = r.select("band", "tile_row", "tile_col", "r", F.posexplode("row_vals").alias("c", "value"))
-    return c.select("band", (F.col("tile_row") * t + F.col("r")).cast("int").alias(ROW),
+    extra = ["tile_row", "tile_col"] if keep_tile else []
+    return c.select("band", *extra, (F.col("tile_row") * t + F.col("r")).cast("int").alias(ROW),
                     (F.col("tile_col") * t + F.col("c")).cast("int").alias(COL), "value")
 
 
@@ -108,13 +118,10 @@ def stack_tiles(tiles: DataFrame, n_bands: int, tile: int = 50,
     the band pivot groups by keys that include the tile key, so it needs no
     second exchange.
     """
-    names = list(names) if names else [f"Band_{i}" for i in range(1, n_bands + 1)]
-    long = flatten_tiles(tiles.repartition("tile_row", "tile_col"), tile)
-    long = long.withColumn("tile_row", F.floor(F.col(ROW) / F.lit(tile)).cast("int")) \
-               .withColumn("tile_col", F.floor(F.col(COL) / F.lit(tile)).cast("int"))
-    wide = (long.groupBy("tile_row", "tile_col", ROW, COL)
-            .pivot("band", list(range(1, n_bands + 1))).agg(F.first("value")))
-    return wide.select(*[F.col(str(i + 1)).alias(n) for i, n in enumerate(names)], ROW, COL)
+    cols = _band_columns(n_bands, names)
+    long = flatten_tiles(tiles.repartition("tile_row", "tile_col"), tile, keep_tile=True)
+    wide = long.groupBy("tile_row", "tile_col", ROW, COL).agg(*cols)
+    return wide.select(*[c for c in wide.columns if c not in ("tile_row", "tile_col", ROW, COL)], ROW, COL)
 
 
 def band_overview(pixels: DataFrame, band: str, block: int) -> DataFrame:
