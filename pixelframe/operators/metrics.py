@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelframe.functions.exprs import safe_ratio
+from pixelframe.session import cut_lineage
 
 # AUC: distinct scores handled by one window partition before bucketing.
 AUC_ROWS_PER_BUCKET = 1_000_000
@@ -109,7 +110,7 @@ def auc_roc(pred: DataFrame, label: str = "label", score: str | Column = "score"
     are checkpointed into the shared checkpoint folder (cutting lineage) and
     every later step reads them.
     """
-    g = score_counts(pred, label, score).checkpoint(eager=True)
+    g = cut_lineage(score_counts(pred, label, score))
     return auc_from_counts(g, rows_per_bucket)
 
 
@@ -197,7 +198,8 @@ def classifier_summary(models: Mapping[str, tuple[DataFrame, str | Column]], lab
     for name, (df, score) in models.items():
         s = F.col(score) if isinstance(score, str) else score
         spl = (df.groupBy(s.alias("score"), F.col(prediction).alias(prediction), F.col(label).alias(label))
-               .agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+               .agg(F.count(F.lit(1)).alias("n")))
+        spl = cut_lineage(spl)
         cm = spl.groupBy(prediction, label).agg(F.sum("n").alias("n"))
         lab, prd = F.col(label), F.col(prediction)
         conf = cm.agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(a) for a, c in (

@@ -6,6 +6,7 @@ which is one partial+final aggregate producing a single row.
 
 from __future__ import annotations
 
+import math
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -156,13 +157,19 @@ def split_counts(df: DataFrame, split_col: str = "split", label: str = "label",
     )
 
 
-def spread(df: DataFrame, key_cols: Sequence[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition on the row key when the frame has fewer partitions than
-    the cluster has cores, so iterative fits use every core.  A no-op for
-    large inputs, whose scans already yield many partitions; deterministic
-    (key hash), so retried tasks see the same rows.
+def spread(df: DataFrame, key_cols: Sequence[str], min_rows_per_partition: int = 50_000,
+           max_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition on the row key when a frame has fewer partitions than
+    cores *and* enough rows to keep more tasks busy (about
+    ``min_rows_per_partition`` each), so iterative fits use the cluster.
+
+    Large inputs already come with many scan partitions: then this is a
+    no-op without any job.  Otherwise one count decides; the repartition is
+    by key hash, so retried tasks see the same rows.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = max_partitions or df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
+    if current >= target:
         return df
-    return df.repartition(target, *key_cols)
+    want = min(target, max(1, math.ceil(df.count() / min_rows_per_partition)))
+    return df if want <= current else df.repartition(want, *key_cols)

@@ -69,3 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` into the shared checkpoint folder and return a frame
+    that reads it back: later branches do not rescan the input, and a lost
+    executor does not replay the upstream plan.  (Never ``localCheckpoint``:
+    that keeps blocks on executors that may disappear.)"""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
