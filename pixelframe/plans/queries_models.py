@@ -146,7 +146,7 @@ def fit_linear(spark, sf_dir):
     return _fit_explain("linear", spark, sf_dir)
 
 
-@register("score_logistic", "E3,A9")
+@register("score_logistic", "E3,P8,P9")
 def score_logistic(spark, sf_dir):
     train, test = _train(spark, sf_dir)
     pipe, _ = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
