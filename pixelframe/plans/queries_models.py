@@ -186,12 +186,6 @@ for _kind in ("logistic", "forest", "gbt", "linear"):
         _register_search(_kind, _method)
 
 
-@register("best_params", "O2,U2")
-def best_params(spark, sf_dir):
-    m = _search("linear", "tvs", spark, sf_dir)
-    return RP.best_params(m, larger_better=False)
-
-
 def _register_workflow(kind):
     @register(f"workflow_{kind}", "A13,E1-E5,U2,U3")
     def q(spark, sf_dir):
@@ -228,3 +222,42 @@ def stream_score_logistic(spark, sf_dir):
                       prepare=prepare, keep=F2_KEYS)
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+def _tvs_ridge_sql() -> str:
+    return f"""
+WITH p AS (SELECT lst AS x, label AS y, {S.split_flag(0.8, offset=9)} AS is_fit
+           FROM ({S.PREPARED_SQL}) q WHERE {S.split_flag(0.7)}),
+g AS (SELECT * FROM (VALUES (0, 2, 0.01E0), (1, 2, 0.03E0), (2, 3, 0.01E0), (3, 3, 0.03E0)) t(map_id, max_iter, reg_param)),
+st AS (SELECT AVG(x) AS mx, AVG(y) AS my, VAR_POP(x) AS vx, VAR_POP(y) AS vy, COVAR_POP(x, y) AS cxy
+       FROM p WHERE is_fit),
+m AS (SELECT g.map_id, g.max_iter, g.reg_param, st.mx, st.my,
+             st.cxy / st.vx / (1E0 + g.reg_param / SQRT(st.vy)) AS slope FROM st, g)
+SELECT m.map_id, m.max_iter, m.reg_param,
+       ROUND(SQRT(AVG((m.my - m.slope * m.mx + m.slope * p.x - p.y) * (m.my - m.slope * m.mx + m.slope * p.x - p.y))), 8) AS rmse
+FROM m JOIN p ON NOT p.is_fit GROUP BY 1, 2, 3"""
+
+
+def _tvs_ridge(spark, sf_dir):
+    train, _ = prep.hash_split(prepared(spark, sf_dir), F2_KEYS, 0.7)
+    pipe, est = staged_estimator("linear", ["lst"], estimator=linear_regression(features_col="features"))
+    pipe.setStages(pipe.getStages()[:1] + [est])  # assembler only: closed form is in raw units
+    maps = TU.param_grid(est, TU.GRIDS["linear"]["tvs"])
+    return TU.train_validation_search(pipe, maps, TU.rmse_evaluator(), train, F2_KEYS, TU.TRAIN_RATIO), est
+
+
+@register("tvs_ridge", "U1,U2,U4,X3", sql=_tvs_ridge_sql())
+def tvs_ridge(spark, sf_dir):
+    res, est = _tvs_ridge(spark, sf_dir)
+    rows = [(i, int(m[est.maxIter]), float(m[est.regParam]), round(float(v), 8))
+            for i, (m, v) in enumerate(zip(res.maps, res.metrics))]
+    return spark.createDataFrame(rows, "map_id INT, max_iter INT, reg_param DOUBLE, rmse DOUBLE")
+
+
+@register("best_params", "O2,U2", sql=f"SELECT * FROM ({_tvs_ridge_sql()}) r ORDER BY rmse, map_id LIMIT 1")
+def best_params(spark, sf_dir):
+    res, est = _tvs_ridge(spark, sf_dir)
+    rows = [(i, int(m[est.maxIter]), float(m[est.regParam]), round(float(v), 8))
+            for i, (m, v) in enumerate(zip(res.maps, res.metrics))]
+    table = spark.createDataFrame(rows, "map_id INT, max_iter INT, reg_param DOUBLE, rmse DOUBLE")
+    return RP.best_params(table, larger_better=False, metric="rmse")
