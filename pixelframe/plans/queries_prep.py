@@ -165,13 +165,13 @@ SELECT {k} AS k, {S.fold(k)} AS fold, COUNT(*) AS n_rows,
 FROM ({S.PREPARED_SQL}) p WHERE {S.split_flag(0.7)} GROUP BY 1, 2""" for k in (3, 5)))
 def fold_counts(spark, sf_dir):
     train, _ = prep.hash_split(prepared(spark, sf_dir), F2_KEYS, 0.7)
-    out = None
-    for k in (3, 5):
-        c = (prep.with_fold(train, F2_KEYS, k).groupBy("fold")
-             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("label") == 1).alias("n_label1"))
-             .select(F.lit(k).alias("k"), "fold", "n_rows", "n_label1"))
-        out = c if out is None else out.unionByName(c)
-    return out
+    f3 = prep.with_fold(train, F2_KEYS, 3, col="f3")
+    both = prep.with_fold(f3, F2_KEYS, 5, col="f5")
+    tagged = both.select(F.explode(F.array(
+        F.struct(F.lit(3).alias("k"), F.col("f3").alias("fold")),
+        F.struct(F.lit(5).alias("k"), F.col("f5").alias("fold")))).alias("t"), "label")
+    return (tagged.groupBy("t.k", "t.fold")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("label") == 1).alias("n_label1")))
 
 
 @register("random_split_counts", "X1")
