@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelframe.functions.exprs import all_present_nonzero, hash_bucket, key_hash
@@ -157,6 +157,24 @@ def split_counts(df: DataFrame, split_col: str = "split", label: str = "label",
     )
 
 
+def split_summary(df: DataFrame, split_col: str = "split", label: str = "label",
+                  weight_col: str = "weight_sum") -> DataFrame:
+    """Per-split rows, class counts and class-weight sums from a single scan.
+
+    The class weights depend on the global ratio n0 / (n0 + n1), but their
+    per-split sum does not need a weight column: it is
+    n1 * r + (n - n1) * (1 - r).  The ratio comes from a window over the
+    per-split aggregate (a handful of rows), so the pixel table is read once
+    instead of once for the ratio and once for the counts.
+    """
+    per = split_counts(df, split_col, label)
+    every = Window.partitionBy()
+    n0, n1 = F.sum("n_label0").over(every), F.sum("n_label1").over(every)
+    r = n0.cast("double") / (n0 + n1)
+    w = F.col("n_label1") * r + (F.col("n_rows") - F.col("n_label1")) * (F.lit(1.0) - r)
+    return per.withColumn(weight_col, w)
+
+
 def spread(df: DataFrame, key_cols: Sequence[str], min_rows_per_partition: int = 50_000,
            max_partitions: int | None = None) -> DataFrame:
     """Hash-repartition on the row key when a frame has fewer partitions than

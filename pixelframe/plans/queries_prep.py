@@ -37,8 +37,8 @@ FROM (SELECT w.*, CASE WHEN {S.split_flag(0.7)} THEN 'train' ELSE 'test' END AS
       FROM ({S.WEIGHTED_SQL}) w) s
 GROUP BY split""")
 def prepared_split_counts(spark, sf_dir):
-    w = prep.with_split(weighted(spark, sf_dir), F2_KEYS, 0.7)
-    return prep.split_counts(w, extra=[F.round(F.sum(prep.WEIGHT_COL), 6).alias("weight_sum")])
+    s = prep.split_summary(prep.with_split(prepared(spark, sf_dir), F2_KEYS, 0.7))
+    return s.withColumn("weight_sum", F.round("weight_sum", 6))
 
 
 @register("drop_zero_or_null", "P3", sql=f"SELECT * FROM ({F2_SQL}) f2 WHERE {S.nonzero()}")
