@@ -168,23 +168,33 @@ def boundary_points(spark: SparkSession, meta: RasterMeta, densify: int = 21) ->
     return spark.range(0, 4 * densify, numPartitions=1).select(x.alias("lon"), y.alias("lat"))
 
 
-def target_grid_frame(spark: SparkSession, meta: RasterMeta, resolution: float,
+def target_grid_frame(spark: SparkSession, meta: RasterMeta, resolution: float | None = None,
                       params: AlbersParams = CONUS_ALBERS, densify: int = 21) -> DataFrame:
     """Target grid (G1): projected extent of the densified source bounds,
-    top-left anchored, ``ceil`` to whole cells.  One row."""
+    top-left anchored, ``ceil`` to whole cells.  One row.
+
+    ``resolution=None`` keeps the cell count close to the source pixel
+    count: res = sqrt(projected extent area / (width * height)), so the
+    grid grows with the source raster.
+    """
     pts = boundary_points(spark, meta, densify)
     x, y = albers_forward("lon", "lat", params)
     ext = pts.select(x.alias("x"), y.alias("y")).agg(
         F.min("x").alias("min_x"), F.max("x").alias("max_x"),
         F.min("y").alias("min_y"), F.max("y").alias("max_y"))
-    r = F.lit(float(resolution))
+    if resolution is None:
+        r = F.sqrt((F.col("max_x") - F.col("min_x")) * (F.col("max_y") - F.col("min_y"))
+                   / F.lit(float(meta.n_pixels)))
+    else:
+        r = F.lit(float(resolution))
+    ext = ext.withColumn("res", r)
     return ext.select(
-        F.col("min_x").alias("left"), F.col("max_y").alias("top"), r.alias("res"),
-        F.ceil((F.col("max_x") - F.col("min_x")) / r).cast("int").alias("width"),
-        F.ceil((F.col("max_y") - F.col("min_y")) / r).cast("int").alias("height"))
+        F.col("min_x").alias("left"), F.col("max_y").alias("top"), "res",
+        F.ceil((F.col("max_x") - F.col("min_x")) / F.col("res")).cast("int").alias("width"),
+        F.ceil((F.col("max_y") - F.col("min_y")) / F.col("res")).cast("int").alias("height"))
 
 
-def target_grid(spark: SparkSession, meta: RasterMeta, resolution: float,
+def target_grid(spark: SparkSession, meta: RasterMeta, resolution: float | None = None,
                 params: AlbersParams = CONUS_ALBERS, densify: int = 21) -> TargetGrid:
     row = target_grid_frame(spark, meta, resolution, params, densify).first()
     return TargetGrid(float(row["left"]), float(row["top"]), float(row["res"]),

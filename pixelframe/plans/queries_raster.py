@@ -17,7 +17,7 @@ from pixelframe.sources.testdata import (
 )
 
 TILE = 50
-RESOLUTION = 10000.0  # metres; 10 km cells keep the F1 grid to ~10^4 cells
+RESOLUTION = None  # cell count ~ source pixel count, so the grid grows with the data
 DENSIFY = 21
 F1 = f"({F1_SQL}) f1"
 BANDS = ", ".join(f"{b} AS Band_{i + 1}" for i, b in enumerate(BAND_NAMES))
@@ -100,11 +100,14 @@ pts AS (SELECT CASE WHEN FLOOR(i / {DENSIFY}) <= 1 THEN l + (CAST(i % {DENSIFY}
                CASE WHEN FLOOR(i / {DENSIFY}) = 0 THEN bo WHEN FLOOR(i / {DENSIFY}) = 1 THEN t
                     ELSE bo + (CAST(i % {DENSIFY} AS DOUBLE) / {float(DENSIFY - 1)!r}E0) * (t - bo) END AS lat
         FROM ids, b),
-xy AS (SELECT {fx} AS x, {fy} AS y FROM pts)
-SELECT MIN(x) AS left_, MAX(y) AS top_, {RESOLUTION!r}E0 AS res,
-       CAST(CEIL((MAX(x) - MIN(x)) / {RESOLUTION!r}E0) AS INTEGER) AS width,
-       CAST(CEIL((MAX(y) - MIN(y)) / {RESOLUTION!r}E0) AS INTEGER) AS height
-FROM xy"""
+xy AS (SELECT {fx} AS x, {fy} AS y FROM pts),
+ext AS (SELECT MIN(x) AS min_x, MAX(x) AS max_x, MIN(y) AS min_y, MAX(y) AS max_y,
+               SQRT((MAX(x) - MIN(x)) * (MAX(y) - MIN(y)) / CAST(ANY_VALUE(m.width * m.height) AS DOUBLE)) AS res
+        FROM xy, meta m)
+SELECT min_x AS left_, max_y AS top_, res,
+       CAST(CEIL((max_x - min_x) / res) AS INTEGER) AS width,
+       CAST(CEIL((max_y - min_y) / res) AS INTEGER) AS height
+FROM ext"""
 
 
 def _cells_sql() -> str:
@@ -163,11 +166,12 @@ def albers_inverse_q(spark, sf_dir):
                                             F.round(lat, 7).alias("lat"))
 
 
-@register("target_grid", "G1,S7", sql=f"SELECT ROUND(left_, 3) AS left, ROUND(top_, 3) AS top, res, width, height FROM ({_grid_sql()}) g")
+@register("target_grid", "G1,S7", sql=f"SELECT ROUND(left_, 3) AS left, ROUND(top_, 3) AS top, ROUND(res, 6) AS res, width, height FROM ({_grid_sql()}) g")
 def target_grid(spark, sf_dir):
     meta = pixel_grid_meta(spark, sf_dir)
     g = R.target_grid_frame(spark, meta, RESOLUTION, densify=DENSIFY)
-    return g.select(F.round("left", 3).alias("left"), F.round("top", 3).alias("top"), "res", "width", "height")
+    return g.select(F.round("left", 3).alias("left"), F.round("top", 3).alias("top"),
+                    F.round("res", 6).alias("res"), "width", "height")
 
 
 @register("grid_cells", "G3", sql=f"SELECT row_px, col_px, ROUND(x, 3) AS x, ROUND(y, 3) AS y FROM ({_cells_sql()}) c")

@@ -87,7 +87,11 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
     part, and the best map is refitted on the whole ``train``.
     """
     fit_part, val_part = hash_split(train, key_cols, train_ratio, offset=offset)
-    fit_part, val_part = _persist(fit_part), _persist(val_part)
+    # When the caller already persisted ``train`` the parts are cheap filters
+    # of that cache; persisting them too would hold the data twice.
+    own = not train.is_cached
+    if own:
+        fit_part, val_part = _persist(fit_part), _persist(val_part)
     try:
         metrics = [0.0] * len(maps)
         if parallelism > 1:
@@ -101,8 +105,9 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
             for i, model in est.fitMultiple(fit_part, maps):
                 metrics[i] = evaluator.evaluate(model.transform(val_part))
     finally:
-        fit_part.unpersist()
-        val_part.unpersist()
+        if own:
+            fit_part.unpersist()
+            val_part.unpersist()
     res = SearchResult("train_validation", None, maps, metrics, evaluator.isLargerBetter())
     res.best_model = est.fit(train, maps[res.best_index])
     return res
