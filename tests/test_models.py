@@ -13,7 +13,7 @@ from pixelframe.sources.pixels import FEATURES
 from pixelframe.sources.testdata import F2_KEYS
 
 
-def test_grid_dedup_reference_cv_grid():
+def test_grid_dedup_reference_cv_grid(spark):
     _, est = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
     maps = TU.param_grid(est, TU.GRIDS["logistic"]["cv"])
     assert len(maps) == 18  # the reference grid has 24 maps, 6 of them duplicates
