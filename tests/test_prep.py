@@ -127,3 +127,24 @@ def test_schema_report(spark):
     df = spark.createDataFrame([(1.0, 2)], "a DOUBLE, b INT")
     rows = px.schema_report(df).collect()
     assert [(r.column_name, r.data_type) for r in rows] == [("a", "double"), ("b", "int")]
+
+
+def test_split_summary_equals_weight_column_sums(spark):
+    rows = [(i, float(i % 7 == 0), "train" if i % 3 else "test") for i in range(500)]
+    df = spark.createDataFrame(rows, "id INT, label DOUBLE, split STRING")
+    fast = {r.split: r for r in prep.split_summary(df).collect()}
+    w = prep.with_class_weight(df)
+    slow = {r.split: r.s for r in w.groupBy("split").agg(F.sum(prep.WEIGHT_COL).alias("s")).collect()}
+    for k in ("train", "test"):
+        assert fast[k].weight_sum == pytest.approx(slow[k], rel=1e-12)
+    assert sum(r.n_rows for r in fast.values()) == 500
+
+
+def test_spread_only_when_small_partition_count(spark):
+    one = spark.range(120_000).select(F.col("id").alias("k")).coalesce(1)
+    spread = prep.spread(one, ["k"], min_rows_per_partition=50_000, max_partitions=8)
+    assert spread.rdd.getNumPartitions() == 3
+    tiny = spark.range(100).select(F.col("id").alias("k")).coalesce(1)
+    assert prep.spread(tiny, ["k"], max_partitions=8).rdd.getNumPartitions() == 1
+    many = spark.range(1000, numPartitions=8).select(F.col("id").alias("k"))
+    assert prep.spread(many, ["k"], max_partitions=8) is many
