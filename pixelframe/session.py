@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library wants; cluster-level sizing
@@ -77,4 +78,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor does not replay the upstream plan.  (Never ``localCheckpoint``:
     that keeps blocks on executors that may disappear.)"""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted first, so the checkpoint write reads the cache instead of
+    # recomputing the plan a second time
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
