@@ -42,6 +42,7 @@ class WorkflowResult:
     scored: dict[str, DataFrame]
     summary: DataFrame
     explanations: dict[str, DataFrame] = field(default_factory=dict)
+    per_label: DataFrame | None = None  # classifiers: every label's precision/recall/F1 (D8)
 
 
 def run_workflow(spark: SparkSession, data: DataFrame, kind: str, keys: Sequence[str],
@@ -76,9 +77,12 @@ def run_workflow(spark: SparkSession, data: DataFrame, kind: str, keys: Sequence
         table = (RP.coefficients(spark, s.best_model, features) if kind in ("logistic", "linear")
                  else RP.importances(spark, s.best_model, features))
         explanations[name] = RP.rank_features(table)
+    per_label = None
     if classifier:
         summary = M.classifier_summary({n: (df, RP.positive_score()) for n, df in scored.items()})
+        parts = [M.label_metrics(df).selectExpr(f"'{n}' AS model", "*") for n, df in scored.items()]
+        per_label = parts[0].unionByName(parts[1])
     else:
         parts = [M.regression_metrics(df).selectExpr(f"'{n}' AS model", "*") for n, df in scored.items()]
         summary = parts[0].unionByName(parts[1])
-    return WorkflowResult(kind, searches, scored, summary, explanations)
+    return WorkflowResult(kind, searches, scored, summary, explanations, per_label)

@@ -105,3 +105,12 @@ def test_streaming_scoring_equals_batch(spark, tmp_path):
     batch = RP.score(model, test, keep=F2_KEYS).select(*F2_KEYS, "prediction")
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_classifier_workflow_reports_every_label(spark):
+    grids = {"tvs": {"regParam": [0.01]}, "cv": {"regParam": [0.01, 0.1]}}
+    res = run_workflow(spark, weighted(spark, SF_SMALL), "logistic", F2_KEYS, grids=grids, k=2)
+    labels = {(r.model, r.label) for r in res.per_label.collect()}
+    assert labels == {(m, l) for m in ("TrainValidationSplit", "CrossValidator") for l in (0.0, 1.0)}
+    s = {r.model: r for r in res.summary.collect()}
+    assert all(0.5 < r.auc <= 1.0 for r in s.values())
