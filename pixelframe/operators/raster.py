@@ -225,8 +225,8 @@ def source_pixel(lon: Column, lat: Column, meta: RasterMeta) -> tuple[Column, Co
 
 def resample_nearest(cells: DataFrame, pixels: DataFrame, meta: RasterMeta,
                      band_cols: Sequence[str], params: AlbersParams = CONUS_ALBERS,
-                     nodata: float | None = None, broadcast_max_bytes: int = BROADCAST_MAX_BYTES
-                     ) -> DataFrame:
+                     nodata: float | None = None, broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+                     join_hint: str | None = None) -> DataFrame:
     """Nearest-neighbour reprojection of all bands at once.
 
     Each destination centre is inverse-projected once and floored to the
@@ -238,17 +238,24 @@ def resample_nearest(cells: DataFrame, pixels: DataFrame, meta: RasterMeta,
     evaluate the trigonometry twice.  The pixel side is broadcast only if
     its maximal size (width * height rows, from the metadata) is under the
     bound; otherwise both sides shuffle on the pixel key (AQE splits the
-    hot keys of upsampling, where one pixel feeds many cells).
+    hot keys of upsampling, where one pixel feeds many cells), or, with
+    ``join_hint="merge"`` on a table bucketed by the pixel index, only the
+    cells shuffle.
     """
     nodata = meta.nodata if nodata is None else nodata
     fill = F.lit(None).cast("double") if nodata is None else F.lit(float(nodata))
     lon, lat = albers_inverse("x", "y", params)
     src_row, src_col = source_pixel(lon, lat, meta)
     located = cells.select(ROW, COL, src_row.alias("src_row"), src_col.alias("src_col"))
-    src = pixels.select(F.col(ROW).alias("src_row"), F.col(COL).alias("src_col"),
-                        *[F.col(b).cast("double").alias(b) for b in band_cols])
+    src = pixels.select(ROW, COL, *[F.col(b).cast("double").alias(b) for b in band_cols])
     est_bytes = meta.n_pixels * 8 * (len(band_cols) + 2)
     if est_bytes <= broadcast_max_bytes:
         src = F.broadcast(src)
-    return (located.join(src, ["src_row", "src_col"], "left")
-            .select(ROW, COL, *[F.coalesce(F.col(b), fill).alias(b) for b in band_cols]))
+    elif join_hint:
+        src = src.hint(join_hint)
+    # join on the source's own index columns, so a table bucketed by
+    # (row_px, col_px) keeps its bucketing and only the cells are shuffled
+    on = (F.col("c.src_row") == F.col("s." + ROW)) & (F.col("c.src_col") == F.col("s." + COL))
+    joined = located.alias("c").join(src.alias("s"), on, "left")
+    return joined.select(F.col("c." + ROW).alias(ROW), F.col("c." + COL).alias(COL),
+                         *[F.coalesce(F.col("s." + b), fill).alias(b) for b in band_cols])

@@ -186,6 +186,19 @@ def resample_nearest(spark, sf_dir):
     return R.resample_nearest(R.grid_cells(spark, grid), pixel_grid(spark, sf_dir), meta, BAND_NAMES)
 
 
+@register("resample_bucketed", "G4,G5,S9", sql=_resample_sql())
+def resample_bucketed(spark, sf_dir):
+    """The large-raster path: source pixels in a table bucketed by pixel index,
+    no broadcast; only the destination cells are shuffled."""
+    from pixelframe.sources.raster import write_pixels_bucketed
+    meta, grid = _grid(spark, sf_dir)
+    path = scratch_path(spark, "pixels-bucketed")
+    table = "pixels_bucketed_" + path.rsplit("-", 1)[-1]
+    pixels = write_pixels_bucketed(pixel_grid(spark, sf_dir), table, path, buckets=8)
+    return R.resample_nearest(R.grid_cells(spark, grid), pixels, meta, BAND_NAMES, broadcast_max_bytes=0,
+                              join_hint="merge")
+
+
 @register("resample_nodata", "G6", sql=" UNION ALL ".join(
     f"SELECT '{b}' AS band, COUNT(*) AS n_cells, COUNT(*) FILTER (WHERE {b} = {F1_NODATA!r}E0) AS n_nodata, "
     f"ROUND(SUM({b}) FILTER (WHERE {b} <> {F1_NODATA!r}E0), 6) AS valid_sum FROM ({_resample_sql()}) r"
