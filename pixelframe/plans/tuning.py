@@ -96,10 +96,17 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
         metrics = [0.0] * len(maps)
         if parallelism > 1:
             from multiprocessing.pool import ThreadPool
-            with ThreadPool(parallelism) as pool:
-                def one(i):
+            from pyspark import inheritable_thread_target
+
+            def task(i):
+                def run():
                     return i, evaluator.evaluate(est.fit(fit_part, maps[i]).transform(val_part))
-                for i, v in pool.imap_unordered(one, range(len(maps))):
+                return run
+            # each task carries the caller's Spark thread-local properties, as
+            # Spark's own tuners do in pinned-thread mode
+            tasks = map(inheritable_thread_target(train.sparkSession), (task(i) for i in range(len(maps))))
+            with ThreadPool(min(parallelism, len(maps))) as pool:
+                for i, v in pool.imap_unordered(lambda f: f(), tasks):
                     metrics[i] = v
         else:
             for i, model in est.fitMultiple(fit_part, maps):
