@@ -12,7 +12,7 @@ from pixelframe.session import scratch_path
 from pixelframe.sources.pixels import BAND_NAMES
 from pixelframe.sources.raster import read_band, write_pixels
 from pixelframe.sources.testdata import (
-    F1_LEFT, F1_NODATA, F1_SPAN_X, F1_SPAN_Y, F1_SQL, F1_TOP, F1_WIDTH, band_tiles,
+    F1_CRS, F1_LEFT, F1_NODATA, F1_SPAN_X, F1_SPAN_Y, F1_SQL, F1_TOP, F1_WIDTH, band_tiles,
     pixel_grid, pixel_grid_meta,
 )
 
@@ -141,6 +141,19 @@ def _grid(spark, sf_dir):
     return meta, R.target_grid(spark, meta, RESOLUTION, densify=DENSIFY)
 
 
+@register("raster_meta", "S7", sql=f"""
+SELECT '{F1_CRS}' AS crs, left_ AS "left", top_ AS top, xres, yres, width, height, 9 AS count,
+       {F1_NODATA!r}E0 AS nodata, 'float64' AS dtype,
+       left_ AS bound_left, top_ - height * yres AS bound_bottom, left_ + width * xres AS bound_right,
+       top_ AS bound_top, xres AS t_a, 0E0 AS t_b, left_ AS t_c, 0E0 AS t_d, -yres AS t_e, top_ AS t_f
+FROM ({_meta_sql()}) m""")
+def raster_meta(spark, sf_dir):
+    from pixelframe.sources.raster import raster_meta_frame
+    m = raster_meta_frame(spark, pixel_grid_meta(spark, sf_dir))
+    return m.select(*[c for c in m.columns if c != "transform"],
+                    *[F.col("transform")[i].alias(f"t_{k}") for i, k in enumerate("abcdef")])
+
+
 @register("albers_forward", "G2", sql=f"""
 SELECT row_px, col_px, lon, lat, ROUND({sql_forward('lon', 'lat')[0]}, 3) AS x, ROUND({sql_forward('lon', 'lat')[1]}, 3) AS y
 FROM (SELECT row_px, col_px, {F1_LEFT!r}E0 + (col_px + 0.5E0) * m.xres AS lon,
