@@ -76,20 +76,41 @@ def _persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _shared_prefix(est: Estimator, maps: list[dict[Param, Any]]):
+    """(prefix pipeline, last stage) when every searched param belongs to the
+    last stage of a Pipeline, else (None, est)."""
+    from pyspark.ml import Pipeline
+    if isinstance(est, Pipeline):
+        stages = est.getStages()
+        if len(stages) > 1:
+            last = stages[-1]
+            if all(p.parent == last.uid for m in maps for p in m):
+                return Pipeline(stages=stages[:-1]), last
+    return None, est
+
+
 def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator,
                             train: DataFrame, key_cols: Sequence[str], train_ratio: float = 0.8,
-                            parallelism: int = 1, offset: int = 9) -> SearchResult:
+                            parallelism: int = 1, offset: int = 9,
+                            share_prefix: bool = True) -> SearchResult:
     """Train/validation search then refit on all training rows.
 
     The fit/validation cut is a key hash (digits ``offset..offset+3``), so
-    it does not depend on partitioning.  All maps are fitted with
-    ``fitMultiple`` on the persisted fit part, scored on the validation
-    part, and the best map is refitted on the whole ``train``.
+    it does not depend on partitioning.  All maps are fitted on the fit part,
+    scored on the validation part, and the best map is refitted (whole
+    pipeline) on all of ``train``.  With ``share_prefix`` the parameter-free
+    stages of a Pipeline (assembler, scaler) are fitted once on the fit part
+    instead of once per map: same result, one pass less per map.
     """
     fit_part, val_part = hash_split(train, key_cols, train_ratio, offset=offset)
-    # When the caller already persisted ``train`` the parts are cheap filters
-    # of that cache; persisting them too would hold the data twice.
-    own = not train.is_cached
+    prefix, last = _shared_prefix(est, maps) if share_prefix else (None, est)
+    if prefix is not None:
+        prefix_model = prefix.fit(fit_part)
+        fit_part, val_part = prefix_model.transform(fit_part), prefix_model.transform(val_part)
+    # When the caller already persisted ``train`` and nothing was added to
+    # the rows, the parts are cheap filters of that cache; persisting them
+    # too would hold the data twice.
+    own = prefix is not None or not train.is_cached
     if own:
         fit_part, val_part = _persist(fit_part), _persist(val_part)
     try:
@@ -100,7 +121,7 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
 
             def task(i):
                 def run():
-                    return i, evaluator.evaluate(est.fit(fit_part, maps[i]).transform(val_part))
+                    return i, evaluator.evaluate(last.fit(fit_part, maps[i]).transform(val_part))
                 return run
             # each task carries the caller's Spark thread-local properties, as
             # Spark's own tuners do in pinned-thread mode
@@ -109,7 +130,7 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
                 for i, v in pool.imap_unordered(lambda f: f(), tasks):
                     metrics[i] = v
         else:
-            for i, model in est.fitMultiple(fit_part, maps):
+            for i, model in last.fitMultiple(fit_part, maps):
                 metrics[i] = evaluator.evaluate(model.transform(val_part))
     finally:
         if own:

@@ -114,3 +114,14 @@ def test_classifier_workflow_reports_every_label(spark):
     assert labels == {(m, l) for m in ("TrainValidationSplit", "CrossValidator") for l in (0.0, 1.0)}
     s = {r.model: r for r in res.summary.collect()}
     assert all(0.5 < r.auc <= 1.0 for r in s.values())
+
+
+def test_tvs_shared_prefix_equals_full_pipeline(spark):
+    train, _ = prep.hash_split(weighted(spark, SF_SMALL), F2_KEYS, 0.7)
+    pipe, est = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
+    maps = TU.param_grid(est, {"regParam": [0.01, 0.3], "elasticNetParam": [0.0, 1.0]})
+    assert TU._shared_prefix(pipe, maps)[0] is not None
+    a = TU.train_validation_search(pipe, maps, TU.auc_evaluator(), train, F2_KEYS, share_prefix=True)
+    b = TU.train_validation_search(pipe, maps, TU.auc_evaluator(), train, F2_KEYS, share_prefix=False)
+    assert a.metrics == pytest.approx(b.metrics, abs=1e-12)
+    assert a.best_index == b.best_index
