@@ -3,6 +3,8 @@ its DuckDB text."""
 
 from __future__ import annotations
 
+from pixelframe.llm.decontaminate import ORACLE as OP8_SQL, op8_decontaminate
+from pixelframe.llm.lines import ORACLE as OP6_SQL, op6_lines
 from pixelframe.llm.mixing import op1_mixing
 from pixelframe.llm.rules import op9_rules
 from pixelframe.llm.simhash import op10_simhash
@@ -11,8 +13,13 @@ from pixelframe.llm.urls import op2_urls
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_urls": op2_urls,
+    "op6_lines": op6_lines,
+    "op8_decontaminate": op8_decontaminate,
     "op9_rules": op9_rules,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_lines": OP6_SQL,
+    "op8_decontaminate": OP8_SQL,
+}
