@@ -4,6 +4,7 @@ its DuckDB text."""
 from __future__ import annotations
 
 from pixelframe.llm.decontaminate import ORACLE as OP8_SQL, op8_decontaminate
+from pixelframe.llm.html_text import op3_html
 from pixelframe.llm.lines import ORACLE as OP6_SQL, op6_lines
 from pixelframe.llm.mixing import op1_mixing
 from pixelframe.llm.rules import op9_rules
@@ -13,6 +14,7 @@ from pixelframe.llm.urls import op2_urls
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_urls": op2_urls,
+    "op3_html": op3_html,
     "op6_lines": op6_lines,
     "op8_decontaminate": op8_decontaminate,
     "op9_rules": op9_rules,
