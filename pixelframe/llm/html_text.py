@@ -3,8 +3,9 @@
 The block elements of a page form a tree; each is content or not.  A node's
 evidence is naive Bayes over its tag with its link density, the kinds of names
 in its class, id and role, its text length and sentence marks; a parent and a child
-share a 2x2 potential, one for children that hold text (paragraphs, headings,
-lists, cells) and one for the others.  All are counts over labelled pages.  Messages passed up
+share a 2x2 potential, with one table for children that hold text by their tag
+(paragraphs, headings, lists, cells), one for others with text of their own and
+one for the rest.  All are counts over labelled pages.  Messages passed up
 from the leaves and down from the root (sum-product) give each node's exact
 content marginal; text directly in a node with a marginal above 0.5 is kept.
 
@@ -185,16 +186,16 @@ def evidence(page: Page) -> list[list[str]]:
     return out
 
 
-def _holds_text(page: Page) -> list[bool]:
-    """Text tags, and other nodes with text of their own."""
+def _child_kind(page: Page) -> list[int]:
+    """1: tag that holds text, 2: other node with text of its own, 0: the rest."""
     own = {node for node, _ in page.runs}
-    return [tag in _TEXT_TAGS or i in own for i, tag in enumerate(page.tag)]
+    return [1 if tag in _TEXT_TAGS else 2 if i in own else 0 for i, tag in enumerate(page.tag)]
 
 
 @dataclass(frozen=True)
 class Model:
     prior: tuple[float, float]
-    edge: tuple  # edge[child holds text][parent label][child label]
+    edge: tuple  # edge[kind of child][parent label][child label]
     score: dict[str, tuple[float, float]]  # feature -> log P(feature | label)
     floor: dict[str, tuple[float, float]]  # by feature group, for unseen ones
 
@@ -202,7 +203,7 @@ class Model:
 def train(pages: list[str] | None = None, alpha: float = 0.1) -> Model:
     """Count potentials over pages whose main blocks carry ``data-main``; an
     outer node is content if half of its words are."""
-    edge = [[[alpha, alpha], [alpha, alpha]] for _ in range(2)]
+    edge = [[[alpha, alpha], [alpha, alpha]] for _ in range(3)]
     counts: dict[str, list[float]] = {}
     nodes = [0.0, 0.0]
     for source in labelled_pages() if pages is None else pages:
@@ -217,11 +218,11 @@ def train(pages: list[str] | None = None, alpha: float = 0.1) -> Model:
             total[page.parent[i]] += total[i]
             main[page.parent[i]] += main[i]
         label = [int(total[i] > 0 and 2 * main[i] >= total[i]) for i in range(n)]
-        holds = _holds_text(page)
+        kind = _child_kind(page)
         for i, found in enumerate(evidence(page)):
             nodes[label[i]] += 1
             if i:
-                edge[holds[i]][label[page.parent[i]]][label[i]] += 1
+                edge[kind[i]][label[page.parent[i]]][label[i]] += 1
             for f in found:
                 counts.setdefault(f, [0.0, 0.0])[label[i]] += 1
     groups = Counter(f.split("=")[0] for f in counts)
@@ -246,7 +247,7 @@ def marginals(page: Page, model: Model) -> list[float]:
             a, b = a + s[0], b + s[1]
         top = max(a, b)
         node.append((math.exp(a - top), math.exp(b - top)))
-    edges = [model.edge[t] for t in _holds_text(page)]
+    edges = [model.edge[t] for t in _child_kind(page)]
     inside = [list(x) for x in node]  # evidence of the node and all below it
     up = [(1.0, 1.0)] * n
     for i in range(n - 1, 0, -1):
