@@ -45,6 +45,9 @@ LAYOUTS = (
     """<body><div class="top-menu"><ul><li><a href="#">{t}</a></li></ul></div><div class="wrapper"><div class="post-content"><h1 data-main>{t}</h1>
 <div data-main>{p}</div><div data-main>{s}</div><ol><li data-main>{s}</li><li data-main>{t}</li></ol></div><div class="reviews">
 <div>{s}</div><ul><li>{p}</li></ul></div></div><div class="bottom copyright"><p>{s}</p><p class="copyright">{t}</p></div></body>""",
+    """<body><div class="menu"><div><a href="#">{t}</a></div><div><a href="#">{t}</a></div></div><div id="story"><h1 data-main>{t}</h1>
+<div data-main>{p}</div><div data-main>{s}</div><div data-main>{p}</div><div data-main>{s}</div><div data-main>{t}</div></div>
+<div class="related"><div><a href="#">{s}</a></div></div><div class="footer"><div>{s}</div></div></body>""",
 )
 WORDS = """time year people way day man thing woman life child world school state family student group country problem hand
 part place case week company system program question work number night point home water room mother area money story fact

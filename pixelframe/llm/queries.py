@@ -7,6 +7,8 @@ from pixelframe.llm.decontaminate import ORACLE as OP8_SQL, op8_decontaminate
 from pixelframe.llm.html_text import op3_html
 from pixelframe.llm.lines import ORACLE as OP6_SQL, op6_lines
 from pixelframe.llm.mixing import op1_mixing
+from pixelframe.llm.passages import op7_passages
+from pixelframe.llm.quality import op4_quality
 from pixelframe.llm.rules import op9_rules
 from pixelframe.llm.simhash import op10_simhash
 from pixelframe.llm.urls import op2_urls
@@ -15,7 +17,9 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_urls": op2_urls,
     "op3_html": op3_html,
+    "op4_quality": op4_quality,
     "op6_lines": op6_lines,
+    "op7_passages": op7_passages,
     "op8_decontaminate": op8_decontaminate,
     "op9_rules": op9_rules,
     "op10_simhash": op10_simhash,
