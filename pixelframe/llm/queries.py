@@ -6,6 +6,7 @@ from __future__ import annotations
 from pixelframe.llm.decontaminate import ORACLE as OP8_SQL, op8_decontaminate
 from pixelframe.llm.html_text import op3_html
 from pixelframe.llm.lines import ORACLE as OP6_SQL, op6_lines
+from pixelframe.llm.lm import op5_lm
 from pixelframe.llm.mixing import op1_mixing
 from pixelframe.llm.passages import op7_passages
 from pixelframe.llm.quality import op4_quality
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_urls": op2_urls,
     "op3_html": op3_html,
     "op4_quality": op4_quality,
+    "op5_lm": op5_lm,
     "op6_lines": op6_lines,
     "op7_passages": op7_passages,
     "op8_decontaminate": op8_decontaminate,
