@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelframe.functions.ranges import global_index
-from pixelframe.llm.base import WS, read_table, split_words, stored
+from pixelframe.llm.base import ROW, WS, read_table, split_words, stored, with_row_key
 
 WEIGHTS = (1.0, 2.0, 3.0)
 CAP = 3.0
@@ -193,6 +193,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 17,
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """Every row of ``docs`` as often as the mix takes it, with all its columns
+    and ``mix_copy``, the number of the copy from 1 on."""
+    rows = with_row_key(docs)
+    taken = stored(mix(rows, row_key=ROW, **options).where("copies > 0").select(
+        F.col("row_key").alias(ROW), F.col("copies").alias("__copies")), "copies")
+    out = rows.join(taken, ROW).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return out.select(*docs.columns, "mix_copy")
+
+
 def op1_mixing(spark, sf_dir) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies")
