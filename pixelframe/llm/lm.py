@@ -56,7 +56,7 @@ class _Numbers(dict):
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
