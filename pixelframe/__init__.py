@@ -10,9 +10,8 @@ sources    scans, sinks, catalog helpers, raster metadata and test fixtures
 functions  pure ``Column`` expressions (Albers projection, predicates, report formats)
 operators  DataFrame operators (data preparation, raster algebra, features, metrics, reports)
 plans      Spark ML estimators, pipelines, tuning and end-to-end workflows
-streaming  batch-equivalent scoring over Structured Streaming sources
 """
 
-from pixelframe.session import get_spark, checkpoint_dir, scratch_path, read_table
+from pixelframe.session import get_spark, checkpoint_dir, scratch_path, read_table, release_scratch
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "read_table"]
+__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "read_table", "release_scratch"]

@@ -1,7 +1,7 @@
-"""Pure ``Column`` expressions (no DataFrame, no driver action)."""
+"""``Column`` expressions, and order statistics over ranges (``ranges``)."""
 
 from pixelframe.functions.exprs import (
-    all_present_nonzero, is_missing, safe_ratio, percent_string, fixed_string,
+    safe_ratio, percent_string, fixed_string,
     key_hash, hash_bucket, round_doubles,
 )
 from pixelframe.functions.albers import (
@@ -9,7 +9,7 @@ from pixelframe.functions.albers import (
 )
 
 __all__ = [
-    "all_present_nonzero", "is_missing", "safe_ratio", "percent_string", "fixed_string",
+    "safe_ratio", "percent_string", "fixed_string",
     "key_hash", "hash_bucket", "round_doubles",
     "AlbersParams", "CONUS_ALBERS", "albers_forward", "albers_inverse",
 ]

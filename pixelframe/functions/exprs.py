@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -14,23 +13,6 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def all_present_nonzero(cols: Iterable[str | Column]) -> Column:
-    """AND over the columns of ``isNotNull & != 0`` (the row-keep rule).
-
-    NaN is neither null nor zero, so it passes; ``is_missing`` catches it.
-    """
-    conds = [_c(c).isNotNull() & (_c(c) != 0) for c in cols]
-    if not conds:
-        return F.lit(True)
-    return reduce(lambda a, b: a & b, conds)
-
-
-def is_missing(c: str | Column) -> Column:
-    """Null, or NaN for floating columns (what ``dropna`` removes)."""
-    col = _c(c)
-    return col.isNull() | F.isnan(col)
-
-
 def safe_ratio(num: str | Column, den: str | Column, default: float = 0.0) -> Column:
     """``num / den`` when ``den > 0`` else ``default``."""
     n, d = _c(num), _c(den)
@@ -48,8 +30,8 @@ def fixed_string(c: str | Column, decimals: int = 4) -> Column:
 
 
 def key_hash(key_cols: Iterable[str | Column]) -> Column:
-    """Lower-case hex md5 of the keys joined by '-' (engine-independent)."""
-    parts = [_c(k).cast("string") for k in key_cols]
+    """Lower-case hex md5 of the keys joined by '-', null as ``\\N`` (engine-independent)."""
+    parts = [F.coalesce(_c(k).cast("string"), F.lit("\\N")) for k in key_cols]
     return F.md5(F.concat_ws("-", *parts))
 
 

@@ -37,6 +37,18 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame
             .withColumn(name, F.col(name) + F.col("_n_before")).drop(part, "_n_before"))
 
 
+def running_sum(df: DataFrame, order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over all rows before each one as ``name``.  Rows
+    that are equal in ``order`` must not occur (group by it first)."""
+    part = f"_{name}_part"
+    cut = range_parts(df, order, part)
+    before = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumn(name, F.coalesce(F.sum(value).over(before), F.lit(0)))
+    offsets = _before(cut.groupBy(part).agg(F.sum(value).alias("_n")), part, ["_n"])
+    return (local.join(F.broadcast(offsets), part)
+            .withColumn(name, F.col(name) + F.col("_n_before")).drop(part, "_n_before"))
+
+
 def _before(totals: DataFrame, part: str, cols: Sequence[str]) -> DataFrame:
     """Sum of ``cols`` over the partitions before each one: one row per range
     partition, never more than ``spark.sql.shuffle.partitions``."""

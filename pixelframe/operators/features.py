@@ -53,16 +53,3 @@ def vector_columns(df: DataFrame, vector: str, names: Sequence[str], keep: Seque
     """Unpack a vector column into named double columns (for SQL-comparable output)."""
     arr = vector_to_array(F.col(vector))
     return df.select(*keep, *[arr[i].alias(n) for i, n in enumerate(names)])
-
-
-def minmax_columns(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFrame:
-    """Column-expression form of the fitted scaler, same arithmetic as the model."""
-    out = []
-    for c in df.columns:
-        if c in stats:
-            lo, hi = stats[c]
-            rng = hi - lo
-            out.append(((F.col(c) - F.lit(lo)) * F.lit(1.0 / rng) if rng != 0 else F.lit(0.5)).alias(c))
-        else:
-            out.append(F.col(c))
-    return df.select(*out)

@@ -7,19 +7,15 @@ DataFrames, so several models can be unioned into one report.
 
 from __future__ import annotations
 
-import math
 from typing import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelframe.functions.exprs import safe_ratio
+from pixelframe.functions.ranges import running_sum
 from pixelframe.session import cut_lineage
 
-# AUC: distinct scores handled by one window partition before bucketing.
-AUC_ROWS_PER_BUCKET = 1_000_000
-AUC_MAX_BUCKETS = 4096
-
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction",
               positive: float = 1.0, negative: float = 0.0) -> DataFrame:
@@ -58,8 +54,13 @@ def label_metrics(pred: DataFrame, label: str = "label", prediction: str = "pred
     its predicted label, and re-grouped — #labels² rows, no join, one scan.
     Precision of label L uses all rows predicted L.
     """
-    cm = pred.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(
-        F.count(F.lit(1)).alias("n"))
+    return label_metrics_from_counts(pred.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n")),
+                                     label, prediction)
+
+
+def label_metrics_from_counts(counts: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``label_metrics`` from (label, prediction, n) rows, which may repeat a pair."""
+    cm = counts.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.sum("n").alias("n"))
     zero = F.lit(0).cast("long")
     roles = F.explode(F.array(
         F.struct(F.col("l").alias("k"), F.col("n").alias("support"),
@@ -81,9 +82,13 @@ def label_metrics(pred: DataFrame, label: str = "label", prediction: str = "pred
 
 def weighted_f1(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Support-weighted mean of per-label F1 (A8); also weighted precision/recall."""
-    lm = label_metrics(pred, label, prediction)
+    return weighted_from_labels(label_metrics(pred, label, prediction))
+
+
+def weighted_from_labels(lm: DataFrame, *by: str) -> DataFrame:
+    """Support-weighted means of per-label metrics, for each value of ``by``."""
     n = F.sum("support").cast("double")
-    return lm.agg((F.sum(F.col("f1") * F.col("support")) / n).alias("weighted_f1"),
+    return lm.groupBy(*by).agg((F.sum(F.col("f1") * F.col("support")) / n).alias("weighted_f1"),
                   (F.sum(F.col("precision") * F.col("support")) / n).alias("weighted_precision"),
                   (F.sum(F.col("recall") * F.col("support")) / n).alias("weighted_recall"))
 
@@ -101,51 +106,27 @@ def score_counts(pred: DataFrame, label: str = "label", score: str | Column = "s
         F.count_if(F.col(label) > 0.5).alias("pos"), F.count_if(F.col(label) <= 0.5).alias("neg"))
 
 
-def auc_roc(pred: DataFrame, label: str = "label", score: str | Column = "score",
-            rows_per_bucket: int = AUC_ROWS_PER_BUCKET) -> DataFrame:
+def auc_roc(pred: DataFrame, label: str = "label", score: str | Column = "score") -> DataFrame:
     """Exact area under the ROC curve with ties counted half.
 
     Equals Spark ML's evaluator with ``numBins=0``; the default evaluator
-    down-samples the curve.  The input is scanned once: the per-score counts
-    are checkpointed into the shared checkpoint folder (cutting lineage) and
-    every later step reads them.
+    down-samples the curve.  A null score ranks below every number and a NaN
+    above, each tied with its like; rows with a null label do not count.
     """
-    g = cut_lineage(score_counts(pred, label, score))
-    return auc_from_counts(g, rows_per_bucket)
+    return auc_from_counts(score_counts(pred, label, score))
 
 
-def auc_from_counts(g: DataFrame, rows_per_bucket: int = AUC_ROWS_PER_BUCKET) -> DataFrame:
+def auc_from_counts(g: DataFrame) -> DataFrame:
     """AUC from ``score, pos, neg`` with one row per distinct score.
 
-    AUC = Σ_s pos_s · (neg_below_s + ½ neg_s) / (P · N).  When there are more
-    than ``rows_per_bucket`` distinct scores they are cut into quantile
-    buckets (``percentile_approx`` over distinct scores, so a score shared by
-    many rows is still one row) and the running negative count is a
-    per-bucket window plus a broadcast table of bucket offsets (at most
-    ``AUC_MAX_BUCKETS`` rows); no task ever holds more than about
-    ``rows_per_bucket`` scores.
+    AUC = Σ_s pos_s · (neg_below_s + ½ neg_s) / (P · N).  The negatives below
+    each score are a running sum over ranges of scores: any number of scores
+    takes the same path, and no task holds more than one range of them.
     """
-    n_distinct = g.count()
-    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    if n_distinct <= rows_per_bucket:
-        ranked = g.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    else:
-        from pyspark.ml.feature import Bucketizer
-        nb = min(AUC_MAX_BUCKETS, math.ceil(n_distinct / rows_per_bucket))
-        probs = [i / nb for i in range(1, nb)]
-        qs = g.agg(F.percentile_approx("score", probs, 10 * nb).alias("q")).first()["q"]
-        splits = [-math.inf] + sorted({float(q) for q in qs if q is not None and not math.isnan(q)}) + [math.inf]
-        gb = Bucketizer(splits=splits, inputCol="score", outputCol="bucket",
-                        handleInvalid="keep").transform(g)
-        totals = gb.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
-        offsets = totals.select("bucket", F.coalesce(F.sum("bucket_neg").over(
-            Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-        in_bucket = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = (gb.withColumn("local_below", F.coalesce(F.sum("neg").over(in_bucket), F.lit(0)))
-                  .join(F.broadcast(offsets), "bucket")
-                  .withColumn("neg_below", F.col("offset") + F.col("local_below")))
+    ranked = running_sum(g, [F.col("score").asc_nulls_first()], "neg", "neg_below")
     contrib = F.col("pos").cast("double") * (F.col("neg_below") + F.lit(0.5) * F.col("neg"))
-    agg = ranked.agg(F.sum(contrib).alias("u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    agg = ranked.agg(F.sum(contrib).alias("u"), F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"),
+                     F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"))
     return agg.select(
         F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
                F.col("u") / (F.col("n_pos").cast("double") * F.col("n_neg"))).alias("auc"),
@@ -159,18 +140,18 @@ def rmse(pred: DataFrame, label: str = "label", prediction: str = "prediction")
 
 
 def r2(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Coefficient of determination 1 − SSE/SST (A11), one pass."""
+    """Coefficient of determination 1 − SSE/SST (A11), one pass; null for a constant label."""
     d = F.col(prediction) - F.col(label)
     sse = F.sum(d * d)
     sst = F.var_pop(F.col(label)) * F.count(F.col(label))
-    return pred.agg((F.lit(1.0) - sse / sst).alias("r2"))
+    return pred.agg((F.lit(1.0) - F.try_divide(sse, sst)).alias("r2"))
 
 
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """RMSE, R², MAE and n in one aggregate."""
     d = F.col(prediction) - F.col(label)
     return pred.agg(F.sqrt(F.avg(d * d)).alias("rmse"),
-                    (F.lit(1.0) - F.sum(d * d) / (F.var_pop(F.col(label)) * F.count(F.col(label)))).alias("r2"),
+                    (F.lit(1.0) - F.try_divide(F.sum(d * d), F.var_pop(F.col(label)) * F.count(F.col(label)))).alias("r2"),
                     F.avg(F.abs(d)).alias("mae"), F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -184,22 +165,32 @@ def _long(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
 SUMMARY_METRICS = ["precision", "recall", "f1", "accuracy", "auc"]
 
 
+def outcome_counts(pred: DataFrame, score: str | Column, label: str = "label",
+                   prediction: str = "prediction") -> DataFrame:
+    """(score, prediction, label, n): all that the classifier metrics need, from
+    one scan of the scored rows, checkpointed."""
+    s = F.col(score) if isinstance(score, str) else score
+    return cut_lineage(pred.groupBy(s.alias("score"), F.col(prediction).alias(prediction), F.col(label).alias(label))
+                       .agg(F.count(F.lit(1)).alias("n")))
+
+
 def classifier_summary(models: Mapping[str, tuple[DataFrame, str | Column]], label: str = "label",
                        prediction: str = "prediction", digits: int | None = 4) -> DataFrame:
     """One row per model: precision, recall, F1, accuracy, AUC.
 
     ``models`` maps a model name to (scored frame, score column/expression).
-    Each model's rows are scanned once into (score, prediction, label)
-    counts, checkpointed; the confusion counts and the AUC both come from
-    that table.  Models are unioned as (model, metric, value) rows and
-    pivoted back, so no join is needed.
     """
+    return summary_from_counts({n: outcome_counts(df, score, label, prediction) for n, (df, score) in models.items()},
+                               label, prediction, digits)
+
+
+def summary_from_counts(models: Mapping[str, DataFrame], label: str = "label", prediction: str = "prediction",
+                        digits: int | None = 4) -> DataFrame:
+    """``classifier_summary`` from each model's ``outcome_counts``: the confusion
+    counts and the AUC both come from that table.  Models are unioned as
+    (model, metric, value) rows and pivoted back, so no join is needed."""
     parts = []
-    for name, (df, score) in models.items():
-        s = F.col(score) if isinstance(score, str) else score
-        spl = (df.groupBy(s.alias("score"), F.col(prediction).alias(prediction), F.col(label).alias(label))
-               .agg(F.count(F.lit(1)).alias("n")))
-        spl = cut_lineage(spl)
+    for name, spl in models.items():
         cm = spl.groupBy(prediction, label).agg(F.sum("n").alias("n"))
         lab, prd = F.col(label), F.col(prediction)
         conf = cm.agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(a) for a, c in (

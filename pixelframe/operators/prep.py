@@ -6,13 +6,12 @@ which is one partial+final aggregate producing a single row.
 
 from __future__ import annotations
 
-import math
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pixelframe.functions.exprs import all_present_nonzero, hash_bucket, key_hash
+from pixelframe.functions.exprs import hash_bucket, key_hash
 
 # --- fixed values -----------------------------------------------------------
 # Positional band names of a raw raster export and the semantic names the
@@ -24,7 +23,7 @@ RAW_TO_SEMANTIC = {
 }
 # ---------------------------------------------------------------------------
 
-WEIGHT_COL = "classWeightCol"
+WEIGHT_COL = "class_weight"
 
 
 def rename_bands(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
@@ -45,10 +44,13 @@ def select_features(df: DataFrame, features: Sequence[str], label: str = "burned
 def drop_zero_or_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Keep rows where every checked column is non-null and non-zero.
 
-    A plain filter: Catalyst pushes the ``IsNotNull`` parts into the
-    Parquet scan and the rest is evaluated in the scan's codegen stage.
+    One filter per column: a comparison with null is not true, so nulls go
+    with the zeros.  Catalyst merges the filters and pushes them into the
+    Parquet scan.  NaN passes; ``drop_missing`` removes it.
     """
-    return df.filter(all_present_nonzero(cols))
+    for c in cols:
+        df = df.filter(F.col(c) != 0)
+    return df
 
 
 def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -170,24 +172,18 @@ def split_summary(df: DataFrame, split_col: str = "split", label: str = "label",
     per = split_counts(df, split_col, label)
     every = Window.partitionBy()
     n0, n1 = F.sum("n_label0").over(every), F.sum("n_label1").over(every)
-    r = n0.cast("double") / (n0 + n1)
+    r = F.try_divide(n0.cast("double"), n0 + n1)  # null when no label is 0 or 1
     w = F.col("n_label1") * r + (F.col("n_rows") - F.col("n_label1")) * (F.lit(1.0) - r)
     return per.withColumn(weight_col, w)
 
 
-def spread(df: DataFrame, key_cols: Sequence[str], min_rows_per_partition: int = 50_000,
-           max_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition on the row key when a frame has fewer partitions than
-    cores *and* enough rows to keep more tasks busy (about
-    ``min_rows_per_partition`` each), so iterative fits use the cluster.
+# Tasks of a fit.  Trees draw their samples by partition, so the number is part
+# of the model: it is fixed here, not taken from the machine or the input.
+FIT_PARTITIONS = 16
 
-    Large inputs already come with many scan partitions: then this is a
-    no-op without any job.  Otherwise one count decides; the repartition is
-    by key hash, so retried tasks see the same rows.
-    """
-    target = max_partitions or df.sparkSession.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    if current >= target:
-        return df
-    want = min(target, max(1, math.ceil(df.count() / min_rows_per_partition)))
-    return df if want <= current else df.repartition(want, *key_cols)
+
+def by_key(df: DataFrame, key_cols: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt by key hash to ``partitions`` tasks and sorted by key there:
+    whatever the input's partitions, every task gets the same rows in the same
+    order.  Raise ``partitions`` for large training sets."""
+    return df.repartition(partitions, *key_cols).sortWithinPartitions(*key_cols)

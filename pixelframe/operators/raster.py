@@ -84,20 +84,22 @@ def to_tiles(long: DataFrame, tile: int = 50) -> DataFrame:
 
     One shuffle on (band, tile_row, tile_col); both collect steps reuse
     that partitioning and every collected group is bounded by the tile size.
-    Assumes a dense raster (every pixel present), as a raster band is.
+    Values are placed by their offset in the tile: an absent pixel leaves a
+    null, not a gap that moves the rest.  A repeated pixel is an error.
     """
     t = F.lit(int(tile))
     keyed = (long.withColumn("tile_row", F.floor(F.col(ROW) / t).cast("int"))
                  .withColumn("tile_col", F.floor(F.col(COL) / t).cast("int"))
                  .repartition("band", "tile_row", "tile_col"))
+
+    def placed(offset: Column, value: str) -> Column:
+        at = F.map_from_entries(F.collect_list(F.struct(offset, F.col(value))))
+        return F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys(at))), lambda i: F.element_at(at, i))
+
     rows = (keyed.groupBy("band", "tile_row", "tile_col", ROW)
-            .agg(F.sort_array(F.collect_list(F.struct(F.col(COL), F.col("value")))).alias("cells"))
-            .select("band", "tile_row", "tile_col", ROW,
-                    F.transform("cells", lambda c: c["value"]).alias("vals")))
+            .agg(placed(F.col(COL) - F.col("tile_col") * t, "value").alias("vals")))
     return (rows.groupBy("band", "tile_row", "tile_col")
-            .agg(F.sort_array(F.collect_list(F.struct(F.col(ROW), F.col("vals")))).alias("rows"))
-            .select("band", "tile_row", "tile_col",
-                    F.transform("rows", lambda r: r["vals"]).alias("values")))
+            .agg(placed(F.col(ROW) - F.col("tile_row") * t, "vals").alias("values")))
 
 
 def flatten_tiles(tiles: DataFrame, tile: int = 50, keep_tile: bool = False) -> DataFrame:

@@ -45,10 +45,12 @@ def best_params(metrics: DataFrame, larger_better: bool, metric: str = "metric")
     return metrics.orderBy(order, F.col("map_id").asc()).limit(1)
 
 
-def score(model, df: DataFrame, label: str = "label", keep: Sequence[str] = ()) -> DataFrame:
-    """Batch scoring of held-out rows (E3); narrow (no shuffle)."""
+def score(model, df: DataFrame, label: str = "label", keep: Sequence[str] = (),
+          vector: str | None = None) -> DataFrame:
+    """Batch scoring of held-out rows (E3); narrow (no shuffle).  ``vector``
+    names the feature vector to keep beside the prediction (P9)."""
     out = model.transform(df)
-    cols = list(keep) + [label, "prediction"]
+    cols = list(keep) + [label, "prediction"] + ([vector] if vector else [])
     for extra in ("rawPrediction", "probability"):
         if extra in out.columns:
             cols.append(extra)

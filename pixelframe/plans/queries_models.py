@@ -32,10 +32,10 @@ def _vec(df, cols, out="features"):
 
 @register("logit_odds", "M1", sql=f"""
 SELECT ROUND(LN((w11 * w00) / (w10 * w01)), 6) AS coefficient, ROUND(LN(w01 / w00), 6) AS intercept
-FROM (SELECT SUM(classWeightCol) FILTER (WHERE lst > 40 AND label = 1) AS w11,
-             SUM(classWeightCol) FILTER (WHERE lst > 40 AND label = 0) AS w10,
-             SUM(classWeightCol) FILTER (WHERE NOT lst > 40 AND label = 1) AS w01,
-             SUM(classWeightCol) FILTER (WHERE NOT lst > 40 AND label = 0) AS w00
+FROM (SELECT SUM(class_weight) FILTER (WHERE lst > 40 AND label = 1) AS w11,
+             SUM(class_weight) FILTER (WHERE lst > 40 AND label = 0) AS w10,
+             SUM(class_weight) FILTER (WHERE NOT lst > 40 AND label = 1) AS w01,
+             SUM(class_weight) FILTER (WHERE NOT lst > 40 AND label = 0) AS w00
       FROM ({S.WEIGHTED_SQL}) w) s""")
 def logit_odds(spark, sf_dir):
     w = weighted(spark, sf_dir).withColumn("x", (F.col("lst") > 40).cast("double"))
@@ -83,7 +83,7 @@ def gbt_stump(spark, sf_dir):
             .select("lst", F.round("prediction", 9).alias("prediction")))
 
 
-@register("cv_ridge", "U1,U3,X4", sql=f"""
+CV_RIDGE_SQL = f"""
 WITH p AS (SELECT lst AS x, label AS y, {S.fold(3)} AS fold FROM ({S.PREPARED_SQL}) q WHERE {S.split_flag(0.7)}),
 g AS (SELECT * FROM (VALUES (2, 0.01E0), (2, 0.03E0), (3, 0.01E0), (3, 0.03E0)) t(max_iter, reg_param)),
 fs AS (SELECT DISTINCT fold FROM p),
@@ -94,33 +94,44 @@ m AS (SELECT g.max_iter, g.reg_param, st.fold, st.mx, st.my,
 e AS (SELECT m.max_iter, m.reg_param, m.fold,
              SQRT(AVG((m.my - m.slope * m.mx + m.slope * p.x - p.y) * (m.my - m.slope * m.mx + m.slope * p.x - p.y))) AS rmse
       FROM m JOIN p ON p.fold = m.fold GROUP BY 1, 2, 3)
-SELECT max_iter, reg_param, ROUND(AVG(rmse), 8) AS avg_rmse FROM e GROUP BY 1, 2""")
-def cv_ridge(spark, sf_dir):
+SELECT max_iter, reg_param, ROUND(AVG(rmse), 8) AS avg_rmse FROM e GROUP BY 1, 2"""
+
+
+@register("cv_ridge", "U1,U3,X4", sql=CV_RIDGE_SQL)
+def cv_ridge(spark, sf_dir, parallelism=1):
     train, _ = prep.hash_split(prepared(spark, sf_dir), F2_KEYS, 0.7)
     pipe, est = staged_estimator("linear", ["lst"], estimator=linear_regression(features_col="features"))
     pipe.setStages(pipe.getStages()[:1] + [est])  # assembler only: closed form is in raw units
     maps = TU.param_grid(est, TU.GRIDS["linear"]["cv"])
-    res = TU.cross_validation_search(pipe, maps, TU.rmse_evaluator(), train, F2_KEYS, 3)
+    res = TU.cross_validation_search(pipe, maps, TU.rmse_evaluator(), train, F2_KEYS, 3, parallelism)
     rows = [(int(m[est.maxIter]), float(m[est.regParam]), round(float(v), 8))
             for m, v in zip(res.maps, res.metrics)]
     return spark.createDataFrame(rows, "max_iter INT, reg_param DOUBLE, avg_rmse DOUBLE")
 
 
+@register("cv_ridge_parallel", "U5,U3", sql=CV_RIDGE_SQL)
+def cv_ridge_parallel(spark, sf_dir):
+    """The same search, four fits at a time."""
+    return cv_ridge(spark, sf_dir, parallelism=4)
+
+
 # ---- full models (rows-only) ----------------------------------------------------
 
 def _train(spark, sf_dir, weights=True):
-    """Persisted, spread training rows (read by every stage and iteration) and test rows."""
+    """Persisted training rows, dealt by key (read by every stage and iteration), and test rows."""
     data = weighted(spark, sf_dir) if weights else prepared(spark, sf_dir)
     train, test = prep.hash_split(data, F2_KEYS, 0.7)
-    return prep.spread(train, F2_KEYS).persist(StorageLevel.MEMORY_AND_DISK), test
+    return prep.by_key(train, F2_KEYS).persist(StorageLevel.MEMORY_AND_DISK), test
 
 
 def _fit_explain(kind, spark, sf_dir):
     weights = kind in ("logistic", "forest")
     train, _ = _train(spark, sf_dir, weights)
     pipe, _ = staged_estimator(kind, FEATURES, prep.WEIGHT_COL if weights else None)
-    model = pipe.fit(train)
-    train.unpersist()
+    try:
+        model = pipe.fit(train)
+    finally:
+        train.unpersist()
     table = (RP.coefficients(spark, model, FEATURES) if kind in ("logistic", "linear")
              else RP.importances(spark, model, FEATURES))
     return RP.rank_features(table)
@@ -150,8 +161,10 @@ def fit_linear(spark, sf_dir):
 def score_logistic(spark, sf_dir):
     train, test = _train(spark, sf_dir)
     pipe, _ = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
-    model = pipe.fit(train)
-    train.unpersist()
+    try:
+        model = pipe.fit(train)
+    finally:
+        train.unpersist()
     scored = RP.score(model, test, keep=F2_KEYS)
     return scored.select(*F2_KEYS, "label", "prediction", RP.positive_score().alias("score"))
 
@@ -162,13 +175,15 @@ def _search(kind, method, spark, sf_dir):
     pipe, est = staged_estimator(kind, FEATURES, prep.WEIGHT_COL if weights else None)
     evaluator = TU.auc_evaluator() if weights else TU.rmse_evaluator()
     maps = TU.param_grid(est, TU.GRIDS[kind][method])
-    if method == "tvs":
-        res = TU.train_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.TRAIN_RATIO,
-                                         TU.PARALLELISM)
-    else:
-        res = TU.cross_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.FOLDS[kind],
-                                         TU.PARALLELISM)
-    train.unpersist()
+    try:
+        if method == "tvs":
+            res = TU.train_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.TRAIN_RATIO,
+                                             TU.PARALLELISM)
+        else:
+            res = TU.cross_validation_search(pipe, maps, evaluator, train, F2_KEYS, TU.FOLDS[kind],
+                                             TU.PARALLELISM)
+    finally:
+        train.unpersist()
     return res.metrics_frame(spark)
 
 
@@ -191,7 +206,12 @@ def _register_workflow(kind):
     def q(spark, sf_dir):
         res = run_workflow(spark, weighted(spark, sf_dir) if kind in ("logistic", "forest")
                            else prepared(spark, sf_dir), kind, F2_KEYS, parallelism=TU.PARALLELISM)
-        return res.summary
+        if kind != "forest":
+            return res.summary
+        # the forest's report: weighted F1 and every label's precision and recall, of both models
+        return (res.per_label.select("model", "label", "support", "precision", "recall", "f1")
+                .join(F.broadcast(res.weighted.select("model", "weighted_f1")), "model")
+                .join(F.broadcast(res.summary.select("model", "accuracy", "auc")), "model"))
     return q
 
 
@@ -199,31 +219,6 @@ for _kind in ("logistic", "forest", "gbt", "linear"):
     _register_workflow(_kind)
 
 
-@register("stream_score_logistic", "E3")
-def stream_score_logistic(spark, sf_dir):
-    """Fit on the batch train rows, then score lineitem through a file stream."""
-    from pixelframe.session import scratch_path
-    from pixelframe.sources.testdata import sample_rows
-    from pixelframe.streaming import start_scoring
-    train, _ = _train(spark, sf_dir)
-    pipe, _ = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
-    model = pipe.fit(train)
-    train.unpersist()
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-
-    def prepare(stream):
-        s = prep.drop_zero_or_null(sample_rows(stream), FEATURES)
-        s = prep.select_features(s, FEATURES, label="burned", keep=F2_KEYS)
-        s = prep.drop_missing(s, FEATURES + ["label"])
-        return s.filter(~prep.split_flag(F2_KEYS, 0.7))
-
-    sink = scratch_path(spark, "scored-stream")
-    q = start_scoring(spark, model, f"{sf_dir}/lineitem*.parquet", lineitem.schema, sink,
-                      prepare=prepare, keep=F2_KEYS)
-    q.awaitTermination()
-    return spark.read.parquet(sink)
-
-
 def _tvs_ridge_sql() -> str:
     return f"""
 WITH p AS (SELECT lst AS x, label AS y, {S.split_flag(0.8, offset=9)} AS is_fit

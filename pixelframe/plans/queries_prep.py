@@ -32,7 +32,7 @@ def weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT split, COUNT(*) AS n_rows,
        COUNT(*) FILTER (WHERE label = 0) AS n_label0,
        COUNT(*) FILTER (WHERE label = 1) AS n_label1,
-       ROUND(SUM(classWeightCol), 6) AS weight_sum
+       ROUND(SUM(class_weight), 6) AS weight_sum
 FROM (SELECT w.*, CASE WHEN {S.split_flag(0.7)} THEN 'train' ELSE 'test' END AS split
       FROM ({S.WEIGHTED_SQL}) w) s
 GROUP BY split""")
@@ -89,6 +89,23 @@ def apply_schema(spark, sf_dir):
     return px.schema_violations(s, DECLARED_INT_SCHEMA)
 
 
+@register("schema_cast", "S2", sql="SELECT " + ", ".join(f"TRY_CAST(TRUNC({c}) AS INTEGER) AS {c}" for c in px.BAND_NAMES[:-1])
+          + f", CAST(TRY_CAST(TRUNC(pop_density) AS INTEGER) AS DOUBLE) AS pop_density, l_orderkey FROM ({F2_SQL}) f2")
+def schema_cast(spark, sf_dir):
+    """The declared INT schema enforced; the undeclared key passes."""
+    out = px.apply_schema(sample_table(spark, sf_dir).select(*px.BAND_NAMES, "l_orderkey"), DECLARED_INT_SCHEMA)
+    # integers with nulls have no common form in result comparisons: shown as double
+    return out.withColumn("pop_density", F.col("pop_density").cast("double"))
+
+
+@register("csv_inferred", "S1,S3", sql=f"SELECT {', '.join(px.BAND_NAMES)}, CAST(l_orderkey AS INTEGER) AS l_orderkey FROM ({F2_SQL}) f2")
+def csv_inferred(spark, sf_dir):
+    """Scan with inferred types and ';' between fields, as the pixel CSV is first read."""
+    path = scratch_path(spark, "csv-inferred")
+    px.write_pixels_csv(sample_table(spark, sf_dir).select(*px.BAND_NAMES, "l_orderkey"), path, sep=";")
+    return px.read_pixels_csv(spark, path, sep=";")
+
+
 @register("csv_roundtrip", "S1,S3", sql=f"SELECT * FROM ({F2_SQL}) f2 WHERE {S.nonzero()}")
 def csv_roundtrip(spark, sf_dir):
     df = prep.drop_zero_or_null(sample_table(spark, sf_dir), FEATURES)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixelframe.functions.albers import albers_forward, albers_inverse, sql_forward, sql_inverse
 from pixelframe.functions.exprs import round_doubles
 from pixelframe.operators import raster as R
 from pixelframe.plans.registry import register
-from pixelframe.session import scratch_path
-from pixelframe.sources.pixels import BAND_NAMES
+from pixelframe.session import scratch_path, scratch_table
+from pixelframe.sources.pixels import BAND_NAMES, pixel_schema, read_pixels_csv, write_pixels_csv
 from pixelframe.sources.raster import read_band, write_pixels
 from pixelframe.sources.testdata import (
     F1_CRS, F1_LEFT, F1_NODATA, F1_SPAN_X, F1_SPAN_Y, F1_SQL, F1_TOP, F1_WIDTH, band_tiles,
@@ -17,6 +20,7 @@ from pixelframe.sources.testdata import (
 )
 
 TILE = 50
+FIXED_RESOLUTION = 10_000.0  # metres
 RESOLUTION = None  # cell count ~ source pixel count, so the grid grows with the data
 DENSIFY = 21
 F1 = f"({F1_SQL}) f1"
@@ -63,12 +67,13 @@ def band_scan(spark, sf_dir):
     return R.flatten_tiles(read_band(band_tiles(spark, sf_dir, TILE), 2), TILE)
 
 
-@register("write_band_tiles", "S9,S8", sql=_long_sql([3]))
+@register("write_band_tiles", "S9,S8", sql=_long_sql())
 def write_band_tiles(spark, sf_dir):
     path = scratch_path(spark, "band-tiles")
     write_pixels(band_tiles(spark, sf_dir, TILE), path, partition_by="band")
     back = spark.read.parquet(path)
-    return R.flatten_tiles(read_band(back, 3), TILE).select("band", "row_px", "col_px", "value")
+    bands = [R.flatten_tiles(read_band(back, b), TILE) for b in range(1, len(BAND_NAMES) + 1)]
+    return reduce(DataFrame.unionByName, bands).select("band", "row_px", "col_px", "value")
 
 
 @register("band_overview", "G11", sql=f"""
@@ -89,7 +94,9 @@ SELECT {F1_LEFT!r}E0 AS left_, {F1_TOP!r}E0 AS top_, {F1_SPAN_X!r}E0 / {F1_WIDTH
 FROM {F1}"""
 
 
-def _grid_sql() -> str:
+def _grid_sql(resolution: float | None = None) -> str:
+    res = (f"{float(resolution)!r}E0" if resolution else
+           "SQRT((MAX(x) - MIN(x)) * (MAX(y) - MIN(y)) / CAST(ANY_VALUE(m.width * m.height) AS DOUBLE))")
     fx, fy = sql_forward("lon", "lat")
     return f"""
 WITH meta AS ({_meta_sql()}),
@@ -102,7 +109,7 @@ pts AS (SELECT CASE WHEN FLOOR(i / {DENSIFY}) <= 1 THEN l + (CAST(i % {DENSIFY}
         FROM ids, b),
 xy AS (SELECT {fx} AS x, {fy} AS y FROM pts),
 ext AS (SELECT MIN(x) AS min_x, MAX(x) AS max_x, MIN(y) AS min_y, MAX(y) AS max_y,
-               SQRT((MAX(x) - MIN(x)) * (MAX(y) - MIN(y)) / CAST(ANY_VALUE(m.width * m.height) AS DOUBLE)) AS res
+               {res} AS res
         FROM xy, meta m)
 SELECT min_x AS left_, max_y AS top_, res,
        CAST(CEIL((max_x - min_x) / res) AS INTEGER) AS width,
@@ -110,15 +117,15 @@ SELECT min_x AS left_, max_y AS top_, res,
 FROM ext"""
 
 
-def _cells_sql() -> str:
+def _cells_sql(resolution: float | None = None) -> str:
     return f"""
 SELECT CAST(FLOOR(id / width) AS INTEGER) AS row_px, CAST(id % width AS INTEGER) AS col_px,
        left_ + (CAST(id % width AS INTEGER) + 0.5E0) * res AS x,
        top_ - (CAST(FLOOR(id / width) AS INTEGER) + 0.5E0) * res AS y
-FROM (SELECT UNNEST(RANGE(0, width * height)) AS id, * FROM ({_grid_sql()}) g) c"""
+FROM (SELECT UNNEST(RANGE(0, width * height)) AS id, * FROM ({_grid_sql(resolution)}) g) c"""
 
 
-def _resample_sql() -> str:
+def _resample_sql(resolution: float | None = None) -> str:
     ix, iy = sql_inverse("x", "y")
     fill = ", ".join(f"COALESCE(f1.{b}, {F1_NODATA!r}E0) AS {b}" for b in BAND_NAMES)
     outside = ", ".join(f"{F1_NODATA!r}E0 AS {b}" for b in BAND_NAMES)
@@ -128,7 +135,7 @@ loc AS (SELECT c.row_px, c.col_px,
                CAST(FLOOR(ROUND((meta.top_ - {iy}) / meta.yres, 6)) AS INTEGER) AS src_row,
                CAST(FLOOR(ROUND(({ix} - meta.left_) / meta.xres, 6)) AS INTEGER) AS src_col,
                meta.width AS sw, meta.height AS sh
-        FROM ({_cells_sql()}) c, meta),
+        FROM ({_cells_sql(resolution)}) c, meta),
 inside AS (SELECT * FROM loc WHERE src_row BETWEEN 0 AND sh - 1 AND src_col BETWEEN 0 AND sw - 1)
 SELECT inside.row_px, inside.col_px, {fill}
 FROM inside LEFT JOIN {F1} ON inside.src_row = f1.row_px AND inside.src_col = f1.col_px
@@ -136,9 +143,9 @@ UNION ALL
 SELECT row_px, col_px, {outside} FROM loc WHERE NOT (src_row BETWEEN 0 AND sh - 1 AND src_col BETWEEN 0 AND sw - 1)"""
 
 
-def _grid(spark, sf_dir):
+def _grid(spark, sf_dir, resolution=RESOLUTION):
     meta = pixel_grid_meta(spark, sf_dir)
-    return meta, R.target_grid(spark, meta, RESOLUTION, densify=DENSIFY)
+    return meta, R.target_grid(spark, meta, resolution, densify=DENSIFY)
 
 
 @register("raster_meta", "S7", sql=f"""
@@ -206,12 +213,40 @@ def resample_bucketed(spark, sf_dir):
     from pixelframe.sources.raster import write_pixels_bucketed
     meta, grid = _grid(spark, sf_dir)
     path = scratch_path(spark, "pixels-bucketed")
-    table = "pixels_bucketed_" + path.rsplit("-", 1)[-1]
-    pixels = write_pixels_bucketed(pixel_grid(spark, sf_dir), table, path, buckets=8)
+    table = scratch_table(spark, "pixels_bucketed_" + path.rsplit("-", 1)[-1])
+    # as many buckets as a shuffle has partitions: the cells meet them in place
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pixels = write_pixels_bucketed(pixel_grid(spark, sf_dir), table, path, buckets)
     return R.resample_nearest(R.grid_cells(spark, grid), pixels, meta, BAND_NAMES, broadcast_max_bytes=0,
                               join_hint="merge")
 
 
+@register("resample_shuffled", "G4,G5,G6", sql=_resample_sql())
+def resample_shuffled(spark, sf_dir):
+    """The plain path beyond the broadcast bound: both sides shuffle on the pixel index."""
+    meta, grid = _grid(spark, sf_dir)
+    return R.resample_nearest(R.grid_cells(spark, grid), pixel_grid(spark, sf_dir), meta, BAND_NAMES,
+                              broadcast_max_bytes=0, join_hint="merge")
+
+
+@register("target_grid_fixed", "G1", sql=f"SELECT ROUND(left_, 3) AS left, ROUND(top_, 3) AS top, res, width, height FROM ({_grid_sql(FIXED_RESOLUTION)}) g")
+def target_grid_fixed(spark, sf_dir):
+    """The grid at a given resolution (10 km)."""
+    g = R.target_grid_frame(spark, pixel_grid_meta(spark, sf_dir), FIXED_RESOLUTION, densify=DENSIFY)
+    return g.select(F.round("left", 3).alias("left"), F.round("top", 3).alias("top"), "res", "width", "height")
+
+
+@register("raster_to_pixel_csv", "G1,G3,G4,G5,G6,G8,S3,S1", sql=f"SELECT {', '.join(BAND_NAMES)}, row_px, col_px FROM ({_resample_sql(FIXED_RESOLUTION)}) r")
+def raster_to_pixel_csv(spark, sf_dir):
+    """A raster to a pixel table end to end: 10 km grid, cells, nearest pixel of
+    all bands, nodata, pixel index, CSV with a header, read again."""
+    meta, grid = _grid(spark, sf_dir, FIXED_RESOLUTION)
+    cells = R.resample_nearest(R.grid_cells(spark, grid), pixel_grid(spark, sf_dir), meta, BAND_NAMES)
+    path = scratch_path(spark, "pixel-csv")
+    write_pixels_csv(cells.select(*BAND_NAMES, "row_px", "col_px"), path)
+    return read_pixels_csv(spark, path, schema=pixel_schema())
+
+
 @register("resample_nodata", "G6", sql=" UNION ALL ".join(
     f"SELECT '{b}' AS band, COUNT(*) AS n_cells, COUNT(*) FILTER (WHERE {b} = {F1_NODATA!r}E0) AS n_nodata, "
     f"ROUND(SUM({b}) FILTER (WHERE {b} <> {F1_NODATA!r}E0), 6) AS valid_sum FROM ({_resample_sql()}) r"

@@ -18,7 +18,7 @@ def present(cols: Sequence[str]) -> str:
 
 
 def key_hash(keys: Sequence[str] = F2_KEYS) -> str:
-    return "md5(concat_ws('-', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + "))"
+    return "md5(concat_ws('-', " + ", ".join(f"COALESCE(CAST({k} AS VARCHAR), '\\N')" for k in keys) + "))"
 
 
 def split_flag(fraction: float, offset: int = 1, keys: Sequence[str] = F2_KEYS) -> str:
@@ -40,7 +40,7 @@ WHERE {nonzero()} AND {present(FEATURES + ['burned'])}"""
 
 # ... -> class weight
 WEIGHTED_SQL = f"""
-SELECT p.*, CASE WHEN p.label = 1 THEN r.ratio ELSE 1 - r.ratio END AS classWeightCol
+SELECT p.*, CASE WHEN p.label = 1 THEN r.ratio ELSE 1 - r.ratio END AS class_weight
 FROM ({PREPARED_SQL}) p,
      (SELECT COUNT(*) FILTER (WHERE label = 0) /
              COUNT(*) FILTER (WHERE label IN (0, 1)) AS ratio

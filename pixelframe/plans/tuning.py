@@ -8,14 +8,16 @@ maps and one metric per map live on the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any, Sequence
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.param import Param
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pixelframe.operators.prep import hash_split, with_fold
 
@@ -89,6 +91,25 @@ def _shared_prefix(est: Estimator, maps: list[dict[Param, Any]]):
     return None, est
 
 
+def _evaluate(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator, fit_part: DataFrame,
+              val_part: DataFrame, parallelism: int) -> list[float]:
+    """One metric per map; ``parallelism`` fits at a time, each a distributed job."""
+    if parallelism <= 1:
+        metrics = [0.0] * len(maps)
+        for i, model in est.fitMultiple(fit_part, maps):
+            metrics[i] = evaluator.evaluate(model.transform(val_part))
+        return metrics
+
+    def task(m):
+        return lambda: evaluator.evaluate(est.fit(fit_part, m).transform(val_part))
+
+    # each task carries the caller's Spark thread-local properties, as
+    # Spark's own tuners do in pinned-thread mode
+    wrap = inheritable_thread_target(fit_part.sparkSession)
+    with ThreadPool(min(parallelism, len(maps))) as pool:
+        return pool.map(lambda f: f(), [wrap(task(m)) for m in maps], chunksize=1)
+
+
 def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator,
                             train: DataFrame, key_cols: Sequence[str], train_ratio: float = 0.8,
                             parallelism: int = 1, offset: int = 9,
@@ -114,24 +135,7 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
     if own:
         fit_part, val_part = _persist(fit_part), _persist(val_part)
     try:
-        metrics = [0.0] * len(maps)
-        if parallelism > 1:
-            from multiprocessing.pool import ThreadPool
-            from pyspark import inheritable_thread_target
-
-            def task(i):
-                def run():
-                    return i, evaluator.evaluate(last.fit(fit_part, maps[i]).transform(val_part))
-                return run
-            # each task carries the caller's Spark thread-local properties, as
-            # Spark's own tuners do in pinned-thread mode
-            tasks = map(inheritable_thread_target(train.sparkSession), (task(i) for i in range(len(maps))))
-            with ThreadPool(min(parallelism, len(maps))) as pool:
-                for i, v in pool.imap_unordered(lambda f: f(), tasks):
-                    metrics[i] = v
-        else:
-            for i, model in last.fitMultiple(fit_part, maps):
-                metrics[i] = evaluator.evaluate(model.transform(val_part))
+        metrics = _evaluate(last, maps, evaluator, fit_part, val_part, parallelism)
     finally:
         if own:
             fit_part.unpersist()
@@ -143,30 +147,36 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
 
 def cross_validation_search(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator,
                             train: DataFrame, key_cols: Sequence[str], k: int,
-                            parallelism: int = 1, seed: int = 42) -> SearchResult:
+                            parallelism: int = 1) -> SearchResult:
     """k-fold CV on a key-hash fold column, then refit.
 
-    ``CrossValidator(foldCol=...)`` caches each fold's train/validation pair
-    itself; folds are reproducible across runs and partitionings.
+    The folds are computed once, with the persisted rows.  Per fold, the
+    parameter-free stages of a Pipeline are fitted once on the other folds;
+    all maps are fitted on these transformed rows and scored on the fold's.
+    Metrics are those of ``CrossValidator`` on the same fold column, whose
+    every fit repeats the stages.
     """
-    folded = with_fold(train, key_cols, k, col="fold")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
-                        numFolds=k, foldCol="fold", parallelism=parallelism, seed=seed)
-    model = cv.fit(folded)
-    return SearchResult("cross_validation", model.bestModel, maps, list(model.avgMetrics),
-                        evaluator.isLargerBetter(), {"k": k})
-
-
-def spark_train_validation_split(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator,
-                                 train: DataFrame, train_ratio: float = 0.8, seed: int = 42,
-                                 parallelism: int = 1) -> SearchResult:
-    """Spark's own ``TrainValidationSplit`` (random cut; reproducible only for
-    a fixed seed *and* partitioning)."""
-    tvs = TrainValidationSplit(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
-                               trainRatio=train_ratio, seed=seed, parallelism=parallelism)
-    model = tvs.fit(train)
-    return SearchResult("spark_train_validation", model.bestModel, maps, list(model.validationMetrics),
-                        evaluator.isLargerBetter())
+    folded = _persist(with_fold(train, key_cols, k, col="fold"))
+    prefix, last = _shared_prefix(est, maps)
+    sums = [0.0] * len(maps)
+    try:
+        for i in range(k):
+            fit_part, val_part = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
+            if prefix is not None:
+                fitted = prefix.fit(fit_part)
+                fit_part, val_part = _persist(fitted.transform(fit_part)), _persist(fitted.transform(val_part))
+            try:
+                for j, v in enumerate(_evaluate(last, maps, evaluator, fit_part, val_part, parallelism)):
+                    sums[j] += v
+            finally:
+                if prefix is not None:
+                    fit_part.unpersist()
+                    val_part.unpersist()
+    finally:
+        folded.unpersist()
+    res = SearchResult("cross_validation", None, maps, [v / k for v in sums], evaluator.isLargerBetter(), {"k": k})
+    res.best_model = est.fit(train, maps[res.best_index])
+    return res
 
 
 # --- fixed values -----------------------------------------------------------

@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pixelframe.operators import metrics as M
 from pixelframe.operators import prep
@@ -23,7 +24,7 @@ from pixelframe.sources.pixels import FEATURES
 
 CLASSIFIERS = ("logistic", "forest")
 REGRESSORS = ("gbt", "linear")
-MODEL_NAMES = ("TrainValidationSplit", "CrossValidator")
+MODEL_NAMES = ("train_validation", "cross_validation")
 
 
 def prepare(pixels: DataFrame, features: Sequence[str] = FEATURES, label: str = "burned",
@@ -43,11 +44,13 @@ class WorkflowResult:
     summary: DataFrame
     explanations: dict[str, DataFrame] = field(default_factory=dict)
     per_label: DataFrame | None = None  # classifiers: every label's precision/recall/F1 (D8)
+    weighted: DataFrame | None = None  # classifiers: support-weighted F1, precision and recall (A8)
 
 
 def run_workflow(spark: SparkSession, data: DataFrame, kind: str, keys: Sequence[str],
                  features: Sequence[str] = FEATURES, grids: dict | None = None, k: int | None = None,
-                 weight_col: str | None = "auto", split: float = 0.7, parallelism: int = 1) -> WorkflowResult:
+                 weight_col: str | None = "auto", split: float = 0.7, parallelism: int = 1,
+                 partitions: int = prep.FIT_PARTITIONS) -> WorkflowResult:
     """Tune ``kind`` by train/validation search and by k-fold CV, score the
     held-out rows with both best models and summarise them.
 
@@ -59,7 +62,7 @@ def run_workflow(spark: SparkSession, data: DataFrame, kind: str, keys: Sequence
     if weight_col == "auto":
         weight_col = prep.WEIGHT_COL if kind in CLASSIFIERS else None
     train, test = prep.hash_split(data, keys, split)
-    train = prep.spread(train, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    train = prep.by_key(train, keys, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pipe, est = staged_estimator(kind, features, weight_col)
         classifier = kind in CLASSIFIERS
@@ -71,18 +74,24 @@ def run_workflow(spark: SparkSession, data: DataFrame, kind: str, keys: Sequence
     finally:
         train.unpersist()
     searches = dict(zip(MODEL_NAMES, (tvs, cv)))
-    scored = {name: RP.score(s.best_model, test, keep=list(keys)) for name, s in searches.items()}
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)  # prepared once, read by both models
+    try:
+        scored = {name: RP.score(s.best_model, test, keep=list(keys), vector="features") for name, s in searches.items()}
+        if classifier:
+            counts = {n: M.outcome_counts(df, RP.positive_score()) for n, df in scored.items()}
+        else:
+            rows = [(n, *M.regression_metrics(df).first()) for n, df in scored.items()]
+    finally:
+        test.unpersist()
     explanations = {}
     for name, s in searches.items():
         table = (RP.coefficients(spark, s.best_model, features) if kind in ("logistic", "linear")
                  else RP.importances(spark, s.best_model, features))
         explanations[name] = RP.rank_features(table)
-    per_label = None
-    if classifier:
-        summary = M.classifier_summary({n: (df, RP.positive_score()) for n, df in scored.items()})
-        parts = [M.label_metrics(df).selectExpr(f"'{n}' AS model", "*") for n, df in scored.items()]
-        per_label = parts[0].unionByName(parts[1])
-    else:
-        parts = [M.regression_metrics(df).selectExpr(f"'{n}' AS model", "*") for n, df in scored.items()]
-        summary = parts[0].unionByName(parts[1])
-    return WorkflowResult(kind, searches, scored, summary, explanations, per_label)
+    if not classifier:
+        summary = spark.createDataFrame(rows, "model STRING, rmse DOUBLE, r2 DOUBLE, mae DOUBLE, n_rows LONG")
+        return WorkflowResult(kind, searches, scored, summary, explanations)
+    parts = [M.label_metrics_from_counts(c).select(F.lit(n).alias("model"), "*") for n, c in counts.items()]
+    per_label = parts[0].unionByName(parts[1])
+    return WorkflowResult(kind, searches, scored, M.summary_from_counts(counts), explanations, per_label,
+                          M.weighted_from_labels(per_label, "model"))

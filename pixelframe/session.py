@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -45,26 +46,69 @@ def get_spark(master: str | None = None, app: str = "pixelframe",
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One JVM on one machine (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (tests on a
-    laptop) a private folder is created.
+    Reads ``spark.checkpoint.dir``.  Where it is unset, a private folder is
+    created for a local session (a laptop, tests); on a cluster that is an
+    error, since executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    path = configured or tempfile.mkdtemp(prefix="pixelframe-ckpt-")
+    path = sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        if not _is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder "
+                               "that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="pixelframe-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+# scratch paths and tables by application id, for ``release_scratch``
+_SCRATCH: dict[str, tuple[list[str], list[str]]] = {}
+
+
+def _scratch_of(spark: SparkSession) -> tuple[list[str], list[str]]:
+    return _SCRATCH.setdefault(spark.sparkContext.applicationId, ([], []))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/pixelframe-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/pixelframe-scratch/{name}-{uuid.uuid4().hex}"
+    _scratch_of(spark)[0].append(path)
+    return path
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """Note a catalog table over scratch files, to be dropped with them."""
+    _scratch_of(spark)[1].append(name)
+    return name
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Drop the scratch tables and delete the scratch folders of this session.
+
+    Call it when the frames read from them are done with: scratch tables stay
+    until then, as frames are lazy.  Returns the number of folders deleted."""
+    paths, tables = _scratch_of(spark)
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    paths.clear()
+    tables.clear()
+    return n
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

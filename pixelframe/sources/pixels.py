@@ -43,9 +43,9 @@ def read_pixels_csv(spark: SparkSession, path: str, schema: T.StructType | None
     return reader.csv(path)
 
 
-def write_pixels_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_pixels_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
     """CSV sink with header and no index column (S3)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
 def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

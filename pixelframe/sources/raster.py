@@ -81,19 +81,18 @@ def write_pixels(df: DataFrame, path: str, partition_by: str | None = "band",
     w.parquet(path)
 
 
-def read_pixels_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def write_pixels_bucketed(df: DataFrame, table: str, path: str, buckets: int,
                           keys: tuple[str, str] = ("row_px", "col_px")) -> DataFrame:
     """Wide pixels as an external Parquet table bucketed (and sorted) by the
-    pixel index, at ``path`` in shared storage.
+    pixel index, at ``path`` in shared storage.  Rows are dealt by bucket
+    before the write, so there is one file per bucket.  Take ``buckets`` by
+    the table's size (about 256 MB each) and join with as many shuffle
+    partitions: then only the other side moves.
 
     Joins on the pixel index against this table (resampling the same source
     onto several grids) shuffle only the other side; the pixel side is read
     bucket by bucket in place.
     """
-    (df.write.mode("overwrite").option("path", path)
+    (df.repartition(int(buckets), *keys).write.mode("overwrite").option("path", path)
        .bucketBy(int(buckets), *keys).sortBy(*keys).saveAsTable(table))
     return df.sparkSession.table(table)

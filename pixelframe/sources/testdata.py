@@ -68,7 +68,7 @@ def sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_rows(li: DataFrame) -> DataFrame:
-    """F2 projection of lineitem rows (batch or streaming)."""
+    """F2 projection of lineitem rows ."""
     return li.select(
         *F2_KEYS,
         F.when(F.col("l_quantity") * F.col("l_extendedprice") > F2_BURN_PRODUCT, 1.0)

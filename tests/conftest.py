@@ -11,8 +11,17 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pixelframe.session import get_spark
-    s = get_spark("local[4]", app="pixelframe-tests", shuffle_partitions=8)
+    s = get_spark("local[4]", app="pixelframe-tests", shuffle_partitions=8,
+                  extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True, scope="module")
+def _scratch(spark):
+    """Scratch tables and folders end with the module that made them."""
+    yield
+    from pixelframe.session import release_scratch
+    release_scratch(spark)

@@ -55,11 +55,30 @@ def test_auc_matches_exact_evaluator_with_ties(spark, scored):
     assert 0.0 <= ours <= 1.0
 
 
-def test_auc_bucketed_equals_single_window(scored):
-    one = M.auc_roc(scored, score="score").first()
-    many = M.auc_roc(scored, score="score", rows_per_bucket=5).first()
-    assert many.auc == pytest.approx(one.auc, abs=1e-12)
-    assert (many.n_pos, many.n_neg) == (one.n_pos, one.n_neg)
+@pytest.mark.parametrize("partitions", [1, 7, 200])
+def test_auc_odd_scores_under_any_partitions(spark, partitions):
+    # null ranks below every number, NaN above; equal ones tie; no labelled row is lost
+    nan, inf = float("nan"), float("inf")
+    scores = [None, None, -inf, -1.0, 0.0, -0.0, 0.5, 0.5, 0.5, 2.0, inf, nan, nan, None, 0.25]
+    rows = [(float(i % 3 == 0), x) for i, x in enumerate(scores)]
+    key = lambda x: (0, 0.0) if x is None else (2, 0.0) if x != x else (1, x + 0.0)
+    pos, neg = [key(x) for y, x in rows if y], [key(x) for y, x in rows if not y]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.createDataFrame(rows, "label DOUBLE, score DOUBLE").repartition(min(partitions, 16))
+        r = M.auc_roc(df).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert (r.n_pos, r.n_neg) == (len(pos), len(neg)) and r.n_pos + r.n_neg == len(rows)
+    assert r.auc == pytest.approx(want, abs=1e-12)
+
+
+def test_constant_label_has_no_r2(spark):
+    df = spark.createDataFrame([(1.0, 0.5), (1.0, 0.7)], "label DOUBLE, prediction DOUBLE")
+    assert M.r2(df).first().r2 is None
+    assert M.regression_metrics(df).first().r2 is None and M.rmse(df).first().rmse > 0
 
 
 def test_auc_undefined_for_one_class(spark):

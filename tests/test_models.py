@@ -1,4 +1,7 @@
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import MinMaxScaler
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -26,9 +29,6 @@ def test_scaler_constant_column_and_no_clipping(spark):
     m = FT.fit_scaler(train, ["a", "b"])
     r = FT.vector_columns(m.transform(test), "normFeatures", ["a", "b"]).first()
     assert (r.a, r.b) == (2.0, 0.5)
-    stats = {r.feature: (r.min_value, r.max_value) for r in FT.minmax_stats(train, ["a", "b"]).collect()}
-    col = FT.minmax_columns(test, stats).first()
-    assert (col.a, col.b) == (2.0, 0.5)
 
 
 def test_bare_stage_equals_pipeline(spark):
@@ -78,42 +78,23 @@ def test_cv_search_is_reproducible_across_partitionings(spark):
 def test_tvs_search_and_workflow(spark):
     res = run_workflow(spark, prepared(spark, SF_SMALL), "linear", F2_KEYS)
     s = {r.model: r for r in res.summary.collect()}
-    assert set(s) == {"TrainValidationSplit", "CrossValidator"}
+    assert set(s) == {"train_validation", "cross_validation"}
     assert all(0 < r.rmse < 1 for r in s.values())
-    ranks = [r.rank for r in res.explanations["CrossValidator"].collect()]
+    ranks = [r.rank for r in res.explanations["cross_validation"].collect()]
     assert sorted(ranks) == list(range(1, 9))
 
 
-def test_streaming_scoring_equals_batch(spark, tmp_path):
-    from pixelframe.sources.testdata import sample_rows
-    from pixelframe.streaming import start_scoring
-    train, test = prep.hash_split(weighted(spark, SF_SMALL), F2_KEYS, 0.7)
-    pipe, _ = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
-    model = pipe.fit(train)
-    lineitem = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-
-    def prepare(s):
-        s = prep.drop_zero_or_null(sample_rows(s), FEATURES)
-        s = prep.select_features(s, FEATURES, keep=F2_KEYS)
-        return prep.drop_missing(s, FEATURES + ["label"]).filter(~prep.split_flag(F2_KEYS, 0.7))
-
-    sink = str(tmp_path / "sink")
-    q = start_scoring(spark, model, f"{SF_SMALL}/lineitem*.parquet", lineitem.schema, sink,
-                      prepare=prepare, keep=F2_KEYS, checkpoint=str(tmp_path / "ckpt"))
-    q.awaitTermination()
-    streamed = spark.read.parquet(sink).select(*F2_KEYS, "prediction")
-    batch = RP.score(model, test, keep=F2_KEYS).select(*F2_KEYS, "prediction")
-    assert streamed.count() == batch.count()
-    assert streamed.exceptAll(batch).count() == 0
-
-
 def test_classifier_workflow_reports_every_label(spark):
     grids = {"tvs": {"regParam": [0.01]}, "cv": {"regParam": [0.01, 0.1]}}
     res = run_workflow(spark, weighted(spark, SF_SMALL), "logistic", F2_KEYS, grids=grids, k=2)
     labels = {(r.model, r.label) for r in res.per_label.collect()}
-    assert labels == {(m, l) for m in ("TrainValidationSplit", "CrossValidator") for l in (0.0, 1.0)}
+    assert labels == {(m, l) for m in ("train_validation", "cross_validation") for l in (0.0, 1.0)}
     s = {r.model: r for r in res.summary.collect()}
     assert all(0.5 < r.auc <= 1.0 for r in s.values())
+    w = {r.model: r.weighted_f1 for r in res.weighted.collect()}
+    for name, scored in res.scored.items():
+        assert w[name] == pytest.approx(MulticlassClassificationEvaluator(metricName="f1").evaluate(scored))
+        assert "features" in scored.columns
 
 
 def test_tvs_shared_prefix_equals_full_pipeline(spark):
@@ -125,3 +106,25 @@ def test_tvs_shared_prefix_equals_full_pipeline(spark):
     b = TU.train_validation_search(pipe, maps, TU.auc_evaluator(), train, F2_KEYS, share_prefix=False)
     assert a.metrics == pytest.approx(b.metrics, abs=1e-12)
     assert a.best_index == b.best_index
+
+
+@pytest.mark.parametrize("kind", ["logistic", "linear"])
+def test_cv_equals_cross_validator_and_fits_the_scaler_per_fold(spark, kind, monkeypatch):
+    train, _ = prep.hash_split(weighted(spark, SF_SMALL), F2_KEYS, 0.7)
+    pipe, est = staged_estimator(kind, FEATURES, prep.WEIGHT_COL if kind == "logistic" else None)
+    maps = TU.param_grid(est, {"regParam": [0.01, 0.3]})
+    ev = TU.auc_evaluator() if kind == "logistic" else TU.rmse_evaluator()
+    folded = prep.with_fold(train, F2_KEYS, 3).cache()
+    want = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, numFolds=3, foldCol="fold").fit(folded).avgMetrics
+    fits, plain = [], MinMaxScaler._fit
+    monkeypatch.setattr(MinMaxScaler, "_fit", lambda self, data: (fits.append(1), plain(self, data))[1])
+    got = TU.cross_validation_search(pipe, maps, ev, train, F2_KEYS, 3, parallelism=2)
+    assert got.metrics == pytest.approx(list(want), abs=1e-9)
+    assert len(fits) == 3 + 1
+
+
+def test_forest_is_the_same_from_any_partitions(spark):
+    train, _ = prep.hash_split(weighted(spark, SF_SMALL), F2_KEYS, 0.7)
+    pipe, _ = staged_estimator("forest", FEATURES, prep.WEIGHT_COL)
+    found = {tuple(pipe.fit(prep.by_key(train.repartition(n), F2_KEYS)).stages[-1].featureImportances.toArray()) for n in (1, 3, 9)}
+    assert len(found) == 1

@@ -51,7 +51,7 @@ def test_class_weight_ratio_and_other_labels(spark):
     c = prep.balance_ratio(df).first()
     assert (c.n_label0, c.n_label1) == (3, 1)
     assert c.balancing_ratio == pytest.approx(0.75)
-    w = {r.label: r.classWeightCol for r in prep.with_class_weight(df).distinct().collect()}
+    w = {r.label: r.class_weight for r in prep.with_class_weight(df).distinct().collect()}
     assert w[1.0] == pytest.approx(0.75) and w[0.0] == pytest.approx(0.25) and w[2.0] == pytest.approx(0.25)
 
 
@@ -140,11 +140,22 @@ def test_split_summary_equals_weight_column_sums(spark):
     assert sum(r.n_rows for r in fast.values()) == 500
 
 
-def test_spread_only_when_small_partition_count(spark):
-    one = spark.range(120_000).select(F.col("id").alias("k")).coalesce(1)
-    spread = prep.spread(one, ["k"], min_rows_per_partition=50_000, max_partitions=8)
-    assert spread.rdd.getNumPartitions() == 3
-    tiny = spark.range(100).select(F.col("id").alias("k")).coalesce(1)
-    assert prep.spread(tiny, ["k"], max_partitions=8).rdd.getNumPartitions() == 1
-    many = spark.range(1000, numPartitions=8).select(F.col("id").alias("k"))
-    assert prep.spread(many, ["k"], max_partitions=8) is many
+def test_by_key_deals_the_same_rows_from_any_partitions(spark):
+    def parts(df):
+        tagged = prep.by_key(df, ["k"], 5).select(F.spark_partition_id().alias("p"), "k").collect()
+        return [[r.k for r in tagged if r.p == p] for p in range(5)]
+
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
+    assert parts(df.repartition(1)) == parts(df.repartition(9)) == parts(df.repartition(3))
+
+
+def test_split_summary_without_known_labels(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, 5.0)], "k INT, label DOUBLE")
+    rows = prep.split_summary(prep.with_split(df, ["k"], 0.5)).collect()
+    assert sum(r.n_rows for r in rows) == 2 and all(r.weight_sum is None for r in rows)
+
+
+def test_null_keys_hash_apart(spark):
+    from pixelframe.functions.exprs import key_hash
+    df = spark.createDataFrame([(1, None, 2), (1, 2, None), (None, 1, 2), (1, 2, 2)], "a INT, b INT, c INT")
+    assert df.select(key_hash(["a", "b", "c"]).alias("h")).distinct().count() == 4

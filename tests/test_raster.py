@@ -128,3 +128,28 @@ def test_resample_uses_shuffle_join_beyond_broadcast_bound(spark, small_raster):
     plan_small = small._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan_small
     assert sorted(small.collect()) == sorted(big.collect())
+
+
+def test_absent_pixels_do_not_move_the_others(spark):
+    rows = [(1, r, c, float(10 * r + c)) for r in range(5) for c in range(5) if (r, c) not in {(1, 0), (2, 1), (4, 4)} and r != 3]
+    long = spark.createDataFrame(rows, "band INT, row_px INT, col_px INT, value DOUBLE")
+    back = R.flatten_tiles(R.to_tiles(long, 3), 3).where("value IS NOT NULL")
+    assert sorted(map(tuple, back.select("band", "row_px", "col_px", "value").collect())) == sorted(rows)
+
+
+def test_bucketed_join_moves_only_the_cells(spark):
+    from pixelframe.session import scratch_path, scratch_table
+    from pixelframe.sources.raster import write_pixels_bucketed
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 12)
+    try:
+        px = spark.range(400).selectExpr("CAST(id / 20 AS INT) AS row_px", "CAST(id % 20 AS INT) AS col_px", "id * 1.0D AS lst")
+        path = scratch_path(spark, "bucket-test")
+        table = scratch_table(spark, "bucket_test_" + path.rsplit("-", 1)[-1])
+        src = write_pixels_bucketed(px, table, path, 12)
+        joined = px.select("row_px", "col_px").join(src.hint("merge"), ["row_px", "col_px"], "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and ", 12)" in plan
+        assert joined.count() == 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
