@@ -238,8 +238,8 @@ def resample_nearest(cells: DataFrame, pixels: DataFrame, meta: RasterMeta,
     nothing and carry ``nodata``, as do source nulls.  No filter is put on
     the projected index: Catalyst would push it below the projection and
     evaluate the trigonometry twice.  The pixel side is broadcast only if
-    its maximal size (width * height rows, from the metadata) is under the
-    bound; otherwise both sides shuffle on the pixel key (AQE splits the
+    both its metadata (width * height rows) and a count of its rows, which
+    stops at the bound, are under the bound; otherwise both sides shuffle on the pixel key (AQE splits the
     hot keys of upsampling, where one pixel feeds many cells), or, with
     ``join_hint="merge"`` on a table bucketed by the pixel index, only the
     cells shuffle.
@@ -250,8 +250,8 @@ def resample_nearest(cells: DataFrame, pixels: DataFrame, meta: RasterMeta,
     src_row, src_col = source_pixel(lon, lat, meta)
     located = cells.select(ROW, COL, src_row.alias("src_row"), src_col.alias("src_col"))
     src = pixels.select(ROW, COL, *[F.col(b).cast("double").alias(b) for b in band_cols])
-    est_bytes = meta.n_pixels * 8 * (len(band_cols) + 2)
-    if est_bytes <= broadcast_max_bytes:
+    most = broadcast_max_bytes // (8 * (len(band_cols) + 2))  # rows under the bound
+    if meta.n_pixels <= most and src.limit(most + 1).count() <= most:  # the table itself, not its metadata alone
         src = F.broadcast(src)
     elif join_hint:
         src = src.hint(join_hint)

@@ -58,10 +58,12 @@ FROM (SELECT g.reg_param, s.mx, s.my, s.cxy / s.vx / (1E0 + g.reg_param / SQRT(s
 def ridge_single(spark, sf_dir):
     d = _vec(prepared(spark, sf_dir), ["lst"]).cache()
     rows = []
-    for lam in (0.0, 0.3):
-        m = linear_regression(features_col="features", reg_param=lam).fit(d)
-        rows.append((lam, round(float(m.coefficients[0]), 10), round(float(m.intercept), 10)))
-    d.unpersist()
+    try:
+        for lam in (0.0, 0.3):
+            m = linear_regression(features_col="features", reg_param=lam).fit(d)
+            rows.append((lam, round(float(m.coefficients[0]), 10), round(float(m.intercept), 10)))
+    finally:
+        d.unpersist()
     return spark.createDataFrame(rows, "reg_param DOUBLE, slope DOUBLE, intercept DOUBLE")
 
 
