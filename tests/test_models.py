@@ -2,7 +2,6 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from pixelframe.operators import features as FT
