@@ -91,13 +91,15 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
     if max_bits != MAX_BITS:
         raise ValueError("two segments with one wildcard find distances up to 2")
     sigs = _variants(fps)
-    shared = stored(sigs.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1"), "variants")
-    small = sigs.join(shared.where(F.col("n") <= bucket), "sig").groupBy("sig").agg(
+    shared = sigs.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1")
+    # both sides grow with the input: a merge join at any size
+    members = stored(sigs.join(shared.hint("merge"), "sig"), "variants")
+    small = members.where(F.col("n") <= bucket).groupBy("sig").agg(
         F.sort_array(F.collect_list("fp")).alias("fps"))  # at most ``bucket`` entries
     pairs = small.select(F.explode(F.flatten(F.transform("fps", lambda a, i: F.transform(
         F.filter("fps", lambda b: b > a), lambda b: F.struct(a.alias("u"), b.alias("v")))))).alias("p")).select("p.*")
     pairs = pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits).distinct()
-    crowded = sigs.join(shared.where(F.col("n") > bucket), "sig").select("fp").distinct()
+    crowded = members.where(F.col("n") > bucket).select("fp").distinct()
     return pairs.union(_ball_links(crowded))
 
 
@@ -114,7 +116,9 @@ def _ball_links(fps: DataFrame) -> DataFrame:
 
 def components(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(fp, root): the smallest linked fingerprint of every fingerprint in ``rows``."""
-    distinct = stored(rows.select("fp").distinct(), "fingerprints")
+    # every fingerprint makes 64 rows: dealt to as many tasks as any shuffle
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = stored(rows.select("fp").distinct().repartition(tasks, "fp"), "fingerprints")
     roots = connected_components(links(distinct, bucket=bucket))
     return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"))
