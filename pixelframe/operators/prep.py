@@ -179,7 +179,7 @@ def split_summary(df: DataFrame, split_col: str = "split", label: str = "label",
 
 # Tasks of a fit.  Trees draw their samples by partition, so the number is part
 # of the model: it is fixed here, not taken from the machine or the input.
-FIT_PARTITIONS = 16
+FIT_PARTITIONS = 8
 
 
 def by_key(df: DataFrame, key_cols: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
