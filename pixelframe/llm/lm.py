@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from pixelframe.llm.base import read_table, stored
 from pixelframe.llm.elias_fano import EliasFano, Trie, restore
 
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 SHARD_TOKENS = 2_000_000
 MU = 200.0  # M above
 FOLDS, HELD_OUT = 5, 1
