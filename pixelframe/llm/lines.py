@@ -13,9 +13,18 @@ each class is indexed under these (prefix filter); joined pairs must fit in
 length and in what can still match after the shared word (positional filter).
 The Jaccard similarity of what is left is computed on the words themselves.
 
-Pairs are only formed between classes, and the first of a class goes when any
-class that began earlier is similar.  Lines of fewer than 5 words can only be
-similar when equal and are not joined.
+Two classes must further differ in no more than (n + m) / 9 words, and no fewer
+than the bits in which their 64-bit parity sketches differ, which leaves few
+pairs that are not similar.
+
+Only the first line of a class can still be in question, and one similar class
+that began earlier settles it.  Under a prefix word of at most ``CROWD`` lines
+all pairs are formed.  Under a crowded one, every class is first compared with
+the earliest one (a star, not all pairs); what is then settled is no longer
+looked up, and only the classes left over meet all earlier ones.  The result is
+that of all pairs; groups of many similar lines cost a few pairs per line.
+Lines of fewer than 4 different words can only be similar when equal and are
+not joined.
 
 Defined results: null text has no lines and stays null; blank lines stay;
 documents of equal doc_id are ordered by a hash of their text, and rows equal in
@@ -27,45 +36,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pixelframe.functions.ranges import global_index
 from pixelframe.llm.base import WS, read_table, stored
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 16
+CROWD = 64
 BROADCAST_ROWS = 1_000_000
 
 
 def line_words(line: Column) -> Column:
-    """Words of a line: the one-character split is the fast way and holds
-    wherever the only white space is single spaces."""
-    odd = line.rlike(r"[\x09-\x0D]|  |^ | $")
-    return F.when(odd, F.array_remove(F.split(line, WS), "")).otherwise(
-        F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, " ")))
+    """Words of a line: cut at single spaces, the fast way, unless it has other white space."""
+    odd = line.contains("\t") | line.contains("\r") | line.contains("\x0b") | line.contains("\x0c")
+    return F.array_remove(F.when(odd, F.split(line, WS)).otherwise(F.split(line, " ")), "")
 
 
 def word_ranks(docs: DataFrame) -> Column:
-    """The rank of each of the 2^16 hash buckets by the number of words in it
-    over the whole table, rarest first: a constant array column (the 2^16
-    counts are all that reaches the driver, whatever the table's size)."""
-    words = docs.where(docs["text"].isNotNull()).select(F.explode(F.transform(
-        line_words(F.translate(docs["text"], "\n", " ")),
-        lambda w: F.shiftrightunsigned(F.xxhash64(w), 48).cast("int"))).alias("b"))
-    counts = words.groupBy("b").agg(F.count("*").alias("n"))
-    by_bucket = dict(counts.collect())
-    rank = [0] * BUCKETS
-    for r, bucket in enumerate(sorted(range(BUCKETS), key=lambda x: (by_bucket.get(x, 0), x))):
-        rank[bucket] = r
-    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")  # folded to one literal
-
-
-def _word_ids(words: Column, ranks: Column) -> Column:
-    """Distinct 64-bit word ids, rarest first: the bucket (upper 16 bits of the
-    hash) is replaced by its rank, one to one, so ids differ where hashes do."""
-    def ranked(h):
-        rank = F.element_at(ranks, F.shiftrightunsigned(h, 48).cast("int") + 1) - BUCKETS // 2
-        return F.shiftleft(rank.cast("long"), 48).bitwiseOR(h.bitwiseAND((1 << 48) - 1))
-
+    """For each of the 2^16 hash buckets (upper 16 bits of a word's hash) what
+    turns these bits into the bucket's rank by XOR, as a constant array column.
+    Buckets are ranked by the number of words in them over the whole table,
+    rarest first; the 2^16 counts are all that reaches the driver."""
+    words = _lines(docs).select(F.explode(F.transform(
+        line_words(F.col("line")), lambda w: F.shiftrightunsigned(F.xxhash64(w), 48).cast("int"))).alias("b"))
+    by_bucket = dict(words.groupBy("b").agg(F.count("*").alias("n")).collect())
+    flips = [0] * BUCKETS
+    for rank, bucket in enumerate(sorted(range(BUCKETS), key=lambda x: (by_bucket.get(x, 0), x))):
+        upper = (bucket ^ rank ^ 1 << 15) << 48  # the sign bit turned, so that ranks sort as signed numbers
+        flips[bucket] = upper - (1 << 64) if upper >> 63 else upper
+    return F.split(F.lit(",".join(map(str, flips))), ",").cast("array<long>")  # folded to one literal
+
+
+def _word_ids(words: Column, flips: Column) -> Column:
+    """Distinct 64-bit word ids, rarest first: the upper 16 bits of the hash give
+    way to their rank, one to one, so ids differ where hashes do."""
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.transform(hashes, ranked)))
+    return F.sort_array(F.transform(F.array_distinct(hashes), lambda h: h.bitwiseXOR(
+        F.get(flips, F.shiftrightunsigned(h, 48).cast("int")))))
 
 
 def _place(table: str = "") -> Column:
@@ -81,73 +87,106 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def index_lines(docs: DataFrame, ranks: Column) -> DataFrame:
-    """(doc_id, text_hash, line_no, k1, k2, n, prefix) of every line with a word:
-    its class (two hashes of its word set), its number of different words and
-    the ids of the rarest of them."""
+    """(doc_id, text_hash, line_no, k1, k2, n, sketch, prefix) of every line with
+    a word: its class (two hashes of its word set), its number of different
+    words, their parity sketch and the ids of the rarest of them."""
     ids = _lines(docs).select("doc_id", "text_hash", "line_no", _word_ids(line_words(F.col("line")), ranks).alias("ids"))
     n = F.size("ids")
     # n - ceil(0.8 n) + 1 in whole numbers
-    length = F.when(n < 5, F.lit(0)).otherwise(F.floor(n / 5).cast("int") + 1)
+    length = F.when(n < 4, F.lit(0)).otherwise(F.floor(n / 5).cast("int") + 1)
+    sketch = F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
     rows = ids.select("doc_id", "text_hash", "line_no", F.xxhash64("ids").alias("k1"),
-                      F.xxhash64(F.lit(1), F.reverse("ids")).alias("k2"), n.alias("n"),
+                      F.xxhash64(F.lit(1), "ids").alias("k2"), n.alias("n"), sketch.alias("sketch"),
                       F.slice("ids", F.lit(1), length).alias("prefix"))
     return stored(rows.where("n > 0"), "lines")
 
 
-def candidate_pairs(indexed: DataFrame) -> DataFrame:
-    """(a, b): classes (k1) that share a prefix word and fit in length and position."""
-    rows = indexed.where("n >= 5").select("k1", "n", F.posexplode("prefix").alias("at", "word"))
-    # dealt by word once: copies of a line fall together there, and both sides of the join read it
-    rows = rows.repartition("word").groupBy("word", "k1", "n", "at").agg(F.lit(1).alias("one"))
-    x, y = rows.alias("x"), rows.alias("y")
-    fits = ((F.col("x.k1") < F.col("y.k1"))
-            & (F.least("x.n", "y.n") * 5 >= F.greatest("x.n", "y.n") * 4)
-            & ((F.least("x.at", "y.at") + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))) * 9
-               >= (F.col("x.n") + F.col("y.n")) * 4))
-    return x.join(y, (F.col("x.word") == F.col("y.word")) & fits).select(
-        F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct()
+def _first_lines(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the indexed rows that stand for the first line of their class,
+    with ``o``, the place of the class in order of its first line."""
+    return rows.join(classes, ["k1", "k2"]).where(_place() == F.col("place")).drop("place")
+
+
+def _fits(x: str, y: str) -> Column:
+    """Length, parity and positional filters between two prefix rows of a word."""
+    c = F.col
+    return ((c(f"{y}.o") < c(f"{x}.o"))
+            & (F.bit_count(c(f"{x}.sketch").bitwiseXOR(c(f"{y}.sketch"))) * 9 <= c(f"{x}.n") + c(f"{y}.n"))
+            & (F.least(f"{x}.n", f"{y}.n") * 5 >= F.greatest(f"{x}.n", f"{y}.n") * 4)
+            & ((F.least(f"{x}.at", f"{y}.at") + F.least(c(f"{x}.n") - c(f"{x}.at"), c(f"{y}.n") - c(f"{y}.at"))) * 9
+               >= (c(f"{x}.n") + c(f"{y}.n")) * 4))
+
+
+def _met(later: DataFrame, earlier: DataFrame) -> DataFrame:
+    """(a, b): classes ``a`` that began before ``b``, share a prefix word and fit."""
+    x, y = later.hint("merge").alias("x"), earlier.hint("merge").alias("y")
+    return x.join(y, (F.col("x.word") == F.col("y.word")) & _fits("x", "y")).select(
+        F.col("y.o").alias("a"), F.col("x.o").alias("b")).distinct()
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def similar_classes(docs: DataFrame, indexed: DataFrame, firsts: DataFrame, broadcast_rows: int) -> DataFrame:
-    """(k1, k2) of classes that are similar to a class which began earlier."""
-    pairs = stored(candidate_pairs(indexed), "pairs")
-    used = pairs.select(F.col("a").alias("k1")).union(pairs.select(F.col("b").alias("k1"))).distinct()
-    reps = stored(firsts.join(used, "k1").select("k1", "k2", "place.doc_id", "place.text_hash", "place.line_no", "place"), "reps")
+def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(b,) of the pairs whose word sets have the similarity, by the words themselves."""
+    used = pairs.select(F.col("a").alias("o")).union(pairs.select(F.col("b").alias("o"))).distinct()
+    reps = stored(classes.join(used, "o").select("o", "place.doc_id", "place.text_hash", "place.line_no"), "reps")
     lines = _lines(docs).alias("l")
     r = _sized(reps, broadcast_rows).alias("r")
     same = (F.col("l.text_hash") == F.col("r.text_hash")) & (F.col("l.line_no") == F.col("r.line_no")) \
         & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))
-    spelled = stored(lines.join(r, same).select("k1", "k2", "place", F.array_distinct(
-        line_words(F.col("line"))).alias("words")).dropDuplicates(["k1", "k2"]), "spelled")
-    x = spelled.select(F.col("k1").alias("a"), F.struct("k1", "k2", "place", "words").alias("x"))
-    y = spelled.select(F.col("k1").alias("b"), F.struct("k1", "k2", "place", "words").alias("y"))
-    both = pairs.join(x, "a").join(y, "b")
-    shared = F.size(F.array_intersect("x.words", "y.words"))
-    similar = both.where(shared * 9 >= (F.size("x.words") + F.size("y.words")) * 4)
-    later = similar.where("x.place <> y.place").select(
-        F.when(F.col("x.place") < F.col("y.place"), F.struct("y.k1", "y.k2")).otherwise(F.struct("x.k1", "x.k2")).alias("k"))
-    return later.select("k.k1", "k.k2").distinct()
-
-
-def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, text_hash, removed): the numbers of the lines that go, by document."""
+    # the different words as one string, a third of the size of an array of them
+    spelled = stored(lines.join(r, same).select("o", F.array_join(F.array_distinct(line_words(F.col("line"))), " ").alias("words"))
+                     .dropDuplicates(["o"]), "spelled")
+    x = spelled.select(F.col("o").alias("a"), F.col("words").alias("x"))
+    y = spelled.select(F.col("o").alias("b"), F.col("words").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").select("b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared * 9 >= (F.size("x") + F.size("y")) * 4).select("b").distinct()
+
+
+def similar_classes(docs: DataFrame, indexed: DataFrame, classes: DataFrame, broadcast_rows: int,
+                    crowd: int = CROWD) -> DataFrame:
+    """(o,) of the classes that are similar to a class which began earlier."""
+    columns = ["word", "o", "n", "at", "sketch"]
+    exploded = indexed.select("*", F.posexplode("prefix").alias("at", "word")).drop("prefix")
+    counts = exploded.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
+    hot = _sized(stored(counts.select("word"), "hot"), broadcast_rows)
+    # under all other words: both sides of the join are the same rows and share one exchange
+    few = _first_lines(indexed.where(F.size("prefix") > 0), classes).select("*", F.posexplode("prefix").alias("at", "word"))
+    few = few.select(columns).dropna().join(hot, "word", "left_anti")
+    direct = stored(_met(few, few), "direct")
+    crowded = stored(_first_lines(exploded.join(hot, "word", "left_semi"), classes).select(columns), "crowded")
+    earliest = crowded.groupBy("word").agg(F.min(F.struct("o", "n", "at", "sketch")).alias("e")).select("word", "e.*")
+    pairs = stored(direct.union(_met(crowded, earliest)).distinct(), "pairs")
+    settled = stored(_similar(docs, pairs, classes, broadcast_rows), "settled").withColumnRenamed("b", "o")
+    rest = crowded.join(settled, "o", "left_anti")
+    more = stored(_met(rest, crowded).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if more.isEmpty():
+        return settled
+    return settled.union(_similar(docs, more, classes, broadcast_rows))
+
+
+def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
+    """(doc_id, text_hash, line_no) of the lines that go."""
     indexed = index_lines(docs, word_ranks(docs))
     places = indexed.select("k1", "k2", _place().alias("place"))
-    firsts = stored(places.groupBy("k1", "k2").agg(F.min("place").alias("place")), "firsts")
-    near = similar_classes(docs, indexed, firsts, broadcast_rows).withColumn("near", F.lit(True))
-    first = firsts.withColumnRenamed("place", "first").join(near, ["k1", "k2"], "left")
-    gone = places.join(first, ["k1", "k2"]).where("near or place > first").select("place.*")
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("removed"))  # lines of one text
+    firsts = places.groupBy("k1", "k2").agg(F.min("place").alias("place"))
+    classes = stored(global_index(firsts, [F.col("place"), F.col("k1"), F.col("k2")], "o"), "classes")
+    near = similar_classes(docs, indexed, classes, broadcast_rows, crowd).withColumn("near", F.lit(True))
+    first = classes.withColumnRenamed("place", "first").join(near, "o", "left").select("k1", "k2", "first", "near")
+    return stored(places.join(first, ["k1", "k2"]).where("near or place > first").select("place.*"), "gone")
 
 
-def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
     """``docs`` with ``__n_lines`` and ``__removed`` (line numbers) added and the lines gone from ``text``."""
-    r = removed_lines(docs, broadcast_rows).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-                                                   F.col("removed").alias("__removed"))
+    gone = removed_lines(docs, broadcast_rows, crowd)
+    r = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("__removed"))  # lines of one text
+    r = r.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__removed")
+    if gone.count() <= broadcast_rows:
+        r = F.broadcast(r)
     joined = docs.join(r, docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))
                        & (F.xxhash64(docs["text"]) == F.col("__hash")), "left")
     joined = joined.withColumn("__lines", F.split("text", "\n")).withColumn(
@@ -158,9 +197,9 @@ def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFra
     return joined.withColumn("text", text).drop("__id", "__hash", "__lines")
 
 
-def dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed, text) for every row of ``docs`` (doc_id, text)."""
-    out = drop_lines(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]), broadcast_rows)
+    out = drop_lines(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]), broadcast_rows, crowd)
     gone = F.coalesce(F.sort_array("__removed"), F.array().cast("array<int>"))
     return out.select("doc_id", F.col("__n_lines").cast("long").alias("n_lines"),
                       F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed"), "text")
@@ -184,7 +223,7 @@ WITH l AS (SELECT doc_id, line_no, line, doc_id * 100000000 + line_no AS place,
            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                         unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM documents)),
 g AS (SELECT w, min(place) AS first, row_number() OVER () AS id FROM l WHERE len(w) > 0 GROUP BY w),
-t AS (SELECT id, len(w) AS n, unnest(w) AS x FROM g WHERE len(w) >= 5),
+t AS (SELECT id, len(w) AS n, unnest(w) AS x FROM g WHERE len(w) >= 4),
 df AS (SELECT x, count(*) AS df FROM t GROUP BY x),
 r AS (SELECT id, n, x, row_number() OVER (PARTITION BY id ORDER BY df, x) AS k FROM t JOIN df USING (x)),
 p AS (SELECT DISTINCT a.id AS a, b.id AS b FROM r a JOIN r b USING (x)

@@ -50,7 +50,7 @@ def test_against_brute_force(spark):
     rows += [(50, None), (51, ""), (52, "\n\n  \n"), (None, rows[0][1]), (53, "a b c d e " * 3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     check(df, rows)
-    check(df, rows, broadcast_rows=0)
+    check(df, rows, broadcast_rows=0, crowd=2)
 
 
 def test_corpus_rows(docs, corpus):
