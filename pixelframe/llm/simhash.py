@@ -77,7 +77,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keep
 def _variants(fps: DataFrame) -> DataFrame:
     """(sig, fp): 32 one-wildcard variants of either 32-bit segment."""
     one = F.lit(1).cast("long")
-    rows = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i"))
+    # a small file of fingerprints makes many rows: dealt to as many tasks as any shuffle first
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = fps.repartition(tasks, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i"))
     bit = (F.col("i") % 32).cast("int")
     seg = F.when(F.col("i") < 32, F.col("fp")).otherwise(F.expr("shiftrightunsigned(fp, 32)")).bitwiseAND(0xFFFFFFFF)
     rows = rows.withColumn("seg", seg).withColumn("mask", F.call_function("shiftleft", one, bit))
@@ -116,9 +118,7 @@ def _ball_links(fps: DataFrame) -> DataFrame:
 
 def components(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(fp, root): the smallest linked fingerprint of every fingerprint in ``rows``."""
-    # every fingerprint makes 64 rows: dealt to as many tasks as any shuffle
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = stored(rows.select("fp").distinct().repartition(tasks, "fp"), "fingerprints")
+    distinct = stored(rows.select("fp").distinct(), "fingerprints")
     roots = connected_components(links(distinct, bucket=bucket))
     return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"))
