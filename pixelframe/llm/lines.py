@@ -14,8 +14,8 @@ length and in what can still match after the shared word (positional filter).
 The Jaccard similarity of what is left is computed on the words themselves.
 
 Two classes must further differ in no more than (n + m) / 9 words, and no fewer
-than the bits in which their 64-bit parity sketches differ, which leaves few
-pairs that are not similar.
+than the bits in which either of their two 64-bit parity sketches differ, which
+leaves few pairs that are not similar.
 
 Only the first line of a class can still be in question, and one similar class
 that began earlier settles it.  Under a prefix word of at most ``CROWD`` lines
@@ -87,17 +87,20 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def index_lines(docs: DataFrame, ranks: Column) -> DataFrame:
-    """(doc_id, text_hash, line_no, k1, k2, n, sketch, prefix) of every line with
-    a word: its class (two hashes of its word set), its number of different
-    words, their parity sketch and the ids of the rarest of them."""
+    """(doc_id, text_hash, line_no, k1, k2, n, sketch, sketch2, prefix) of every
+    line with a word: its class (two hashes of its word set), its number of
+    different words, their parity sketches and the ids of the rarest of them."""
     ids = _lines(docs).select("doc_id", "text_hash", "line_no", _word_ids(line_words(F.col("line")), ranks).alias("ids"))
     n = F.size("ids")
     # n - ceil(0.8 n) + 1 in whole numbers
     length = F.when(n < 4, F.lit(0)).otherwise(F.floor(n / 5).cast("int") + 1)
-    sketch = F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
+
+    def sketch(shift: int) -> Column:
+        return F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.shiftright(x, shift).bitwiseAND(63).cast("int"))))
+
     rows = ids.select("doc_id", "text_hash", "line_no", F.xxhash64("ids").alias("k1"),
-                      F.xxhash64(F.lit(1), "ids").alias("k2"), n.alias("n"), sketch.alias("sketch"),
+                      F.xxhash64(F.lit(1), "ids").alias("k2"), n.alias("n"), sketch(0).alias("sketch"), sketch(6).alias("sketch2"),
                       F.slice("ids", F.lit(1), length).alias("prefix"))
     return stored(rows.where("n > 0"), "lines")
 
@@ -113,6 +116,7 @@ def _fits(x: str, y: str) -> Column:
     c = F.col
     return ((c(f"{y}.o") < c(f"{x}.o"))
             & (F.bit_count(c(f"{x}.sketch").bitwiseXOR(c(f"{y}.sketch"))) * 9 <= c(f"{x}.n") + c(f"{y}.n"))
+            & (F.bit_count(c(f"{x}.sketch2").bitwiseXOR(c(f"{y}.sketch2"))) * 9 <= c(f"{x}.n") + c(f"{y}.n"))
             & (F.least(f"{x}.n", f"{y}.n") * 5 >= F.greatest(f"{x}.n", f"{y}.n") * 4)
             & ((F.least(f"{x}.at", f"{y}.at") + F.least(c(f"{x}.n") - c(f"{x}.at"), c(f"{y}.n") - c(f"{y}.at"))) * 9
                >= (c(f"{x}.n") + c(f"{y}.n")) * 4))
@@ -150,7 +154,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, broadcast_ro
 def similar_classes(docs: DataFrame, indexed: DataFrame, classes: DataFrame, broadcast_rows: int,
                     crowd: int = CROWD) -> DataFrame:
     """(o,) of the classes that are similar to a class which began earlier."""
-    columns = ["word", "o", "n", "at", "sketch"]
+    columns = ["word", "o", "n", "at", "sketch", "sketch2"]
     exploded = indexed.select("*", F.posexplode("prefix").alias("at", "word")).drop("prefix")
     counts = exploded.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
     hot = _sized(stored(counts.select("word"), "hot"), broadcast_rows)
@@ -159,7 +163,7 @@ def similar_classes(docs: DataFrame, indexed: DataFrame, classes: DataFrame, bro
     few = few.select(columns).dropna().join(hot, "word", "left_anti")
     direct = stored(_met(few, few), "direct")
     crowded = stored(_first_lines(exploded.join(hot, "word", "left_semi"), classes).select(columns), "crowded")
-    earliest = crowded.groupBy("word").agg(F.min(F.struct("o", "n", "at", "sketch")).alias("e")).select("word", "e.*")
+    earliest = crowded.groupBy("word").agg(F.min(F.struct(*columns[1:])).alias("e")).select("word", "e.*")
     pairs = stored(direct.union(_met(crowded, earliest)).distinct(), "pairs")
     settled = stored(_similar(docs, pairs, classes, broadcast_rows), "settled").withColumnRenamed("b", "o")
     rest = crowded.join(settled, "o", "left_anti")
