@@ -9,8 +9,10 @@ for short texts by what they differ by chance.
 
 Guards: documents under ``MIN_WORDS`` words fail the base rules anyway and add
 nothing to a reference; a distance only counts where the document is long
-enough for it (``MIN_CHARS``, ``MIN_WORDS``).  A null or unlisted language is
-compared with every reference and judged by the nearest one.  A language
+enough for it (``MIN_CHARS``, ``MIN_WORDS``).  Every language of the table
+has a reference of its own; one without a list of function words is measured by
+how far it uses those of the others.  A null language is compared with every
+reference and judged by the nearest one.  A language
 without a single document that may enter its reference is judged by the base
 rules alone.  Null text is empty text; equal rows are judged alike; further
 columns are ignored; an empty table gives an empty result.
@@ -180,9 +182,9 @@ def _means(part: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
 
 
 def distances(chars: np.ndarray, words: np.ndarray, lang: str | None, refs: dict) -> tuple[float, float]:
-    """(character, word) distance to the language's reference; without one, to
-    the nearest by their sum; (0, 0) where there is nothing to compare with."""
-    if lang in COMMON_WORDS:
+    """(character, word) distance to the language's reference; of a null language
+    to the nearest by their sum; (0, 0) where there is nothing to compare with."""
+    if lang is not None:
         near = [refs[lang]] if lang in refs else []
     else:
         near = list(refs.values())
@@ -227,7 +229,7 @@ def references(measured: DataFrame, rounds: int = TRIM_ROUNDS) -> dict[str, tupl
     """Mean histograms by language over all rows of ``measure`` that pass the
     base rules.  Each further round leaves out the rows that the references so
     far reject, so that junk does not pull its language's reference towards
-    itself.  One row per listed language reaches the driver."""
+    itself.  One row per language reaches the driver."""
     refs: dict = {}
     for _ in range(rounds):
         refs = _means(measured.mapInArrow(_sums(refs), "lang string, sums array<double>")) or refs
@@ -239,7 +241,7 @@ def _sums(refs: dict):
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, n, rep, c, w in _batches(batch, "lang", "n_words", "n_repeat_words", "chars", "common"):
-                if lang not in COMMON_WORDS or base_fails(n, rep):
+                if lang is None or base_fails(n, rep):
                     continue
                 c, w = np.array(c, float), np.array(w, float)
                 if refs and not verdict(n, int(c.sum()), distances(c, w, lang, refs)):

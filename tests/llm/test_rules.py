@@ -66,3 +66,20 @@ def test_filter_equals_judge(docs, no_docs):
     assert out.columns == wide.columns
     assert out.count() == judge(docs).where("kept").count()
     assert judge(no_docs).count() == 0 and keep_good(no_docs).count() == 0
+
+
+def test_fifth_language_stays(spark, docs):
+    rng = np.random.default_rng(2)
+    common = "och att det som en för inte till har jag".split()
+
+    def text(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choice(list("abdefgiklmnorstuvå"), rng.integers(3, 9)))
+                        for _ in range(n))
+
+    rows = [(5000 + i, text(n), lang) for i, n in enumerate([200, 400, 800, 1600] * 4) for lang in ("sv",)]
+    rows += [(6000, text(1600).upper(), "sv"), (6001, text(1600).replace(" ", " | "), "sv"), (6002, text(1600), None)]
+    both = docs.where("doc_id < 60").select("doc_id", "text", "lang").union(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    kept = {r.doc_id for r in judge(both).where("kept").collect()}
+    assert {5000 + i for i in range(16)} | {6002} <= kept
+    assert not {6000, 6001} & kept
+    assert kept == {r.doc_id for r in keep_good(both).collect()}
