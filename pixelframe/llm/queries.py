@@ -8,6 +8,7 @@ from pixelframe.llm.html_text import op3_html
 from pixelframe.llm.lines import ORACLE as OP6_SQL, op6_lines
 from pixelframe.llm.lm import op5_lm
 from pixelframe.llm.mixing import op1_mixing
+from pixelframe.llm.packing import op11_packing
 from pixelframe.llm.passages import op7_passages
 from pixelframe.llm.quality import op4_quality
 from pixelframe.llm.rules import op9_rules
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_rules": op9_rules,
     "op10_simhash": op10_simhash,
+    "op11_packing": op11_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
