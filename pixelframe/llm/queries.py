@@ -3,6 +3,7 @@ its DuckDB text."""
 
 from __future__ import annotations
 
+from pixelframe.llm.alignment import op12_alignment
 from pixelframe.llm.decontaminate import ORACLE as OP8_SQL, op8_decontaminate
 from pixelframe.llm.html_text import op3_html
 from pixelframe.llm.lines import ORACLE as OP6_SQL, op6_lines
@@ -14,6 +15,7 @@ from pixelframe.llm.quality import op4_quality
 from pixelframe.llm.rules import op9_rules
 from pixelframe.llm.simhash import op10_simhash
 from pixelframe.llm.urls import op2_urls
+from pixelframe.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_mixing": op1_mixing,
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_rules": op9_rules,
     "op10_simhash": op10_simhash,
     "op11_packing": op11_packing,
+    "op12_alignment": op12_alignment,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {

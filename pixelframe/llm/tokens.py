@@ -102,9 +102,10 @@ class ByteBPE(Memo):
         return b"".join(map(self._word, self.words(chunk)))
 
     def token_bytes(self) -> list[bytes]:
-        back = byte_level_bytes()
-        return [bytes(map(back.__getitem__, self.whole.id_to_token(i) or "")) if i not in self.whole.get_added_tokens_decoder()
-                else self.whole.id_to_token(i).encode() for i in range(self.whole.get_vocab_size())]
+        """The bytes of every id; special tokens do not occur in plain text."""
+        back, added = byte_level_bytes(), self.whole.get_added_tokens_decoder()
+        return [b"" if i in added else bytes(map(back.__getitem__, self.whole.id_to_token(i)))
+                for i in range(self.whole.get_vocab_size())]
 
 
 class PieceBPE(Memo):
