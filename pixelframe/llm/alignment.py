@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pixelframe.llm.base import read_table, stored
-from pixelframe.llm.tokens import ByteBPE, PieceBPE, chunked, kept
+from pixelframe.llm.tokens import LONG, ByteBPE, PieceBPE, chunked, kept, slices
 
 #: A tokens after which a block is closed.
-BLOCK_TOKENS = 4_000_000
-#: Text bytes whose ends are compared at once.
-_SLICE = 8_000_000
+BLOCK_TOKENS = 1_000_000
+#: Chunks that a task remembers.
+MEMO = 400_000
+#: Text bytes that are tokenised at once, and chunks that are then cut at once, or one document.
+_TOKENISED, _CUT_AT_ONCE = 10_000_000, 400_000
+#: Links of a group up to which they are listed one by one.
+_FEW = 4096
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 _B_BITS = 16  # ids of B are below 2^16: a pair of ids is a << 16 | b
 
@@ -53,139 +56,185 @@ _RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 
 def _pack(a, kind) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a, kind).tobytes())
+    """Compressed byte by byte of the numbers: high ones are mostly zero."""
+    a = np.ascontiguousarray(a, kind)
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-class Vocabularies:
-    """Both tokenizers and the byte length and space mark of every token."""
+class Vocabularies(dict):
+    """Chunk -> its A ids, its B ids and its length in bytes, which is -1 if
+    either do not spell it.  Also both tokenizers, and of every token the byte
+    length, the space mark and its decimal text before a comma or, as the last
+    of its kind in a group, before the next sign."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b = ByteBPE(a_path, plain=True), PieceBPE(b_path)
-        self.a_bytes, self.b_bytes = self.a.token_bytes(), self.b.token_bytes()
-        self.a_len, self.b_len = (np.array([len(t) for t in v], np.int64) for v in (self.a_bytes, self.b_bytes))
-        self.a_space, self.b_space = (np.array([t[:1] == b" " for t in v]) for v in (self.a_bytes, self.b_bytes))
-        self.a_sizes, self.b_sizes = self.a_len.tolist(), self.b_len.tolist()
-
-    def spells(self, chunk: str, a: bytes, b: bytes) -> bool:
-        text = chunk.encode()
-        return (b"".join([self.a_bytes[i] for i in array("I", a)]) == text
-                and b"".join([self.b_bytes[i] for i in array("I", b)]) == text)
-
-
-def align(a_ids, b_ids, a_sizes, b_sizes) -> list[tuple[list[int], list[int]]]:
-    """Groups of a window: cut wherever a token of both ends at the same byte."""
-    groups, i, j, a_end, b_end, j_from = [], 0, 0, 0, 0, 0
-    for k, a in enumerate(a_ids):
-        a_end += a_sizes[a]
-        while b_end < a_end:
-            b_end += b_sizes[b_ids[j]]
-            j += 1
-        if a_end == b_end:
-            groups.append((a_ids[i:k + 1], b_ids[j_from:j]))
-            i, j_from = k + 1, j
-    return groups
-
-
-class Windows(dict):
-    """(A ids, B ids) as bytes -> number; the alignment of each is made once."""
-
-    def __init__(self, vocabularies: Vocabularies):
         super().__init__()
-        self.sizes_of = vocabularies.a_sizes, vocabularies.b_sizes
-        self.texts: list[str] = []
-        self.n_groups, self.n_links, self.n_pairs = array("q"), array("q"), array("I")
-        self.pairs, self.times = array("I"), array("q")
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> int:
-        groups = align(array("I", key[0]).tolist(), array("I", key[1]).tolist(), *self.sizes_of)
-        links = {}
-        total = 0
-        for ga, gb in groups:
-            total += len(ga) * len(gb)
-            if len(ga) == 1 == len(gb):
-                pair = ga[0] << _B_BITS | gb[0]
-                links[pair] = links.get(pair, 0) + 1
-                continue
-            b_times = Counter(gb)
-            for a, m in Counter(ga).items():
-                for b, n in b_times.items():
-                    pair = a << _B_BITS | b
-                    links[pair] = links.get(pair, 0) + m * n
-        self.texts.append(";".join([",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in groups]))
-        self.n_groups.append(len(groups))
-        self.n_links.append(total)
-        self.n_pairs.append(len(links))
-        self.pairs.extend(links)
-        self.times.extend(links.values())
+        self.a, self.b = ByteBPE(a_path, plain=True, memo=MEMO), PieceBPE(b_path, memo=0)
+        (self.a_bytes, self.a_len, self.a_space), (self.b_bytes, self.b_len, self.b_space), self.texts = kept(
+            ("tables", a_path, b_path), self._tables)
+        self.b_texts_at = 2 * len(self.a_bytes)
+
+    def all(self, chunks: list[str]) -> tuple[list[bytes], list[bytes], np.ndarray]:
+        """A ids, B ids and lengths of ``chunks``."""
+        new = [c for c in chunks if c not in self]
+        a, b = [self.a.encode(c) for c in new], self.b.encode_all(new)
+        fresh = dict(zip(new, zip(a, b, self._lengths(new, a, b))))
+        found = [self.get(c) or fresh[c] for c in chunks]
+        for c in new[:MEMO - len(self)]:
+            if len(c) <= LONG:
+                self[c] = fresh[c]
+        return [x for x, _, _ in found], [x for _, x, _ in found], np.array([n for _, _, n in found], np.int64)
+
+    def _lengths(self, chunks: list[str], a: list[bytes], b: list[bytes]) -> list[int]:
+        texts = [c.encode() for c in chunks]
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        spelt = True
+        for ids, words, length in ((a, self.a_bytes, self.a_len), (b, self.b_bytes, self.b_len)):
+            every = np.frombuffer(b"".join(ids), "<u4")
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+            at = np.append(0, np.cumsum(length[every]))[np.append(0, ends)]
+            spelt = spelt and (np.diff(at) == size).all() and b"".join([words[i] for i in every.tolist()]) == b"".join(texts)
+        if spelt:  # all at once; else one by one
+            return size.tolist()
+        return [len(t) if b"".join([self.a_bytes[i] for i in array("I", x)]) == t == b"".join([self.b_bytes[i] for i in array("I", y)])
+                else -1 for t, x, y in zip(texts, a, b)]
+
+    def _tables(self):
+        both = self.a.token_bytes(), self.b.token_bytes()
+        texts = [f"{i}{c}" for v, last in zip(both, "|;") for i in range(len(v)) for c in (",", last)]
+        return (*((v, np.array([len(t) for t in v], np.int64), np.array([t[:1] == b" " for t in v])) for v in both),
+                np.array(texts, object))
+
+
+class Cuts:
+    """Tokenised texts that follow each other, cut into groups and windows.
+
+    Group g has the A tokens from a_from[g] to a_from[g + 1] and the B tokens
+    likewise; window w has the groups from g_from[w] to g_from[w + 1].  Every
+    text begins with a space, so its end is an anchor as well."""
+
+    def __init__(self, a_data: bytes, b_data: bytes, v: Vocabularies):
+        self.a, self.b = a, b = np.frombuffer(a_data, "<u4"), np.frombuffer(b_data, "<u4")
+        a_ends, b_ends = np.cumsum(v.a_len[a]), np.cumsum(v.b_len[b])
+        ended = np.zeros(int(a_ends[-1]) + 1, bool)
+        ended[b_ends] = True
+        i = np.flatnonzero(ended[a_ends])  # A tokens that end where a B token does
+        j = np.searchsorted(b_ends, a_ends[i])
+        marked = v.a_space[a[i[:-1] + 1]] & v.b_space[b[j[:-1] + 1]]
+        self.a_from, self.b_from = np.append(0, i + 1), np.append(0, j + 1)
+        self.g_from = np.concatenate([[0], np.flatnonzero(marked) + 1, [len(i)]])
+        self.ends = a_ends[i[self.g_from[1:] - 1]]  # byte offset of each window's end
+
+    def keys(self) -> list[bytes]:
+        """The id tuples of every window as bytes: A ids, a sign that is no id, B ids."""
+        a_cuts, b_cuts = self.a_from[self.g_from], self.b_from[self.g_from]
+        n = np.arange(len(a_cuts))
+        mixed = np.full(len(self.a) + len(self.b) + len(n) - 1, 0xFFFFFFFF, "<u4")
+        mixed[np.arange(len(self.a)) + np.repeat(b_cuts[:-1] + n[:-1], np.diff(a_cuts))] = self.a
+        mixed[np.arange(len(self.b)) + np.repeat(a_cuts[1:] + n[1:], np.diff(b_cuts))] = self.b
+        data, edges = mixed.tobytes(), (4 * (a_cuts + b_cuts + n)).tolist()
+        return [data[p:q] for p, q in zip(edges, edges[1:])]
+
+    def align(self, w: np.ndarray, v: Vocabularies):
+        """Of the windows ``w``: groups, links, different pairs, these pairs with
+        their times in a row, and the text of the groups, each closed by ``;``."""
+        n_groups = np.diff(self.g_from)[w]
+        g = ranges(self.g_from[w], n_groups)
+        edges = np.append(0, np.cumsum(n_groups))
+        a_at, b_at, n_a, n_b = self.a_from[g], self.b_from[g], np.diff(self.a_from)[g], np.diff(self.b_from)[g]
+        links = n_a * n_b
+        n_links = np.diff(np.append(0, np.cumsum(links))[edges])
+        of = np.repeat(np.arange(len(w)), n_groups)
+        few = np.where(links <= _FEW, links, 0)
+        nth = ranges(np.zeros(len(g), np.int64), few)
+        wide = np.repeat(n_b, few)
+        pair = (self.a[np.repeat(a_at, few) + nth // wide].astype(np.int64) << _B_BITS
+                | self.b[np.repeat(b_at, few) + nth % wide])
+        key, times = [np.repeat(of, few) << 32 | pair], [np.ones(len(pair), np.int64)]
+        for k in np.flatnonzero(links > _FEW).tolist():  # long groups: different ids with their times
+            (x, m), (y, n) = (np.unique(ids[at:at + size].astype(np.int64), return_counts=True)
+                              for ids, at, size in ((self.a, a_at[k], n_a[k]), (self.b, b_at[k], n_b[k])))
+            key.append((of[k] << 32 | x[:, None] << _B_BITS | y).ravel())
+            times.append((m[:, None] * n).ravel())
+        key, times = np.concatenate(key), np.concatenate(times)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        times = np.add.reduceat(times[order], first) if len(first) else times
+        key = key[first]
+        n_pairs = np.bincount(key >> 32, minlength=len(w))
+        # decimal ids, A before B in every group
+        n = n_a + n_b
+        at = np.cumsum(n) - n
+        code = np.empty(int(n.sum()), np.int64)
+        code[ranges(at, n_a)] = 2 * self.a[ranges(a_at, n_a)].astype(np.int64)
+        code[ranges(at + n_a, n_b)] = 2 * self.b[ranges(b_at, n_b)].astype(np.int64) + v.b_texts_at
+        code[at + n_a - 1] += 1
+        code[at + n - 1] += 1
+        texts, cuts = v.texts[code].tolist(), np.append(0, np.cumsum(n))[edges].tolist()
+        return (n_groups, n_links, n_pairs, (key & 0xFFFFFFFF).astype(np.uint32), times,
+                ["".join(texts[p:q]) for p, q in zip(cuts, cuts[1:])])
+
+
+class Numbers(dict):
+    """Key -> number, in order of appearance."""
+
+    def __missing__(self, key: bytes) -> int:
         number = self[key] = len(self)
         return number
 
 
-def windows_of(a_data: bytes, b_data: bytes, v: Vocabularies) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
-    """The windows of tokenised texts that follow each other, and the byte
-    offset at which each ends.  Every text begins with a space, so a text's end
-    is an anchor as well."""
-    a, b = np.frombuffer(a_data, "<u4"), np.frombuffer(b_data, "<u4")
-    a_ends, b_ends = np.cumsum(v.a_len[a]), np.cumsum(v.b_len[b])
-    ended = np.zeros(int(a_ends[-1]) + 1, bool)
-    ended[b_ends] = True
-    i = np.flatnonzero(ended[a_ends])  # A tokens that end where a B token does
-    j = np.searchsorted(b_ends, a_ends[i])
-    last = i == len(a) - 1
-    marked = last | (v.a_space[a[np.minimum(i + 1, len(a) - 1)]] & v.b_space[b[np.minimum(j + 1, len(b) - 1)]])
-    i, j = i[marked], j[marked]
-    a_cuts, b_cuts = ([0, *((x + 1) * 4).tolist()] for x in (i, j))
-    keys = [(a_data[p:q], b_data[r:s]) for p, q, r, s in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])]
-    return keys, a_ends[i]
-
-
 class _Block:
     """Documents until ``BLOCK_TOKENS``, then one row."""
 
     def __init__(self, number: int, v: Vocabularies):
         self.number, self.v, self.tokens = number, v, 0
-        self.windows = Windows(v)
+        self.windows, self.texts = Numbers(), []
+        none = np.zeros(0, np.int64)
+        self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times = none, none, [none], [none.astype(np.uint32)], [none]
         self.doc_ids, self.shas, self.sequences = [], [], []
         self.counts = [array("q") for _ in range(4)]  # a, b, groups, links
 
-    def add(self, doc_ids: list, texts: list) -> None:
-        """``texts``: (A ids, B ids, length in bytes) of each document, or None."""
-        v, w = self.v, self.windows
-        good = [t for t in texts if t is not None]
+    def add(self, doc_ids: list, docs: list) -> None:
+        """``docs``: (A ids, B ids, length in bytes) of each document, or None."""
+        good = [d for d in docs if d is not None]
         numbers, cuts = np.zeros(0, np.int64), []
         if good:
-            keys, ends = windows_of(b"".join([t[0] for t in good]), b"".join([t[1] for t in good]), v)
-            numbers = np.fromiter(map(w.__getitem__, keys), np.int64, len(keys))
-            cuts = (np.searchsorted(ends, np.cumsum([t[2] for t in good])) + 1).tolist()
+            found = Cuts(b"".join([d[0] for d in good]), b"".join([d[1] for d in good]), self.v)
+            keys, known = found.keys(), len(self.windows)
+            numbers = np.fromiter(map(self.windows.__getitem__, keys), np.int64, len(keys))
+            so_far = np.maximum.accumulate(numbers)
+            fresh = np.flatnonzero(numbers > np.append(known - 1, np.maximum(so_far, known - 1)[:-1]))
+            if len(fresh):
+                n_groups, n_links, n_pairs, pairs, times, texts = found.align(fresh, self.v)
+                self.n_groups, self.n_links = np.append(self.n_groups, n_groups), np.append(self.n_links, n_links)
+                self.n_pairs.append(n_pairs)
+                self.pairs.append(pairs)
+                self.times.append(times)
+                self.texts += texts
+            cuts = (np.searchsorted(found.ends, np.cumsum([d[2] for d in good])) + 1).tolist()
         at, k = 0, 0
-        for doc_id, t in zip(doc_ids, texts):
-            self.doc_ids.append(doc_id)
-            if t is None:
-                own = numbers[:0]
-                self.shas.append("")
-            else:
+        for doc_id, d in zip(doc_ids, docs):
+            own = numbers[:0]
+            if d is not None:
                 own, at, k = numbers[at:cuts[k]], cuts[k], k + 1
-                self.shas.append(hashlib.sha256(";".join([w.texts[n] for n in own.tolist()]).encode()).hexdigest())
-                self.counts[0].append(len(t[0]) // 4)
-                self.counts[1].append(len(t[1]) // 4)
-                self.tokens += len(t[0]) // 4
-            if t is None:
-                self.counts[0].append(0)
-                self.counts[1].append(0)
+                self.tokens += len(d[0]) // 4
+            text = "".join([self.texts[n] for n in own.tolist()])[:-1]
+            self.doc_ids.append(doc_id)
+            self.shas.append(hashlib.sha256(text.encode()).hexdigest() if d is not None else "")
             self.sequences.append(own.astype(np.uint32))
-        groups, links = np.array(w.n_groups), np.array(w.n_links)
-        for own in self.sequences[len(self.counts[2]):]:
-            self.counts[2].append(int(groups[own].sum()) if len(own) else 0)
-            self.counts[3].append(int(links[own].sum()) if len(own) else 0)
+            for c, n in zip(self.counts, (len(d[0]) // 4 if d else 0, len(d[1]) // 4 if d else 0,
+                                          int(self.n_groups[own].sum()), int(self.n_links[own].sum()))):
+                c.append(n)
 
     def row(self) -> pa.RecordBatch:
-        w = self.windows
-        pairs, links = np.unique(np.frombuffer(w.pairs, np.uint32), return_inverse=True) if w.pairs else (np.zeros(0, np.uint32),) * 2
-        sizes = np.frombuffer(w.n_pairs, np.uint32) if w.n_pairs else np.zeros(0, np.uint32)
+        pairs, links = np.unique(np.concatenate(self.pairs), return_inverse=True)
+        sizes = np.concatenate(self.n_pairs)
         starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         held = np.zeros(len(pairs), np.int64)
         for own in self.sequences:  # documents that hold each pair
@@ -196,7 +245,7 @@ class _Block:
                 **{n: [_pack(c, np.int64)] for n, c in zip(("n_a", "n_b", "n_groups", "n_links"), self.counts)},
                 "shas": [self.shas], "n_windows": [_pack([len(s) for s in self.sequences], np.int64)],
                 "windows": [_pack(sequence, np.uint32)], "sizes": [_pack(sizes, np.uint32)],
-                "links": [_pack(links, np.uint32)], "times": [_pack(w.times, np.int64)],
+                "links": [_pack(links, np.uint32)], "times": [_pack(np.concatenate(self.times), np.int64)],
                 "pairs": [_pack(pairs, np.uint32)], "held": [_pack(held, np.int64)]}
         kinds = {"block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "shas": pa.list_(pa.string())}
         return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for n, c in data.items()], names=list(data))
@@ -214,30 +263,22 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, block_tokens: int = BLOCK_
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        v = kept(("alignment", a_path, b_path), lambda: Vocabularies(a_path, b_path))
+        v = Vocabularies(a_path, b_path)
         block = _Block(number, v)
-        for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            chunks, texts = chunked(batch.column(1).fill_null(""), spaced=True)
-            a, b = v.a.all(chunks), v.b.all(chunks)
-            size = [len(c.encode()) if v.spells(c, x, y) else -1 for c, x, y in zip(chunks, a, b)]
+        for part in (part for batch in batches for part in slices(batch, 1, _TOKENISED)):
+            chunks, texts = chunked(part.column(1).fill_null(""), spaced=True)
+            a, b, sizes = v.all(chunks)
             ids, group, held = [], [], 0
-
-            for doc_id, own in zip(doc_ids, texts):
+            for doc_id, own in zip(part.column(0).to_pylist(), texts):
+                size, spelt = sizes[own], len(own) > 0
+                spelt = spelt and size.min() >= 0
                 own = own.tolist()
-                sizes = [size[c] for c in own]
-                length = sum(sizes)
                 ids.append(doc_id)
-                group.append((b"".join([a[c] for c in own]), b"".join([b[c] for c in own]), length)
-                             if own and min(sizes) >= 0 else None)
-                held += length
-                if held >= _SLICE:
+                group.append((b"".join([a[c] for c in own]), b"".join([b[c] for c in own]), int(size.sum())) if spelt else None)
+                held += len(own)
+                if held >= _CUT_AT_ONCE:
                     block.add(ids, group)
                     ids, group, held = [], [], 0
-                    if block.tokens >= block_tokens:
-                        yield block.row()
-                        number += 1
-                        block = _Block(number, v)
             if ids:
                 block.add(ids, group)
             if block.tokens >= block_tokens:

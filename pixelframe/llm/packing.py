@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pixelframe.llm.base import read_table, stored
-from pixelframe.llm.tokens import ByteBPE, chunked, kept
+from pixelframe.llm.tokens import ByteBPE, chunked
 
 CAPACITY = 2048
 END = 0
@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 
     def run(batches):
         part, seen = TaskContext.get().partitionId(), Counter()
-        bpe = kept(("byte_bpe", tokenizer, False), lambda: ByteBPE(tokenizer))
+        bpe = ByteBPE(tokenizer)
         for batch in batches:
             chunks, texts = chunked(batch.column(1).fill_null(""), spaced=False)
             ids = bpe.all(chunks)

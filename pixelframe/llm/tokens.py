@@ -5,7 +5,7 @@ no space precedes).  Both kinds of vocabulary used here begin a token there
 whatever stands around: the byte-level one starts a word at such a space, the
 sentence-piece one has no piece with a space mark after another character.  So
 the ids of the text are those of its chunks, joined.  Chunks repeat, and each
-is encoded once as long as the memo (``MEMO`` chunks a process) has room.
+is encoded once as long as the memo of the task (``MEMO`` chunks) has room.
 """
 
 from __future__ import annotations
@@ -13,23 +13,25 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks a Python worker remembers; those beyond are encoded anew.
+#: Chunks a task remembers; those beyond are encoded anew.
 MEMO = 600_000
-#: Longer chunks are not remembered.
-_LONG = 200
+#: Longer chunks and words are not remembered.
+LONG = 200
 _CUT = re.compile(r"(?<! ) (?=\S)")
 # a space at an end or before white space: such texts are cut by ``_CUT``, the others at every space
 _ODD = r"^ | \z| [\pZ\x09-\x0D\x1C-\x1F\x{85}]"
 
 
 def kept(key: tuple, make):
-    """``make()``, once for each Python worker: task functions are sent by value
-    and share no module state, so it is kept under a module name of its own."""
+    """``make()``, once for each Python worker: for what is slow to load and
+    never changes.  Task functions are sent by value and share no module state,
+    so it is kept under a module name of its own."""
     home = sys.modules.setdefault("pixelframe_worker_state", types.ModuleType("pixelframe_worker_state"))
     state = home.__dict__.setdefault("state", {})
     if key not in state:
@@ -46,11 +48,15 @@ def byte_level_bytes() -> dict[str, int]:
 
 
 class Memo(dict):
-    """Chunk -> its ids as little-endian unsigned 32-bit integers."""
+    """Chunk -> its ids as unsigned 32-bit integers (little-endian, as every executor's machine is)."""
+
+    def __init__(self, room: int):
+        super().__init__()
+        self.room = room
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.encode(chunk)
-        if len(self) < MEMO and len(chunk) <= _LONG:
+        if len(self) < self.room and len(chunk) <= LONG:
             self[chunk] = ids
         return ids
 
@@ -70,12 +76,12 @@ class ByteBPE(Memo):
     #: Fixed value: the pattern of the vocabulary file's byte-level pre-tokenizer.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str, plain: bool = False):
-        super().__init__()
+    def __init__(self, path: str, plain: bool = False, memo: int = MEMO):
+        super().__init__(memo)
         import regex
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.whole = kept(("byte-level", path, plain), lambda: Tokenizer.from_file(path))
         self.whole.encode_special_tokens = plain
         self.special = [] if plain else [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.words = regex.compile(self.PATTERN, regex.V1).findall
@@ -85,21 +91,20 @@ class ByteBPE(Memo):
         self.known: dict[str, bytes] = {}
 
     def _word(self, word: str, marked: str | None = None) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            marked = marked or word.encode().decode("latin-1").translate(self.mapped)
-            ids = np.array([t.id for t in self.model.tokenize(marked)], "<u4").tobytes()
-            if len(self.known) < MEMO and len(word) <= _LONG:
-                self.known[word] = ids
+        marked = marked or word.encode().decode("latin-1").translate(self.mapped)
+        ids = array("I", [t.id for t in self.model.tokenize(marked)]).tobytes()
+        if len(self.known) < self.room and len(word) <= LONG:
+            self.known[word] = ids
         return ids
 
     def encode(self, chunk: str) -> bytes:
         if self.special and any(s in chunk for s in self.special):
-            return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+            return array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
         if self.far(chunk):
             words = self.whole.pre_tokenizer.pre_tokenize_str(chunk)
-            return b"".join([self._word(chunk[a:b], marked) for marked, (a, b) in words])
-        return b"".join(map(self._word, self.words(chunk)))
+            return b"".join([self.known.get(chunk[a:b]) or self._word(chunk[a:b], marked) for marked, (a, b) in words])
+        known = self.known.get
+        return b"".join([known(word) or self._word(word) for word in self.words(chunk)])
 
     def token_bytes(self) -> list[bytes]:
         """The bytes of every id; special tokens do not occur in plain text."""
@@ -112,14 +117,17 @@ class PieceBPE(Memo):
     """A sentence-piece model that puts a space before the text; the chunks it
     is given have that space."""
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, memo: int = MEMO):
+        super().__init__(memo)
         import sentencepiece
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = kept(("pieces", path), lambda: sentencepiece.SentencePieceProcessor(model_file=path))
 
     def encode(self, chunk: str) -> bytes:
-        return np.array(self.model.encode(chunk[1:]), "<u4").tobytes()
+        return self.encode_all([chunk])[0]
+
+    def encode_all(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", ids).tobytes() for ids in self.model.encode([c[1:] for c in chunks], num_threads=1)]
 
     def token_bytes(self) -> list[bytes]:
         m = self.model
@@ -127,6 +135,16 @@ class PieceBPE(Memo):
                 m.id_to_piece(i).replace("▁", " ").encode() for i in range(m.vocab_size())]
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int):
+    """``batch`` in parts of about ``size`` bytes of text in ``column``, or one row."""
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
+    part = (np.cumsum(lengths, dtype=np.int64) - lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def cut(text: str, spaced: bool) -> list[str]:
     """Chunks of ``text``, or of a space and ``text``."""
     first, *rest = _CUT.split(" " + text if spaced else text)

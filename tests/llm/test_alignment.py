@@ -1,13 +1,16 @@
 import hashlib
+from array import array
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pixelframe.llm.alignment import align, alignments
+from pixelframe.llm import alignment
+from pixelframe.llm.alignment import alignments
 from pixelframe.llm.base import read_table
 from pixelframe.llm.tokens import byte_level_bytes
 
@@ -93,7 +96,20 @@ def test_table(spark):
     assert got == sorted(Brute().rows([(r.doc_id, r.text) for r in docs.collect()]))
 
 
-def test_align():
-    sizes = {1: 1, 2: 2, 3: 3, 4: 4}
-    assert align([2, 2, 1, 3], [4, 1, 1, 2], sizes, sizes) == [([2, 2], [4]), ([1], [1]), ([3], [1, 2])]
-    assert align([1], [1], sizes, sizes) == [([1], [1])]
+@pytest.mark.parametrize("few", [0, 4096])
+def test_groups_and_windows(monkeypatch, few):
+    monkeypatch.setattr(alignment, "_FEW", few)
+    v = alignment.Vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    text = " one Überraschung, 漢字 twotwotwo" + "\U0001F600 ü" * 3
+    a, b = v.a.whole.encode(text, add_special_tokens=False).ids, v.b.model.encode(text[1:])
+    cuts = alignment.Cuts(array("I", a).tobytes(), array("I", b).tobytes(), v)
+    n_groups, n_links, n_pairs, pairs, times, texts = cuts.align(np.arange(len(cuts.ends)), v)
+    want = Brute().groups(text[1:])
+    assert "".join(texts)[:-1] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want)
+    assert n_groups.sum() == len(want) and n_links.sum() == times.sum() and n_pairs.sum() == len(pairs)
+    links = Counter((x, y) for ga, gb in want for x in ga for y in gb)
+    got = Counter()
+    for p, t in zip(pairs.tolist(), times.tolist()):
+        got[p >> 16, p & 0xFFFF] += t
+    assert got == links
+    assert len(set(cuts.keys())) == len({tuple(k) for k in cuts.keys()}) <= len(cuts.ends)
