@@ -49,6 +49,25 @@ def running_sum(df: DataFrame, order: Sequence[Column], value: str, name: str) -
             .withColumn(name, F.col(name) + F.col("_n_before")).drop(part, "_n_before"))
 
 
+def running_sum_by(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """``running_sum`` that starts again with every value of ``by``, all in one
+    range cut: a large group lies in several ranges, small ones share one.  The
+    totals joined back are a row for each range and each value of ``by``."""
+    part = f"_{name}_part"
+    cut = range_parts(df, [*[F.col(b).asc_nulls_first() for b in by], *order], part)
+    before = Window.partitionBy(part, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumn(name, F.coalesce(F.sum(value).over(before), F.lit(0)))
+    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy(part, *by).agg(F.sum(value).alias("_n")).select(
+        F.col(part).alias("_p"), *[F.col(b).alias(f"_by_{b}") for b in by],
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_before"))
+    same = F.col(part) == F.col("_p")
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
+    return (local.join(F.broadcast(offsets), same)
+            .withColumn(name, F.col(name) + F.col("_n_before")).select(*df.columns, name))
+
+
 def _before(totals: DataFrame, part: str, cols: Sequence[str]) -> DataFrame:
     """Sum of ``cols`` over the partitions before each one: one row per range
     partition, never more than ``spark.sql.shuffle.partitions``."""

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelframe.functions.exprs import safe_ratio
-from pixelframe.functions.ranges import running_sum
+from pixelframe.functions.ranges import running_sum, running_sum_by
 from pixelframe.session import cut_lineage
 
 
@@ -133,6 +133,18 @@ def auc_from_counts(g: DataFrame) -> DataFrame:
         "n_pos", "n_neg")
 
 
+def auc_by(pred: DataFrame, by: list[str], label: str = "label", score: str = "score") -> DataFrame:
+    """``auc_roc`` for every value of ``by``, in one range cut for all of them:
+    (by, auc, n_pos, n_neg)."""
+    counts = pred.groupBy(*by, F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) > 0.5).alias("pos"), F.count_if(F.col(label) <= 0.5).alias("neg"))
+    ranked = running_sum_by(counts, by, [F.col("score").asc_nulls_first()], "neg", "neg_below")
+    u = F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.lit(0.5) * F.col("neg")))
+    pos, neg = F.sum("pos"), F.sum("neg")
+    return ranked.groupBy(*by).agg(F.when((pos > 0) & (neg > 0), u / (pos.cast("double") * neg)).alias("auc"),
+                                   pos.alias("n_pos"), neg.alias("n_neg"))
+
+
 def rmse(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Root mean squared error (A10)."""
     d = F.col(prediction) - F.col(label)

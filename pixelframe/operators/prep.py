@@ -177,13 +177,22 @@ def split_summary(df: DataFrame, split_col: str = "split", label: str = "label",
     return per.withColumn(weight_col, w)
 
 
-# Tasks of a fit.  Trees draw their samples by partition, so the number is part
-# of the model: it is fixed here, not taken from the machine or the input.
-FIT_PARTITIONS = 8
+# Tasks of a fit.  Trees draw their samples by partition, so their number is part
+# of the model: it follows from the rows alone, not from the machine or from how
+# the input was partitioned.
+FIT_PARTITIONS = 8  # at least
+ROWS_PER_TASK = 100_000
 
 
-def by_key(df: DataFrame, key_cols: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Rows dealt by key hash to ``partitions`` tasks and sorted by key there:
-    whatever the input's partitions, every task gets the same rows in the same
-    order.  Raise ``partitions`` for large training sets."""
-    return df.repartition(partitions, *key_cols).sortWithinPartitions(*key_cols)
+def fit_partitions(n_rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks for a fit on ``n_rows`` rows."""
+    return max(FIT_PARTITIONS, -(-n_rows // rows_per_task))
+
+
+def by_key(df: DataFrame, key_cols: Sequence[str], partitions: int | None = None,
+           rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows dealt by key hash to ``partitions`` tasks, by default as many as the
+    number of rows asks for (one count), and sorted by key there: whatever the
+    input's partitions, every task gets the same rows in the same order."""
+    n = fit_partitions(df.count(), rows_per_task) if partitions is None else partitions
+    return df.repartition(n, *key_cols).sortWithinPartitions(*key_cols)

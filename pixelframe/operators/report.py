@@ -60,3 +60,23 @@ def score(model, df: DataFrame, label: str = "label", keep: Sequence[str] = (),
 def positive_score(col: str = "rawPrediction") -> Column:
     from pixelframe.operators.metrics import score_of
     return score_of(col, 1)
+
+
+def scale_columns(scaler, df: DataFrame, features: Sequence[str], prefix: str = "scaled_") -> DataFrame:
+    """``df`` with every feature scaled by a fitted min-max scaler (to [0, 1]; a
+    constant one to 0.5), as Column expressions over its range."""
+    out = []
+    for name, low, high in zip(features, scaler.originalMin.toArray(), scaler.originalMax.toArray()):
+        width = float(high - low)
+        scaled = (F.col(name) - F.lit(float(low))) / F.lit(width) if width else F.lit(0.5)
+        out.append(scaled.alias(f"{prefix}{name}"))
+    return df.select("*", *out)
+
+
+def score_columns(model, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with the ``prediction`` of a bare linear stage over already scaled
+    ``columns`` (E4): a dot product of columns, no ML object in the plan."""
+    out = F.lit(float(model.intercept))
+    for name, c in zip(columns, model.coefficients.toArray()):
+        out = out + F.lit(float(c)) * F.col(name)
+    return df.withColumn("prediction", out)

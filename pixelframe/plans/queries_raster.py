@@ -247,6 +247,17 @@ def raster_to_pixel_csv(spark, sf_dir):
     return read_pixels_csv(spark, path, schema=pixel_schema())
 
 
+@register("raster_to_pixel_csv_full", "G1,G3,G4,G5,G6,G8,S3,S1", sql=f"SELECT {', '.join(BAND_NAMES)}, row_px, col_px FROM ({_resample_sql()}) r")
+def raster_to_pixel_csv_full(spark, sf_dir):
+    """The same chain on the grid that keeps one cell per source pixel: cells,
+    table and file grow with the raster."""
+    meta, grid = _grid(spark, sf_dir)
+    cells = R.resample_nearest(R.grid_cells(spark, grid), pixel_grid(spark, sf_dir), meta, BAND_NAMES)
+    path = scratch_path(spark, "pixel-csv")
+    write_pixels_csv(cells.select(*BAND_NAMES, "row_px", "col_px"), path)
+    return read_pixels_csv(spark, path, schema=pixel_schema())
+
+
 @register("resample_nodata", "G6", sql=" UNION ALL ".join(
     f"SELECT '{b}' AS band, COUNT(*) AS n_cells, COUNT(*) FILTER (WHERE {b} = {F1_NODATA!r}E0) AS n_nodata, "
     f"ROUND(SUM({b}) FILTER (WHERE {b} <> {F1_NODATA!r}E0), 6) AS valid_sum FROM ({_resample_sql()}) r"

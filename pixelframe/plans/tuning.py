@@ -12,14 +12,48 @@ from multiprocessing.pool import ThreadPool
 from typing import Any, Sequence
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.param import Param
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelframe.operators.prep import hash_split, with_fold
+from pixelframe.plans import gram
+from pixelframe.plans.ledger import Ledger, search_id
+from pixelframe.plans.selection import evaluate_maps, one_pass
+
+
+# --- fixed values -----------------------------------------------------------
+# The reference's search grids (duplicates removed by ``param_grid``).
+GRIDS: dict[str, dict[str, dict[str, list]]] = {
+    "logistic": {
+        "tvs": {"regParam": [0.01, 0.1, 0.3], "elasticNetParam": [0.0, 0.5, 1.0]},
+        "cv": {"regParam": [0.01, 0.1, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0],
+               "maxIter": [50, 100]},
+    },
+    "forest": {
+        "tvs": {"maxDepth": [5, 10], "numTrees": [20, 50]},
+        "cv": {"maxDepth": [5, 10, 15], "numTrees": [10, 30, 50]},
+    },
+    "gbt": {
+        "tvs": {"maxDepth": [2, 3], "maxBins": [5, 10], "minInfoGain": [0.0]},
+        "cv": {"maxDepth": [2], "maxBins": [10], "minInfoGain": [0.0]},
+    },
+    "linear": {
+        "tvs": {"maxIter": [2, 3], "regParam": [0.01, 0.03]},
+        "cv": {"maxIter": [2, 3], "regParam": [0.01, 0.03]},
+    },
+}
+FOLDS = {"logistic": 5, "forest": 3, "gbt": 3, "linear": 3}
+TRAIN_RATIO = 0.8
+# ---------------------------------------------------------------------------
+# Candidate fits run concurrently (each is itself a distributed job).
+PARALLELISM = 4
+#: Penalty of a map that names none (the reference's base estimator).
+REG_PARAM = 0.3
 
 
 def param_grid(est: Estimator, grid: dict[str, Sequence[Any]]) -> list[dict[Param, Any]]:
@@ -39,8 +73,8 @@ def grid_rows(maps: list[dict[Param, Any]]) -> list[dict[str, Any]]:
 
 
 def auc_evaluator(label: str = "label", raw: str = "rawPrediction") -> BinaryClassificationEvaluator:
-    """Selection metric for classifiers (U4): area under ROC."""
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC")
+    """Selection metric for classifiers (U4): area under ROC, from all scores (no bins)."""
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=0)
 
 
 def rmse_evaluator(label: str = "label", prediction: str = "prediction") -> RegressionEvaluator:
@@ -81,7 +115,6 @@ def _persist(df: DataFrame) -> DataFrame:
 def _shared_prefix(est: Estimator, maps: list[dict[Param, Any]]):
     """(prefix pipeline, last stage) when every searched param belongs to the
     last stage of a Pipeline, else (None, est)."""
-    from pyspark.ml import Pipeline
     if isinstance(est, Pipeline):
         stages = est.getStages()
         if len(stages) > 1:
@@ -91,29 +124,53 @@ def _shared_prefix(est: Estimator, maps: list[dict[Param, Any]]):
     return None, est
 
 
-def _evaluate(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator, fit_part: DataFrame,
-              val_part: DataFrame, parallelism: int) -> list[float]:
-    """One metric per map; ``parallelism`` fits at a time, each a distributed job."""
+def _fit(est: Estimator, maps: list[dict[Param, Any]], fit_part: DataFrame, parallelism: int) -> list[Model]:
+    """One model per map; ``parallelism`` fits at a time, each a distributed job."""
     if parallelism <= 1:
-        metrics = [0.0] * len(maps)
+        models: list[Model] = [None] * len(maps)
         for i, model in est.fitMultiple(fit_part, maps):
-            metrics[i] = evaluator.evaluate(model.transform(val_part))
-        return metrics
-
-    def task(m):
-        return lambda: evaluator.evaluate(est.fit(fit_part, m).transform(val_part))
-
+            models[i] = model
+        return models
     # each task carries the caller's Spark thread-local properties, as
     # Spark's own tuners do in pinned-thread mode
     wrap = inheritable_thread_target(fit_part.sparkSession)
     with ThreadPool(min(parallelism, len(maps))) as pool:
-        return pool.map(lambda f: f(), [wrap(task(m)) for m in maps], chunksize=1)
+        return pool.map(lambda f: f(), [wrap(lambda m=m: est.fit(fit_part, m)) for m in maps], chunksize=1)
+
+
+def _evaluate(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator, fit_part: DataFrame,
+              val_part: DataFrame, parallelism: int, ledger: Ledger | None = None, fold: int = 0) -> list[float]:
+    """One metric per map, all maps evaluated in one pass over ``val_part`` where
+    the metric allows it.  With a ledger, ``parallelism`` maps are fitted,
+    evaluated and noted at a time, and those it knows are left out."""
+    found: dict[int, float] = {}
+    todo = list(range(len(maps))) if ledger is None else ledger.missing(fold, range(len(maps)))
+    step = max(parallelism, 1) if ledger is not None else max(len(todo), 1)
+    for at in range(0, len(todo), step):
+        some = todo[at:at + step]
+        models = _fit(est, [maps[i] for i in some], fit_part, parallelism)
+        if one_pass(evaluator) and not isinstance(est, Pipeline):
+            values = evaluate_maps(models, val_part, evaluator)
+        else:
+            values = [evaluator.evaluate(m.transform(val_part)) for m in models]
+        new = dict(zip(some, values))
+        found.update(new)
+        if ledger is not None:
+            ledger.append(fold, new)
+    return [found[i] for i in range(len(maps))] if ledger is None else ledger.metrics(fold, len(maps))
+
+
+def _ledger(path: str | None, est, maps, train: DataFrame, evaluator: Evaluator, settings: Sequence) -> Ledger | None:
+    if path is None:
+        return None
+    settings = [*settings, type(evaluator).__name__, evaluator.getMetricName()]
+    return Ledger(train.sparkSession, path, search_id(est, maps, train, settings))
 
 
 def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator,
                             train: DataFrame, key_cols: Sequence[str], train_ratio: float = 0.8,
                             parallelism: int = 1, offset: int = 9,
-                            share_prefix: bool = True) -> SearchResult:
+                            share_prefix: bool = True, ledger: str | None = None) -> SearchResult:
     """Train/validation search then refit on all training rows.
 
     The fit/validation cut is a key hash (digits ``offset..offset+3``), so
@@ -121,52 +178,63 @@ def train_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
     scored on the validation part, and the best map is refitted (whole
     pipeline) on all of ``train``.  With ``share_prefix`` the parameter-free
     stages of a Pipeline (assembler, scaler) are fitted once on the fit part
-    instead of once per map: same result, one pass less per map.
+    instead of once per map: same result, one pass less per map.  ``ledger``:
+    a shared folder for the metrics of finished fits; a search that is started
+    again with it fits only the rest.
     """
-    fit_part, val_part = hash_split(train, key_cols, train_ratio, offset=offset)
-    prefix, last = _shared_prefix(est, maps) if share_prefix else (None, est)
-    if prefix is not None:
-        prefix_model = prefix.fit(fit_part)
-        fit_part, val_part = prefix_model.transform(fit_part), prefix_model.transform(val_part)
-    # When the caller already persisted ``train`` and nothing was added to
-    # the rows, the parts are cheap filters of that cache; persisting them
-    # too would hold the data twice.
-    own = prefix is not None or not train.is_cached
-    if own:
-        fit_part, val_part = _persist(fit_part), _persist(val_part)
-    try:
-        metrics = _evaluate(last, maps, evaluator, fit_part, val_part, parallelism)
-    finally:
+    notes = _ledger(ledger, est, maps, train, evaluator, ["tvs", train_ratio, offset, *key_cols])
+    res = SearchResult("train_validation", None, maps, [], evaluator.isLargerBetter())
+    if notes is not None and not notes.missing(0, range(len(maps))):
+        res.metrics = notes.metrics(0, len(maps))
+    else:
+        fit_part, val_part = hash_split(train, key_cols, train_ratio, offset=offset)
+        prefix, last = _shared_prefix(est, maps) if share_prefix else (None, est)
+        if prefix is not None:
+            prefix_model = prefix.fit(fit_part)
+            fit_part, val_part = prefix_model.transform(fit_part), prefix_model.transform(val_part)
+        # When the caller already persisted ``train`` and nothing was added to
+        # the rows, the parts are cheap filters of that cache; persisting them
+        # too would hold the data twice.
+        own = prefix is not None or not train.is_cached
         if own:
-            fit_part.unpersist()
-            val_part.unpersist()
-    res = SearchResult("train_validation", None, maps, metrics, evaluator.isLargerBetter())
+            fit_part, val_part = _persist(fit_part), _persist(val_part)
+        try:
+            res.metrics = _evaluate(last, maps, evaluator, fit_part, val_part, parallelism, notes)
+        finally:
+            if own:
+                fit_part.unpersist()
+                val_part.unpersist()
     res.best_model = est.fit(train, maps[res.best_index])
     return res
 
 
 def cross_validation_search(est: Estimator, maps: list[dict[Param, Any]], evaluator: Evaluator,
                             train: DataFrame, key_cols: Sequence[str], k: int,
-                            parallelism: int = 1) -> SearchResult:
+                            parallelism: int = 1, ledger: str | None = None) -> SearchResult:
     """k-fold CV on a key-hash fold column, then refit.
 
     The folds are computed once, with the persisted rows.  Per fold, the
     parameter-free stages of a Pipeline are fitted once on the other folds;
-    all maps are fitted on these transformed rows and scored on the fold's.
-    Metrics are those of ``CrossValidator`` on the same fold column, whose
-    every fit repeats the stages.
+    all maps are fitted on these transformed rows and scored on the fold's, in
+    one pass.  Metrics are those of ``CrossValidator`` on the same fold column,
+    whose every fit repeats the stages.  ``ledger`` as in
+    ``train_validation_search``.
     """
+    notes = _ledger(ledger, est, maps, train, evaluator, ["cv", k, *key_cols])
     folded = _persist(with_fold(train, key_cols, k, col="fold"))
     prefix, last = _shared_prefix(est, maps)
     sums = [0.0] * len(maps)
     try:
         for i in range(k):
+            if notes is not None and not notes.missing(i, range(len(maps))):
+                sums = [a + b for a, b in zip(sums, notes.metrics(i, len(maps)))]
+                continue
             fit_part, val_part = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
             if prefix is not None:
                 fitted = prefix.fit(fit_part)
                 fit_part, val_part = _persist(fitted.transform(fit_part)), _persist(fitted.transform(val_part))
             try:
-                for j, v in enumerate(_evaluate(last, maps, evaluator, fit_part, val_part, parallelism)):
+                for j, v in enumerate(_evaluate(last, maps, evaluator, fit_part, val_part, parallelism, notes, i)):
                     sums[j] += v
             finally:
                 if prefix is not None:
@@ -179,29 +247,21 @@ def cross_validation_search(est: Estimator, maps: list[dict[Param, Any]], evalua
     return res
 
 
-# --- fixed values -----------------------------------------------------------
-# The reference's search grids (duplicates removed by ``param_grid``).
-GRIDS: dict[str, dict[str, dict[str, list]]] = {
-    "logistic": {
-        "tvs": {"regParam": [0.01, 0.1, 0.3], "elasticNetParam": [0.0, 0.5, 1.0]},
-        "cv": {"regParam": [0.01, 0.1, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0],
-               "maxIter": [50, 100]},
-    },
-    "forest": {
-        "tvs": {"maxDepth": [5, 10], "numTrees": [20, 50]},
-        "cv": {"maxDepth": [5, 10, 15], "numTrees": [10, 30, 50]},
-    },
-    "gbt": {
-        "tvs": {"maxDepth": [2, 3], "maxBins": [5, 10], "minInfoGain": [0.0]},
-        "cv": {"maxDepth": [2], "maxBins": [10], "minInfoGain": [0.0]},
-    },
-    "linear": {
-        "tvs": {"maxIter": [2, 3], "regParam": [0.01, 0.03]},
-        "cv": {"maxIter": [2, 3], "regParam": [0.01, 0.03]},
-    },
-}
-FOLDS = {"logistic": 5, "forest": 3, "gbt": 3, "linear": 3}
-TRAIN_RATIO = 0.8
-# ---------------------------------------------------------------------------
-# Candidate fits run concurrently (each is itself a distributed job).
-PARALLELISM = 4
+def moment_searches(train: DataFrame, features: Sequence[str], key_cols: Sequence[str], grids: dict[str, dict[str, list]],
+                    k: int, train_ratio: float = TRAIN_RATIO) -> tuple[SearchResult, SearchResult]:
+    """Train/validation search and k-fold CV of the ridge model from moments:
+    one aggregate each, no fits (``plans.gram``).  Metrics are those of the two
+    searches above with ``LinearRegression``; ``maxIter`` has no effect there."""
+    est = LinearRegression()
+    out = []
+    for method, grid in (("train_validation", grids["tvs"]), ("cross_validation", grids["cv"])):
+        maps = param_grid(est, grid)
+        regs = [float(m.get(est.regParam, REG_PARAM)) for m in maps]
+        if method == "train_validation":
+            metrics, parts = gram.train_validate(train, features, regs, key_cols, train_ratio)
+        else:
+            metrics, parts = gram.cross_validate(train, features, regs, key_cols, k)
+        res = SearchResult(method, None, maps, metrics, False, {} if method == "train_validation" else {"k": k})
+        res.best_model = gram.refit(parts, regs[res.best_index], features)
+        out.append(res)
+    return out[0], out[1]

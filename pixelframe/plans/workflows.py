@@ -50,30 +50,41 @@ class WorkflowResult:
 def run_workflow(spark: SparkSession, data: DataFrame, kind: str, keys: Sequence[str],
                  features: Sequence[str] = FEATURES, grids: dict | None = None, k: int | None = None,
                  weight_col: str | None = "auto", split: float = 0.7, parallelism: int = 1,
-                 partitions: int = prep.FIT_PARTITIONS) -> WorkflowResult:
+                 partitions: int | None = None, ledger: str | None = None) -> WorkflowResult:
     """Tune ``kind`` by train/validation search and by k-fold CV, score the
     held-out rows with both best models and summarise them.
 
     ``weight_col='auto'`` weights the classifiers by class balance and leaves
-    the regressors unweighted, as the reference effectively does.
+    the regressors unweighted, as the reference effectively does.  The linear
+    model is searched by moments (``plans.gram``), the others by fits, whose
+    metrics are kept under ``ledger`` if given, so that a stopped search goes on.
     """
     grids = grids or TU.GRIDS[kind]
     k = k or TU.FOLDS[kind]
     if weight_col == "auto":
         weight_col = prep.WEIGHT_COL if kind in CLASSIFIERS else None
     train, test = prep.hash_split(data, keys, split)
+    if kind == "linear" and weight_col is None:
+        searches = dict(zip(MODEL_NAMES, TU.moment_searches(train, features, keys, grids, k)))
+        return _finish(spark, kind, searches, test, keys, features)
     train = prep.by_key(train, keys, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pipe, est = staged_estimator(kind, features, weight_col)
         classifier = kind in CLASSIFIERS
         evaluator = TU.auc_evaluator() if classifier else TU.rmse_evaluator()
         tvs = TU.train_validation_search(pipe, TU.param_grid(est, grids["tvs"]), evaluator, train, keys,
-                                         TU.TRAIN_RATIO, parallelism)
+                                         TU.TRAIN_RATIO, parallelism, ledger=ledger)
         cv = TU.cross_validation_search(pipe, TU.param_grid(est, grids["cv"]), evaluator, train, keys, k,
-                                        parallelism)
+                                        parallelism, ledger=ledger)
     finally:
         train.unpersist()
-    searches = dict(zip(MODEL_NAMES, (tvs, cv)))
+    return _finish(spark, kind, dict(zip(MODEL_NAMES, (tvs, cv))), test, keys, features)
+
+
+def _finish(spark: SparkSession, kind: str, searches: dict[str, TU.SearchResult], test: DataFrame,
+            keys: Sequence[str], features: Sequence[str]) -> WorkflowResult:
+    """Scores of the held-out rows under both best models, their metrics and explanations."""
+    classifier = kind in CLASSIFIERS
     test = test.persist(StorageLevel.MEMORY_AND_DISK)  # prepared once, read by both models
     try:
         scored = {name: RP.score(s.best_model, test, keep=list(keys), vector="features") for name, s in searches.items()}
