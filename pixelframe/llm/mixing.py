@@ -9,14 +9,17 @@ that the expected words of the pair stay the same, until one of the two is 0 or
 ``docs_per_block`` documents, dealt by row and not by source, do this in
 parallel, largest documents first, each paired with the pool of those after it;
 what each block leaves open (one document per source) is combined by a
-reduction tree of further such rounds.  At the root one document per source is
+reduction tree of further such rounds, whose nodes take a share of the sources.  At the root one document per source is
 rounded by itself, so a source misses its target by less than the size of one
 document, most often one of its smallest.
 
 Defined results: null text has size 0; documents of size 0 are taken 0 times
 (0 words); null ``source`` is a source of its own, last in order; equal rows
 are separate documents; an empty table gives an empty result; further columns
-are ignored.  Draws depend on ``seed``, block and order only: reruns agree.
+are ignored.  Rows are dealt and ordered by a hash of their content (doc_id,
+source, text), not by their place in the files, and draws depend on ``seed``,
+block and source only: reruns agree however the table is cut, up to the exchange
+of rows that are equal.
 """
 
 from __future__ import annotations
@@ -36,7 +39,10 @@ CAP = 3.0
 DOCS_PER_BLOCK = 20_000
 FAN_IN = 32
 
-_ROUND_SCHEMA = ("row_key long, doc_id long, source string, size long, source_size long, target double, "
+#: Sources of a node of the reduction tree, about.
+SOURCES_PER_NODE = 1000
+
+_ROUND_SCHEMA = ("nth long, row_key long, doc_id long, source string, size long, source_size long, target double, "
                  "whole long, p double, block long, up int")
 
 
@@ -92,7 +98,7 @@ def _first_round(seed: int):
     up the mass, then the next largest.  What is left open is a small document."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["size", "row_key"], ascending=[False, True]).reset_index(drop=True)
+        block = block.sort_values(["size", "nth"], ascending=[False, True]).reset_index(drop=True)
         up, open_p = block["up"].astype("Int32").copy(), block["p"].astype(float).copy()
         number = int(block["block"].iloc[0])
         for source, rows in block.groupby("source", dropna=False, sort=False):
@@ -129,7 +135,7 @@ def _next_round(level: int, last: bool, seed: int):
     and source, paired one after the other.  At the root the last one is drawn."""
 
     def run(node: pd.DataFrame) -> pd.DataFrame:
-        node = node.sort_values(["size", "row_key"], ascending=[False, True]).reset_index(drop=True)
+        node = node.sort_values(["size", "nth"], ascending=[False, True]).reset_index(drop=True)
         up, open_p = node["up"].astype("Int32").copy(), node["p"].astype(float).copy()
         number, sizes = int(node["block"].iloc[0]), node["size"].tolist()
         for source, rows in node.groupby("source", dropna=False, sort=False):
@@ -158,8 +164,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 17,
     """(row_key, doc_id, source, size, source_size, target, copies, taken) for
     every row of ``docs`` (doc_id, text, source)."""
     key = F.monotonically_increasing_id() if row_key is None else docs[row_key]
-    sized = stored(docs.select(key.alias("row_key"), docs["doc_id"].cast("long").alias("doc_id"),
-                               docs["source"], word_count(docs["text"]).alias("size")), "sizes")
+    content = F.xxhash64(docs["doc_id"], docs["source"], docs["text"])
+    hashed = stored(docs.select(key.alias("row_key"), content.alias("h"), docs["doc_id"].cast("long").alias("doc_id"),
+                                docs["source"], word_count(docs["text"]).alias("size")), "sizes")
+    # equal rows share a hash; the key spreads them, and which is which does not matter
+    sized = stored(global_index(hashed, [F.col("h"), F.col("row_key")], "nth").drop("h"), "order")
     targets = source_targets(sized, weights, cap)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     n_blocks = max(1, math.ceil(sized.count() / docs_per_block))
@@ -170,17 +179,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 17,
     salted = sized.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(salts)).cast("int"))
     with_rate = salted.join(t, F.col("source").eqNullSafe(F.col("source_t")) & (F.col("salt") == F.col("salt_t")))
     rows = with_rate.select(
-        "row_key", "doc_id", "source", "size", "source_size", "target",
+        "nth", "row_key", "doc_id", "source", "size", "source_size", "target",
         F.when(F.col("size") > 0, F.floor(rate)).otherwise(0).cast("long").alias("whole"),
         F.when(F.col("size") > 0, rate - F.floor(rate)).otherwise(0.0).alias("p"),
-        F.pmod(F.xxhash64("row_key"), F.lit(n_blocks)).alias("block"))
+        (F.col("nth") % n_blocks).alias("block"))
     rows = stored(rows.withColumn("up", F.when(F.col("p") == 0, 0)), "rates")
     done = stored(rows.where("up is null").groupBy("block").applyInPandas(_first_round(seed), _ROUND_SCHEMA), "round0")
     decided, level = [rows.where("up is not null"), done.where("up is not null")], 0
+    lanes = max(1, math.ceil(targets.count() / SOURCES_PER_NODE))
+    lane = F.pmod(F.xxhash64("source"), F.lit(lanes))
     while True:
         n_blocks, level = math.ceil(n_blocks / fan_in), level + 1
         nodes = done.where("up is null").withColumn("block", F.floor(F.col("block") / fan_in).cast("long"))
-        done = stored(nodes.groupBy("block").applyInPandas(
+        done = stored(nodes.groupBy("block", lane.alias("lane")).applyInPandas(
             _next_round(level, n_blocks == 1, seed), _ROUND_SCHEMA), f"round{level}")
         decided.append(done.where("up is not null"))
         if n_blocks == 1:

@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from pixelframe.llm import mixing
 from pixelframe.llm.mixing import mix, mixed_rows, pivot
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -55,6 +56,26 @@ def test_many_blocks_agree_with_targets_and_reruns(docs):
     assert all(abs(r.t - r.x) <= r.m for r in rows)
 
 
+def test_draws_do_not_depend_on_partitions(docs):
+    found = set()
+    for n in (1, 3, 9):
+        rows = mix(docs.repartition(n), docs_per_block=7, fan_in=2).select("doc_id", "source", "size", "taken").collect()
+        found.add(tuple(sorted(map(str, rows))))
+        kept = mixed_rows(docs.repartition(n), docs_per_block=7, fan_in=2).drop("mix_copy")
+        found.add(tuple(sorted(f"{r.doc_id} {r.source} {len(r.text)}" for r in kept.collect())))
+    assert len(found) == 2
+
+
+def test_many_sources_share_the_tree(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES_PER_NODE", 3)
+    rows = [(i, "w " * (1 + i % 7), "en", f"s{i % 25}", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    a = mix(docs, docs_per_block=20, fan_in=3)
+    for r in a.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("x"), F.max("size").alias("m")).collect():
+        assert abs(r.t - r.x) <= r.m
+    assert a.count() == 300
+
+
 def test_pivot_keeps_the_weighted_sum():
     for p, a, q, b, u in [(.3, 5, .4, 7, .1), (.3, 5, .4, 7, .9), (.9, 1, .9, 100, .5), (.5, 100, .1, 1, .2)]:
         x, y = pivot(p, a, q, b, u)
