@@ -39,10 +39,12 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_SKIPPED = frozenset("script style noscript template title textarea iframe svg math object select datalist".split())
+#: Never shown as text of the page: code, form parts, and noscript and iframe, whose content a browser does not read as markup.
+_SKIPPED = frozenset("script style noscript template title textarea iframe select datalist".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp
-small span strike strong sub sup time tt u var br img wbr input picture source""".split())
+small span strike strong sub sup time tt u var br img wbr input picture source math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mpadded msub msup msubsup munder
+mover munderover mtable mtr mtd semantics annotation tspan""".split())
 _KNOWN = frozenset("""html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre
 figure figcaption nav header footer aside form button fieldset address""".split())
 #: Tags that hold text; they follow their parent more closely than sections and divisions do.
@@ -83,6 +85,15 @@ def parse(source: str | None) -> Page:
     """Block tree and text runs of a page."""
     page, source = Page(["#page"], [""], [-1]), source or ""
     stack, links, buffer, at, end = [0], 0, [], 0, len(source)
+    places: dict[str, list[int]] = {}  # of the open elements of a tag in the stack
+
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def close(k: int) -> None:
+        for node in stack[k:]:
+            places[page.tag[node]].pop()
+        del stack[k:]
 
     def flush():
         text = " ".join("".join(buffer).split())
@@ -111,18 +122,15 @@ def parse(source: str | None) -> Page:
         if closing:
             if name == "a":
                 links = max(0, links - 1)
-            elif name not in _INLINE and name not in ("html", "body"):
-                for k in range(len(stack) - 1, 0, -1):
-                    if page.tag[stack[k]] == name:
-                        flush()
-                        del stack[k:]
-                        links = 0
-                        break
+            elif name not in _INLINE and name not in ("html", "body") and places.get(name):
+                flush()
+                close(places[name][-1])
+                links = 0
             continue
         if name in _SKIPPED:
             if not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(source, at)
-                at = end if close is None else source.find(">", close.start()) + 1 or end
+                ended = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(source, at)
+                at = end if ended is None else source.find(">", ended.start()) + 1 or end
             continue
         if name in _INLINE:
             if name == "a":
@@ -134,19 +142,22 @@ def parse(source: str | None) -> Page:
         if name in _VOID:
             continue
         links = 0
+        if name not in _KNOWN and attributes.endswith("/"):  # drawings and formulas close themselves
+            continue
         if page.tag[stack[-1]] == "p":
-            stack.pop()
-        for k in range(len(stack) - 1, 0, -1):
-            tag = page.tag[stack[k]]
-            if tag in _ENDS.get(name, ()):
-                del stack[k:]
+            close(len(stack) - 1)
+        if name in _ENDS:
+            k = last(_ENDS[name])
+            while k > last(_BOUNDS):
+                tag = page.tag[stack[k]]
+                close(k)
                 if name != "tr" or tag == "tr":
                     break
-            elif tag in _BOUNDS:
-                break
+                k = last(_ENDS[name])
         page.tag.append(name)
         page.names.append(attributes)
         page.parent.append(stack[-1])
+        places.setdefault(name, []).append(len(stack))
         stack.append(len(page.tag) - 1)
     flush()
     return page

@@ -1,3 +1,5 @@
+import pytest
+import time
 from pyspark.sql import functions as F
 
 from pixelframe.llm.html_pages import LAYOUTS, labelled_pages
@@ -68,3 +70,21 @@ def test_frame(spark):
     rows = extract(df.withColumn("text", F.lit(5)).withColumn("n_chars", F.lit(0))).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in rows) == [(0, "", 0), (1, TEXT, len(TEXT)), (1, TEXT, len(TEXT)), (2, "", 0)]
     assert extract(df.where("false")).count() == 0
+
+
+def test_formulas_drawn_text_and_fallbacks_are_not_dropped_by_tag():
+    text = lambda source: [t for _, t in parse(source).runs]
+    assert text("<p>The sum <math><mi>x</mi><mo>=</mo><mn>3</mn></math> is known") == ["The sum x=3 is known"]
+    assert text("<svg><path d='M0'/><text>Drawn <tspan>words</tspan></text></svg><p>after</p>") == ["Drawn words", "after"]
+    assert text("<object data=x><p>Shown instead</p></object> on") == ["Shown instead", "on"]
+    assert text("<script>x</script><style>y</style><template>z</template><textarea>t</textarea>stays") == ["stays"]
+
+
+@pytest.mark.parametrize("source", ["<div>" * 100_000 + "x", "<div>" * 50_000 + "</span2>" * 50_000 + "x", "<li>" * 100_000 + "x",
+                                    "<li><ul>" + "<div>" * 50_000 + "<li></li>" * 50_000 + "x", "</div>" * 100_000 + "x",
+                                    "<table>" + "<tr><td>" * 50_000 + "x", "<p>" * 100_000 + "x"])
+def test_parsing_is_linear(source):
+    began = time.process_time()
+    page = parse(source)
+    assert [t for _, t in page.runs] == ["x"]
+    assert time.process_time() - began < 10
