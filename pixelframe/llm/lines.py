@@ -1,17 +1,18 @@
 """Operator 6: line dedup by an exact set-similarity join, in DataFrame functions.
 
 A line is the set of its words; a line goes when an earlier line of the whole
-table has a Jaccard similarity of ``THRESHOLD`` (0.8) or more with it.  Earlier
+table has a Jaccard similarity of 0.8 or more with it.  Earlier
 means: smaller doc_id (null last), then smaller line number.  A document keeps
 its row even if none of its lines is left.
 
 Lines of equal word sets form one class; all but the first of a class go.
-Between classes: words become 64-bit ids in order of rarity (the counts of all
-words of the table, in 2^16 hash buckets, give the upper bits).  For Jaccard
-0.8 two sets of n words must share one of their floor(0.2 n) + 1 rarest, so
-each class is indexed under these (prefix filter); joined pairs must fit in
-length and in what can still match after the shared word (positional filter).
-The Jaccard similarity of what is left is computed on the words themselves.
+Between classes: words become 64-bit ids in order of rarity (all words of the
+table are counted in 2^20 hash buckets; the upper 7 bits of an id are the
+logarithm of the count, the others the word's hash).  For Jaccard 0.8 two sets
+of n words must share one of their floor(0.2 n) + 1 rarest, so each class is
+indexed under these (prefix filter); joined pairs must fit in length and in what
+can still match after the shared word (positional filter).  The Jaccard
+similarity of what is left is computed on the words themselves.
 
 Two classes must further differ in no more than (n + m) / 9 words, and no fewer
 than the bits in which either of their two 64-bit parity sketches differ, which
@@ -37,41 +38,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelframe.functions.ranges import global_index
-from pixelframe.llm.base import WS, read_table, stored
+from pixelframe.llm.base import WS, discard, read_table, stored
 
-THRESHOLD = 0.8
-BUCKETS = 1 << 16
+BUCKET_BITS = 20
+_REST = (1 << 56) - 1  # the bits of a word's hash that its id keeps
 CROWD = 64
 BROADCAST_ROWS = 1_000_000
 
 
+def _cut(text: Column) -> Column:
+    """Cut at single spaces, the fast way, unless there is other white space; may hold empty words."""
+    odd = text.contains("\t") | text.contains("\r") | text.contains("\x0b") | text.contains("\x0c")
+    return F.when(odd, F.split(text, WS)).otherwise(F.split(text, " "))
+
+
 def line_words(line: Column) -> Column:
-    """Words of a line: cut at single spaces, the fast way, unless it has other white space."""
-    odd = line.contains("\t") | line.contains("\r") | line.contains("\x0b") | line.contains("\x0c")
-    return F.array_remove(F.when(odd, F.split(line, WS)).otherwise(F.split(line, " ")), "")
-
-
-def word_ranks(docs: DataFrame) -> Column:
-    """For each of the 2^16 hash buckets (upper 16 bits of a word's hash) what
-    turns these bits into the bucket's rank by XOR, as a constant array column.
-    Buckets are ranked by the number of words in them over the whole table,
-    rarest first; the 2^16 counts are all that reaches the driver."""
-    words = _lines(docs).select(F.explode(F.transform(
-        line_words(F.col("line")), lambda w: F.shiftrightunsigned(F.xxhash64(w), 48).cast("int"))).alias("b"))
-    by_bucket = dict(words.groupBy("b").agg(F.count("*").alias("n")).collect())
-    flips = [0] * BUCKETS
-    for rank, bucket in enumerate(sorted(range(BUCKETS), key=lambda x: (by_bucket.get(x, 0), x))):
-        upper = (bucket ^ rank ^ 1 << 15) << 48  # the sign bit turned, so that ranks sort as signed numbers
-        flips[bucket] = upper - (1 << 64) if upper >> 63 else upper
-    return F.split(F.lit(",".join(map(str, flips))), ",").cast("array<long>")  # folded to one literal
-
-
-def _word_ids(words: Column, flips: Column) -> Column:
-    """Distinct 64-bit word ids, rarest first: the upper 16 bits of the hash give
-    way to their rank, one to one, so ids differ where hashes do."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.sort_array(F.transform(F.array_distinct(hashes), lambda h: h.bitwiseXOR(
-        F.get(flips, F.shiftrightunsigned(h, 48).cast("int")))))
+    """Words of a line."""
+    return F.array_remove(_cut(line), "")
+
+
+def _bucket(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, 64 - BUCKET_BITS).cast("int")
+
+
+def word_levels(docs: DataFrame) -> Column:
+    """The rarity of the words in each of the 2^20 hash buckets, as a constant of
+    one byte a bucket: 1 (none) to 127, three steps for each doubling of the
+    number of words in the bucket over the whole table."""
+    words = docs.select(F.explode(_cut(F.replace(docs["text"], F.lit("\n"), F.lit(" ")))).alias("w")).where("w != ''")
+    none = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("b"), F.lit(0).alias("n"))
+    counts = words.select(_bucket(F.xxhash64("w")).alias("b"), F.lit(1).alias("n")).union(none).groupBy("b").agg(F.sum("n").alias("n"))
+    level = F.least(F.lit(127), F.floor(F.log2(F.col("n") + 1) * 3).cast("int") + 1)
+    runs = stored(counts.groupBy(F.shiftright("b", 12).alias("run")).agg(
+        F.array_sort(F.collect_list(F.struct("b", F.char(level).alias("level")))).alias("found")).select(
+        "run", F.array_join("found.level", "").alias("levels")), "levels")
+    levels = "".join(r["levels"] for r in runs.orderBy("run").collect())
+    discard(runs)
+    return F.lit(bytearray(levels, "ascii"))
+
+
+def _word_ids(words: Column, levels: Column) -> Column:
+    """Distinct word ids, rarest first: the level of the word's bucket, then 56 bits of its hash."""
+
+    def word_id(word: Column) -> Column:
+        hashed = F.xxhash64(word)
+        level = F.ascii(F.substring(levels, _bucket(hashed) + 1, F.lit(1)).cast("string"))
+        return F.shiftleft(level.cast("long"), 56).bitwiseOR(hashed.bitwiseAND(F.lit(_REST)))
+
+    return F.sort_array(F.array_distinct(F.transform(words, word_id)))
 
 
 def _place(table: str = "") -> Column:
@@ -81,34 +95,29 @@ def _place(table: str = "") -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.where(docs["text"].isNotNull()).select(
+    cut = docs.where(docs["text"].isNotNull()).select(
         docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"),
-        F.posexplode(F.split(docs["text"], "\n")).alias("line_no", "line"))
+        F.split(docs["text"], "\n").alias("lines"))
+    return cut.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
 
 
-def index_lines(docs: DataFrame, ranks: Column) -> DataFrame:
+def index_lines(docs: DataFrame, levels: Column) -> DataFrame:
     """(doc_id, text_hash, line_no, k1, k2, n, sketch, sketch2, prefix) of every
     line with a word: its class (two hashes of its word set), its number of
     different words, their parity sketches and the ids of the rarest of them."""
-    ids = _lines(docs).select("doc_id", "text_hash", "line_no", _word_ids(line_words(F.col("line")), ranks).alias("ids"))
+    some = F.length(F.ltrim("line", F.lit(" \t\r\x0b\x0c"))) > 0  # a filter on the words would cut them twice
+    ids = _lines(docs).where(some).select("doc_id", "text_hash", "line_no", _word_ids(line_words(F.col("line")), levels).alias("ids"))
     n = F.size("ids")
     # n - ceil(0.8 n) + 1 in whole numbers
     length = F.when(n < 4, F.lit(0)).otherwise(F.floor(n / 5).cast("int") + 1)
 
-    def sketch(shift: int) -> Column:
+    def sketch(bits: int) -> Column:  # a shift of a long takes the lowest six bits
         return F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftright(x, shift).bitwiseAND(63).cast("int"))))
-
-    rows = ids.select("doc_id", "text_hash", "line_no", F.xxhash64("ids").alias("k1"),
-                      F.xxhash64(F.lit(1), "ids").alias("k2"), n.alias("n"), sketch(0).alias("sketch"), sketch(6).alias("sketch2"),
-                      F.slice("ids", F.lit(1), length).alias("prefix"))
-    return stored(rows.where("n > 0"), "lines")
-
+            "shiftleft", F.lit(1).cast("long"), F.shiftright(x, bits).cast("int"))))
 
-def _first_lines(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of the indexed rows that stand for the first line of their class,
-    with ``o``, the place of the class in order of its first line."""
-    return rows.join(classes, ["k1", "k2"]).where(_place() == F.col("place")).drop("place")
+    return ids.select("doc_id", "text_hash", "line_no", F.xxhash64("ids").alias("k1"),
+                      F.xxhash64(F.lit(1), "ids").alias("k2"), n.alias("n"), sketch(33).alias("sketch"),
+                      sketch(39).alias("sketch2"), F.slice("ids", F.lit(1), length).alias("prefix"))
 
 
 def _fits(x: str, y: str) -> Column:
@@ -151,18 +160,16 @@ def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, broadcast_ro
     return both.where(shared * 9 >= (F.size("x") + F.size("y")) * 4).select("b").distinct()
 
 
-def similar_classes(docs: DataFrame, indexed: DataFrame, classes: DataFrame, broadcast_rows: int,
-                    crowd: int = CROWD) -> DataFrame:
+def similar_classes(docs: DataFrame, classes: DataFrame, broadcast_rows: int, crowd: int = CROWD) -> DataFrame:
     """(o,) of the classes that are similar to a class which began earlier."""
     columns = ["word", "o", "n", "at", "sketch", "sketch2"]
-    exploded = indexed.select("*", F.posexplode("prefix").alias("at", "word")).drop("prefix")
-    counts = exploded.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
+    rows = classes.where(F.size("prefix") > 0).select("o", "n", "sketch", "sketch2", F.posexplode("prefix").alias("at", "word")).select(columns)
+    counts = rows.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
     hot = _sized(stored(counts.select("word"), "hot"), broadcast_rows)
     # under all other words: both sides of the join are the same rows and share one exchange
-    few = _first_lines(indexed.where(F.size("prefix") > 0), classes).select("*", F.posexplode("prefix").alias("at", "word"))
-    few = few.select(columns).dropna().join(hot, "word", "left_anti")
+    few = rows.join(hot, "word", "left_anti")
     direct = stored(_met(few, few), "direct")
-    crowded = stored(_first_lines(exploded.join(hot, "word", "left_semi"), classes).select(columns), "crowded")
+    crowded = stored(rows.join(hot, "word", "left_semi").select(columns), "crowded")
     earliest = crowded.groupBy("word").agg(F.min(F.struct(*columns[1:])).alias("e")).select("word", "e.*")
     pairs = stored(direct.union(_met(crowded, earliest)).distinct(), "pairs")
     settled = stored(_similar(docs, pairs, classes, broadcast_rows), "settled").withColumnRenamed("b", "o")
@@ -175,13 +182,20 @@ def similar_classes(docs: DataFrame, indexed: DataFrame, classes: DataFrame, bro
 
 def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
     """(doc_id, text_hash, line_no) of the lines that go."""
-    indexed = index_lines(docs, word_ranks(docs))
-    places = indexed.select("k1", "k2", _place().alias("place"))
-    firsts = places.groupBy("k1", "k2").agg(F.min("place").alias("place"))
-    classes = stored(global_index(firsts, [F.col("place"), F.col("k1"), F.col("k2")], "o"), "classes")
-    near = similar_classes(docs, indexed, classes, broadcast_rows, crowd).withColumn("near", F.lit(True))
-    first = classes.withColumnRenamed("place", "first").join(near, "o", "left").select("k1", "k2", "first", "near")
-    return stored(places.join(first, ["k1", "k2"]).where("near or place > first").select("place.*"), "gone")
+    indexed = stored(index_lines(docs, word_levels(docs)), "indexed")
+    # what depends on the words alone is the same in every line of a class
+    firsts = indexed.groupBy("k1", "k2").agg(F.min(_place()).alias("place"), *[
+        F.first(c).alias(c) for c in ("n", "sketch", "sketch2", "prefix")])
+    ordered = global_index(firsts, [F.col("place"), F.col("k1"), F.col("k2")], "o")
+    classes = stored(ordered, "classes")
+    discard(ordered)
+    places = stored(indexed.select("k1", "k2", _place().alias("place")), "places")
+    discard(indexed)
+    near = similar_classes(docs, classes, broadcast_rows, crowd).withColumn("near", F.lit(True))
+    first = classes.select("k1", "k2", "o", F.col("place").alias("first")).join(near, "o", "left").drop("o")
+    gone = stored(places.join(first, ["k1", "k2"]).where("near or place > first").select("place.*"), "gone")
+    discard(places, classes)
+    return gone
 
 
 def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
