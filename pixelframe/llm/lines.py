@@ -15,8 +15,8 @@ can still match after the shared word (positional filter).  The Jaccard
 similarity of what is left is computed on the words themselves.
 
 Two classes must further differ in no more than (n + m) / 9 words, and no fewer
-than the bits in which either of their two 64-bit parity sketches differ, which
-leaves few pairs that are not similar.
+than the bits in which their 128-bit parity sketches differ, which leaves few
+pairs that are not similar.
 
 Only the first line of a class can still be in question, and one similar class
 that began earlier settles it.  Under a prefix word of at most ``CROWD`` lines
@@ -70,7 +70,7 @@ def word_levels(docs: DataFrame) -> Column:
     counts = words.select(_bucket(F.xxhash64("w")).alias("b"), F.lit(1).alias("n")).union(none).groupBy("b").agg(F.sum("n").alias("n"))
     level = F.least(F.lit(127), F.floor(F.log2(F.col("n") + 1) * 3).cast("int") + 1)
     runs = stored(counts.groupBy(F.shiftright("b", 12).alias("run")).agg(
-        F.array_sort(F.collect_list(F.struct("b", F.char(level).alias("level")))).alias("found")).select(
+        F.sort_array(F.collect_list(F.struct("b", F.char(level).alias("level")))).alias("found")).select(
         "run", F.array_join("found.level", "").alias("levels")), "levels")
     levels = "".join(r["levels"] for r in runs.orderBy("run").collect())
     discard(runs)
@@ -80,12 +80,12 @@ def word_levels(docs: DataFrame) -> Column:
 def _word_ids(words: Column, levels: Column) -> Column:
     """Distinct word ids, rarest first: the level of the word's bucket, then 56 bits of its hash."""
 
-    def word_id(word: Column) -> Column:
-        hashed = F.xxhash64(word)
+    def word_id(hashed: Column) -> Column:
         level = F.ascii(F.substring(levels, _bucket(hashed) + 1, F.lit(1)).cast("string"))
         return F.shiftleft(level.cast("long"), 56).bitwiseOR(hashed.bitwiseAND(F.lit(_REST)))
 
-    return F.sort_array(F.array_distinct(F.transform(words, word_id)))
+    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashes, word_id))
 
 
 def _place(table: str = "") -> Column:
@@ -104,28 +104,32 @@ def _lines(docs: DataFrame) -> DataFrame:
 def index_lines(docs: DataFrame, levels: Column) -> DataFrame:
     """(doc_id, text_hash, line_no, k1, k2, n, sketch, sketch2, prefix) of every
     line with a word: its class (two hashes of its word set), its number of
-    different words, their parity sketches and the ids of the rarest of them."""
+    different words, the two halves of their parity sketch and the ids of the rarest of them."""
     some = F.length(F.ltrim("line", F.lit(" \t\r\x0b\x0c"))) > 0  # a filter on the words would cut them twice
     ids = _lines(docs).where(some).select("doc_id", "text_hash", "line_no", _word_ids(line_words(F.col("line")), levels).alias("ids"))
     n = F.size("ids")
     # n - ceil(0.8 n) + 1 in whole numbers
     length = F.when(n < 4, F.lit(0)).otherwise(F.floor(n / 5).cast("int") + 1)
 
-    def sketch(bits: int) -> Column:  # a shift of a long takes the lowest six bits
+    def parity(bit) -> Column:  # of how many ids fall on each of 64 bits; a shift of a long takes the lowest six bits
         return F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftright(x, bits).cast("int"))))
+            "shiftleft", bit(x), F.shiftright(x, 33).cast("int"))))
 
+    half = parity(lambda x: F.shiftright(x, 39).bitwiseAND(F.lit(1).cast("long")))
+    whole = parity(lambda x: F.lit(1).cast("long"))
     return ids.select("doc_id", "text_hash", "line_no", F.xxhash64("ids").alias("k1"),
-                      F.xxhash64(F.lit(1), "ids").alias("k2"), n.alias("n"), sketch(33).alias("sketch"),
-                      sketch(39).alias("sketch2"), F.slice("ids", F.lit(1), length).alias("prefix"))
+                      F.xxhash64(F.lit(1), "ids").alias("k2"), n.alias("n"), half.alias("half"), whole.alias("whole"),
+                      F.slice("ids", F.lit(1), length).alias("prefix")).select(
+        "doc_id", "text_hash", "line_no", "k1", "k2", "n", F.col("half").alias("sketch"),
+        F.col("half").bitwiseXOR(F.col("whole")).alias("sketch2"), "prefix")
 
 
 def _fits(x: str, y: str) -> Column:
     """Length, parity and positional filters between two prefix rows of a word."""
     c = F.col
     return ((c(f"{y}.o") < c(f"{x}.o"))
-            & (F.bit_count(c(f"{x}.sketch").bitwiseXOR(c(f"{y}.sketch"))) * 9 <= c(f"{x}.n") + c(f"{y}.n"))
-            & (F.bit_count(c(f"{x}.sketch2").bitwiseXOR(c(f"{y}.sketch2"))) * 9 <= c(f"{x}.n") + c(f"{y}.n"))
+            & ((F.bit_count(c(f"{x}.sketch").bitwiseXOR(c(f"{y}.sketch")))
+                + F.bit_count(c(f"{x}.sketch2").bitwiseXOR(c(f"{y}.sketch2")))) * 9 <= c(f"{x}.n") + c(f"{y}.n"))
             & (F.least(f"{x}.n", f"{y}.n") * 5 >= F.greatest(f"{x}.n", f"{y}.n") * 4)
             & ((F.least(f"{x}.at", f"{y}.at") + F.least(c(f"{x}.n") - c(f"{x}.at"), c(f"{y}.n") - c(f"{y}.at"))) * 9
                >= (c(f"{x}.n") + c(f"{y}.n")) * 4))
@@ -145,19 +149,18 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, broadcast_rows: int) -> DataFrame:
     """(b,) of the pairs whose word sets have the similarity, by the words themselves."""
     used = pairs.select(F.col("a").alias("o")).union(pairs.select(F.col("b").alias("o"))).distinct()
-    reps = stored(classes.join(used, "o").select("o", "place.doc_id", "place.text_hash", "place.line_no"), "reps")
+    reps = stored(classes.join(used, "o").select("o", "n", "place.doc_id", "place.text_hash", "place.line_no"), "reps")
     lines = _lines(docs).alias("l")
     r = _sized(reps, broadcast_rows).alias("r")
     same = (F.col("l.text_hash") == F.col("r.text_hash")) & (F.col("l.line_no") == F.col("r.line_no")) \
         & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))
     # the different words as one string, a third of the size of an array of them
-    spelled = stored(lines.join(r, same).select("o", F.array_join(F.array_distinct(line_words(F.col("line"))), " ").alias("words"))
+    spelled = stored(lines.join(r, same).select("o", "n", F.array_join(F.array_distinct(line_words(F.col("line"))), " ").alias("words"))
                      .dropDuplicates(["o"]), "spelled")
-    x = spelled.select(F.col("o").alias("a"), F.col("words").alias("x"))
-    y = spelled.select(F.col("o").alias("b"), F.col("words").alias("y"))
-    both = pairs.join(x, "a").join(y, "b").select("b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared * 9 >= (F.size("x") + F.size("y")) * 4).select("b").distinct()
+    x = spelled.select(F.col("o").alias("a"), F.col("words").alias("x"), F.col("n").alias("nx"))
+    y = spelled.select(F.col("o").alias("b"), F.col("words").alias("y"), F.col("n").alias("ny"))
+    shared = F.size(F.array_intersect(F.split("x", " "), F.split("y", " ")))
+    return pairs.join(x, "a").join(y, "b").where(shared * 9 >= (F.col("nx") + F.col("ny")) * 4).select("b").distinct()
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, broadcast_rows: int, crowd: int = CROWD) -> DataFrame:
