@@ -65,9 +65,12 @@ def with_host_path(df: DataFrame, url: str = "url") -> DataFrame:
 
 def char_grams(text: Column, sizes: Sequence[int] = GRAMS) -> Column:
     """Array of the character n-grams of ``text`` for every n in ``sizes``."""
-    parts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))),
-                         lambda i, n=n: F.substring(text, i, F.lit(n))) for n in sizes]
-    return F.concat(*parts)
+
+    def of_size(n: int) -> Column:  # a second parameter of the lambda would be the place in the array
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+
+    return F.concat(*[of_size(n) for n in sizes])
 
 
 def features(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from pixelframe.llm import lines
 from pixelframe.llm.lines import dedup, without_repeated_lines
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,3 +71,19 @@ def test_equal_rows_and_columns(spark, docs, no_docs):
     assert out.columns == wide.columns and out.count() == wide.count()
     assert out.where("n_chars <> length(text)").count() == 0
     assert dedup(no_docs).count() == 0
+
+
+def test_native(spark, monkeypatch):
+    plans, write = [], lines.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(lines, "stored", noted)
+    line = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(1, line), (2, line + " eleven"), (3, "other words only here")], "doc_id long, text string")
+    out = dedup(df)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 0}
+    assert len(plans) > 5 and not any("Python" in p or "Arrow" in p or "CartesianProduct" in p for p in plans)

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from pixelframe.llm import rules
 from pixelframe.llm.rules import base_counts, js_distance, judge, keep_good
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -83,3 +84,61 @@ def test_fifth_language_stays(spark, docs):
     assert {5000 + i for i in range(16)} | {6002} <= kept
     assert not {6000, 6001} & kept
     assert kept == {r.doc_id for r in keep_good(both).collect()}
+
+
+def shares(text, words):
+    """Character-class and common-word shares, counted one by one."""
+    classes, known = [0] * 7, list(dict.fromkeys(w for ws in rules.COMMON_WORDS.values() for w in ws))
+    for ch in text:
+        kind = (6 if ord(ch) >= 0x2FFF else 0 if ch.islower() or ch.isalpha() and not ch.isupper() else 1 if ch.isupper()
+                else 2 if ch.isdigit() else 3 if ch.isspace() else 4 if ch in ".,;:!?'\"-()" else 5 if ord(ch) < 128 else 6)
+        classes[kind] += 1
+    bare = Counter(w.strip(".,;:!?'\"-()").lower() for w in words)
+    common = [bare[w] for w in known]
+    common.append(len(words) - sum(common))
+    return [[x / (sum(h) or 1) for x in h] for h in (classes, common)]
+
+
+def distance(p, q):
+    if not sum(p) or not sum(q):
+        return 0.0
+    half = [sum(a * np.log2(2 * a / (a + b)) for a, b in zip(x, y) if a) for x, y in ((p, q), (q, p))]
+    return max(0.0, sum(half) / 2) ** 0.5
+
+
+def brute_verdicts(corpus):
+    """(doc_id, kept, distances) by three rounds of means over the rows that the means before keep."""
+    rows = []
+    for i, text, lang, *_ in corpus:
+        b, words = brute(text), WORD.findall(text or "")
+        rows.append((i, lang, b[0], len(text or ""), b[0] < 50 or 100 * b[4] > 50 * b[0], shares(text or "", words)))
+    refs = {}
+
+    def far(lang, h):
+        near = list(refs.values()) if lang is None else [refs[lang]] if lang in refs else []
+        return min(([distance(x, y) for x, y in zip(h, ref)] for ref in near), key=sum, default=[0.0, 0.0])
+
+    def good(n, chars, d):
+        return not (chars >= 200 and d[0] ** 2 > 0.15 ** 2 + 9 / chars or n >= 50 and d[1] ** 2 > 0.35 ** 2 + 6 / n)
+
+    for _ in range(3):
+        kept = {}
+        for _, lang, n, chars, failed, h in rows:
+            if lang is not None and not failed and good(n, chars, far(lang, h)):
+                kept.setdefault(lang, []).append(h)
+        refs = {k: [np.mean([h[j] for h in v], axis=0).tolist() for j in (0, 1)] for k, v in kept.items()} or refs
+    return [(i, not failed and good(n, chars, far(lang, h)), *far(lang, h)) for i, lang, n, chars, failed, h in rows]
+
+
+def test_verdicts_against_brute_force(spark, docs, corpus):
+    more = [(k + i, *rest) for k in (200, 300) for i, *rest in corpus[:60]]
+    long = [r for r in corpus[:60] if len(r[1].split()) >= 80][:6]
+    more += [(400 + i, t.replace(" ", " | "), *rest) for i, t, *rest in long]
+    more += [(500 + i, t.upper(), *rest) for i, t, *rest in long]
+    df = docs.union(spark.createDataFrame(more, docs.schema))
+    got = sorted((tuple(r) for r in judge(df).select("doc_id", "kept", "char_distance", "word_distance").collect()), key=str)
+    want = sorted(brute_verdicts([*corpus, *more]), key=str)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert {w[1] for w in want} == {True, False}
+    by = lambda rows: sorted((r[2:] for r in rows))
+    assert np.allclose(by(got), by(want), atol=1e-9)

@@ -1,7 +1,10 @@
+import re
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from pixelframe.llm.urls import fit, judge, labelled_urls, with_host_path
+from pixelframe.llm.urls import GRAMS, THRESHOLD, features, fit, judge, labelled_urls, with_host_path
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +53,36 @@ def test_native(spark, model):
     df = spark.createDataFrame([(1, "http://a.net/x")], "page_id long, url string")
     plan = judge(df, model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_margins_against_a_dot_product(spark, model):
+    urls = [r.url for r in labelled_urls(spark).collect()[::37]]
+    urls += [None, "", "no scheme", "http://", "http://a", "http://Ü.x/ÄÖ/77?q", "x://h" + "/very/long" * 30]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.margin[1] for r in model.transform(features(with_host_path(df))).collect()}
+    verdicts = {r.page_id: (r.rule, r.verdict) for r in judge(df, model).collect()}
+    hashing, logistic = model.stages
+
+    def grams(text):
+        return [text[i:i + n] for n in GRAMS for i in range(max(len(text) - n + 1, 1))]
+
+    for i, url in enumerate(urls):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (re.sub("[A-Z]+", lambda u: u[0].lower(), m[1]), m[2]) if m else ("", "")
+        terms = grams(f"^{host}$") + ["p:" + g for g in grams(re.sub("[0-9]+", "0", path))]
+        margin = logistic.intercept + sum(logistic.coefficients[j] for j in sorted({hashing.indexOf(t) for t in terms}))
+        assert got[i] == pytest.approx(margin, abs=1e-9), url
+        rule, verdict = verdicts[i]
+        if rule is None:
+            assert verdict == ("block" if 1 / (1 + 2.718281828459045 ** -margin) > THRESHOLD else "allow"), url
+
+
+def test_names_held_out_of_the_fit(spark):
+    name = re.compile(r"http://(?:www\.|m\.|blog\.)?([a-z-]+)\.")
+    rows = [tuple(r) for r in labelled_urls(spark).collect()]
+    held = [zlib.crc32(name.match(u)[1].encode()) % 5 == 1 for u, _ in rows]
+    train = spark.createDataFrame([r for r, h in zip(rows, held) if not h], "url string, label double").coalesce(1)
+    test = spark.createDataFrame([r for r, h in zip(rows, held) if h], "url string, label double")
+    judged = fit(train).transform(features(with_host_path(test)))
+    right = judged.agg(F.avg((F.col("is_blocked") == F.col("label")).cast("double")), F.count("*")).first()
+    assert right[1] > 200 and right[0] >= 0.9
