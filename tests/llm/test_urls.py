@@ -62,6 +62,7 @@ def test_margins_against_a_dot_product(spark, model):
     got = {r.page_id: r.margin[1] for r in model.transform(features(with_host_path(df))).collect()}
     verdicts = {r.page_id: (r.rule, r.verdict) for r in judge(df, model).collect()}
     hashing, logistic = model.stages
+    weights, intercept = logistic.coefficients.toArray(), logistic.intercept
 
     def grams(text):
         return [text[i:i + n] for n in GRAMS for i in range(max(len(text) - n + 1, 1))]
@@ -70,7 +71,7 @@ def test_margins_against_a_dot_product(spark, model):
         m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
         host, path = (re.sub("[A-Z]+", lambda u: u[0].lower(), m[1]), m[2]) if m else ("", "")
         terms = grams(f"^{host}$") + ["p:" + g for g in grams(re.sub("[0-9]+", "0", path))]
-        margin = logistic.intercept + sum(logistic.coefficients[j] for j in sorted({hashing.indexOf(t) for t in terms}))
+        margin = intercept + sum(weights[j] for j in sorted({hashing.indexOf(t) for t in terms}))
         assert got[i] == pytest.approx(margin, abs=1e-9), url
         rule, verdict = verdicts[i]
         if rule is None:
