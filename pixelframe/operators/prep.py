@@ -6,9 +6,10 @@ which is one partial+final aggregate producing a single row.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pixelframe.functions.exprs import hash_bucket, key_hash
@@ -196,3 +197,48 @@ def by_key(df: DataFrame, key_cols: Sequence[str], partitions: int | None = None
     input's partitions, every task gets the same rows in the same order."""
     n = fit_partitions(df.count(), rows_per_task) if partitions is None else partitions
     return df.repartition(n, *key_cols).sortWithinPartitions(*key_cols)
+
+
+@dataclass(frozen=True)
+class PassStats:
+    """Statistics that came with a pass over rows: rows, class counts, and the
+    range (min, max) of every feature."""
+
+    n_rows: int
+    n_label0: int
+    n_label1: int
+    ranges: dict[str, tuple[float | None, float | None]]
+
+    @property
+    def balancing_ratio(self) -> float | None:
+        n = self.n_label0 + self.n_label1
+        return self.n_label0 / n if n else None
+
+
+def stored_with_stats(df: DataFrame, path: str, features: Sequence[str], label: str = "label",
+                      keys: Sequence[str] = (), fraction: float = 1.0) -> tuple[DataFrame, dict[str, PassStats]]:
+    """Store the rows at ``path`` (Parquet, in the shared folder) and take their
+    statistics (A1, A2, A12) in that same pass: one scan, no job of their own.
+
+    Returns the stored rows and the statistics of ``all`` of them and, with
+    ``keys``, of the ``train`` part of the key-hash split.  A task that is run
+    again does not count twice, as the values come with the finished stage.
+    """
+    lab = F.col(label)
+    parts = {"all": F.lit(True)}
+    if keys:
+        parts["train"] = split_flag(keys, fraction)
+    aggs = []
+    for part, rows in parts.items():
+        aggs += [F.count_if(rows).alias(f"{part}_n"), F.count_if(rows & (lab == 0)).alias(f"{part}_0"),
+                 F.count_if(rows & (lab == 1)).alias(f"{part}_1")]
+        for i, c in enumerate(features):
+            value = F.when(rows, F.col(c).cast("double"))
+            aggs += [F.min(value).alias(f"{part}_low{i}"), F.max(value).alias(f"{part}_high{i}")]
+    seen = Observation()
+    df.observe(seen, *aggs).write.mode("overwrite").parquet(path)
+    got = seen.get
+    stats = {part: PassStats(got[f"{part}_n"], got[f"{part}_0"], got[f"{part}_1"],
+                             {c: (got[f"{part}_low{i}"], got[f"{part}_high{i}"]) for i, c in enumerate(features)})
+             for part in parts}
+    return df.sparkSession.read.schema(df.schema).parquet(path), stats

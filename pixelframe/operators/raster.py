@@ -261,3 +261,44 @@ def resample_nearest(cells: DataFrame, pixels: DataFrame, meta: RasterMeta,
     joined = located.alias("c").join(src.alias("s"), on, "left")
     return joined.select(F.col("c." + ROW).alias(ROW), F.col("c." + COL).alias(COL),
                          *[F.coalesce(F.col("s." + b), fill).alias(b) for b in band_cols])
+
+
+def resample_tiles(cells: DataFrame, tiles: DataFrame, meta: RasterMeta, tile: int, band_names: Sequence[str],
+                   params: AlbersParams = CONUS_ALBERS, nodata: float | None = None, block: int = 64) -> DataFrame:
+    """Nearest-neighbour reprojection straight from stored tiles (G4, G5, S8):
+    the result of ``resample_nearest`` without flattening the tiles.
+
+    Cells are binned to the source tile they hit, in groups of at most ``block`` x
+    ``block`` destination cells, so that neither a group nor a key grows with the
+    data; the join is by tile, and a cell takes its values from the tile's arrays by
+    offset.  One aggregate finds the tile rows that are hit; with tiles stored by
+    ``partitionBy("tile_row")`` only those partitions are scanned.  Cells outside
+    the source hit tiles that are not there.
+    """
+    nodata = meta.nodata if nodata is None else nodata
+    lon, lat = albers_inverse("x", "y", params)
+    src_row, src_col = source_pixel(lon, lat, meta)
+    t, b = F.lit(int(tile)), F.lit(int(block))
+    located = cells.select(ROW, COL, src_row.alias("r"), src_col.alias("c"))
+    binned = located.select(ROW, COL, F.floor(F.col("r") / t).cast("int").alias("tile_row"),
+                            F.floor(F.col("c") / t).cast("int").alias("tile_col"), "r", "c")
+    groups = binned.groupBy("tile_row", "tile_col", F.floor(F.col(ROW) / b).alias("block_row"),
+                            F.floor(F.col(COL) / b).alias("block_col")).agg(
+        F.collect_list(F.struct(ROW, COL, (F.col("r") - F.col("tile_row") * t).alias("dr"),
+                                (F.col("c") - F.col("tile_col") * t).alias("dc"))).alias("cells"))
+    hit = located.agg(F.min("r").alias("low"), F.max("r").alias("high")).first()
+    if hit["low"] is not None:
+        low, high = max(0, hit["low"]) // tile, min(meta.height - 1, hit["high"]) // tile
+        tiles = tiles.where(F.col("tile_row").between(low, high))
+    stacked = tiles.groupBy("tile_row", "tile_col").agg(*[
+        F.first(F.when(F.col("band") == i + 1, F.col("values")), ignorenulls=True).alias(f"v{i}")
+        for i in range(len(band_names))])
+    joined = groups.join(stacked, ["tile_row", "tile_col"], "left")
+
+    def taken(cell: Column) -> Column:
+        return F.struct(cell[ROW].alias(ROW), cell[COL].alias(COL), *[
+            F.get(F.get(F.col(f"v{i}"), cell["dr"]), cell["dc"]).alias(n) for i, n in enumerate(band_names)])
+
+    one = joined.select(F.explode(F.transform("cells", taken)).alias("p")).select("p.*")
+    fill = F.lit(None).cast("double") if nodata is None else F.lit(float(nodata))
+    return one.select(ROW, COL, *[F.coalesce(n, fill).alias(n) for n in band_names])

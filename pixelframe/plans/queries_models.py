@@ -19,7 +19,7 @@ from pixelframe.plans import tuning as TU
 from pixelframe.plans.models import gbt_regressor, linear_regression, logistic_regression, staged_estimator
 from pixelframe.plans.queries_prep import prepared, weighted
 from pixelframe.plans.registry import register
-from pixelframe.plans.workflows import run_workflow
+from pixelframe.plans.workflows import run_workflow, stored_rows
 from pixelframe.sources.pixels import FEATURES
 from pixelframe.sources.testdata import F2_KEYS
 
@@ -206,8 +206,10 @@ for _kind in ("logistic", "forest", "gbt", "linear"):
 def _register_workflow(kind):
     @register(f"workflow_{kind}", "A13,E1-E5,U2,U3")
     def q(spark, sf_dir):
-        res = run_workflow(spark, weighted(spark, sf_dir) if kind in ("logistic", "forest")
-                           else prepared(spark, sf_dir), kind, F2_KEYS, parallelism=TU.PARALLELISM)
+        data, tasks = prepared(spark, sf_dir), None
+        if kind != "linear":  # that one fits nothing and reads its rows once for each search
+            data, tasks = stored_rows(data, F2_KEYS, weights=kind in ("logistic", "forest"))
+        res = run_workflow(spark, data, kind, F2_KEYS, parallelism=TU.PARALLELISM, partitions=tasks)
         if kind != "forest":
             return res.summary
         # the forest's report: weighted F1 and every label's precision and recall, of both models

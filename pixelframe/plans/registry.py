@@ -34,5 +34,6 @@ def register(name: str, items: str, sql: str | None = None) -> Callable[[QueryFn
 def all_queries() -> dict[str, Query]:
     # importing the modules fills the registry
     from pixelframe.plans import (  # noqa: F401
-        queries_prep, queries_features, queries_metrics, queries_raster, queries_models, queries_closed, queries_search)
+        queries_prep, queries_features, queries_metrics, queries_raster, queries_models, queries_closed, queries_search,
+        queries_storage)
     return dict(_REGISTRY)

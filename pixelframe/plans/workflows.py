@@ -20,6 +20,7 @@ from pixelframe.operators import prep
 from pixelframe.operators import report as RP
 from pixelframe.plans import tuning as TU
 from pixelframe.plans.models import staged_estimator
+from pixelframe.session import scratch_path
 from pixelframe.sources.pixels import FEATURES
 
 CLASSIFIERS = ("logistic", "forest")
@@ -36,6 +37,17 @@ def prepare(pixels: DataFrame, features: Sequence[str] = FEATURES, label: str =
     return prep.with_class_weight(df) if weights else df
 
 
+def stored_rows(df: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES, split: float = 0.7,
+                weights: bool = True) -> tuple[DataFrame, int]:
+    """Prepared rows without weights (``prepare(weights=False)``) stored once, and the
+    number of tasks for fits on their training part.  Class ratio and row counts come
+    with that write, so neither has a scan of its own."""
+    data, stats = prep.stored_with_stats(df, scratch_path(df.sparkSession, "prepared"), features, keys=keys, fraction=split)
+    if weights:
+        data = prep.with_class_weight(data, ratio=stats["all"].balancing_ratio)
+    return data, prep.fit_partitions(stats["train"].n_rows)
+
+
 @dataclass
 class WorkflowResult:
     kind: str

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,44 @@ def schema_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     return wide.select(rows.alias("r")).select("r.*")
 
 
+MALFORMED, FAILED = "_malformed", "_failed_columns"
+
+
+def read_pixels_csv_rescued(spark: SparkSession, path: str, schema: T.StructType,
+                            sep: str = ",", header: bool = True) -> DataFrame:
+    """CSV scan that keeps every row (S1, S2): the declared columns, the text of a
+    row with too few or too many fields in ``_malformed`` (null for others), and in
+    ``_failed_columns`` the columns whose text could not be cast.
+
+    Fields are read as text, so a malformed row is one of the wrong width and a
+    failed cast is told from an empty field; an empty field is null.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                        + [T.StructField(MALFORMED, T.StringType())])
+    raw = (spark.read.schema(text).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False).csv(path))
+    failed = F.array_compact(F.array(*[
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in schema.fields]))
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], MALFORMED,
+                      F.when(F.col(MALFORMED).isNull(), failed).otherwise(F.array().cast("array<string>")).alias(FAILED))
+
+
+def row_state() -> Column:
+    """``malformed``, ``cast_failed`` or ``good`` for rows of ``read_pixels_csv_rescued``."""
+    return (F.when(F.col(MALFORMED).isNotNull(), "malformed").when(F.size(FAILED) > 0, "cast_failed")
+            .otherwise("good"))
+
+
+def rescue_report(rescued: DataFrame) -> DataFrame:
+    """Rows by state, and failed casts by column: (state, column_name, n_rows) in one
+    pass; ``column_name`` is null for the counts of whole rows."""
+    rows = rescued.select(row_state().alias("state"), FAILED)
+    each = F.explode(F.concat(F.array(F.lit(None).cast("string")), FAILED))
+    return rows.select("state", each.alias("column_name")).groupBy("state", "column_name").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
 def register(df: DataFrame, name: str) -> DataFrame:
     """Register a temp view and read it back through SQL."""
     df.createOrReplaceTempView(name)
