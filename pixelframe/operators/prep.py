@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelframe.functions.exprs import hash_bucket, key_hash
@@ -201,7 +201,7 @@ def by_key(df: DataFrame, key_cols: Sequence[str], partitions: int | None = None
 
 @dataclass(frozen=True)
 class PassStats:
-    """Statistics that came with a pass over rows: rows, class counts, and the
+    """Statistics of stored rows from one aggregate: rows, class counts, and the
     range (min, max) of every feature."""
 
     n_rows: int
@@ -217,12 +217,14 @@ class PassStats:
 
 def stored_with_stats(df: DataFrame, path: str, features: Sequence[str], label: str = "label",
                       keys: Sequence[str] = (), fraction: float = 1.0) -> tuple[DataFrame, dict[str, PassStats]]:
-    """Store the rows at ``path`` (Parquet, in the shared folder) and take their
-    statistics (A1, A2, A12) in that same pass: one scan, no job of their own.
+    """Store the rows at ``path`` (Parquet, in the shared folder) and take all their
+    statistics (A1, A2, A12) by one aggregate over what was stored, so the plan that
+    prepares the rows runs once, whatever is asked of them.
 
     Returns the stored rows and the statistics of ``all`` of them and, with
-    ``keys``, of the ``train`` part of the key-hash split.  A task that is run
-    again does not count twice, as the values come with the finished stage.
+    ``keys``, of the ``train`` part of the key-hash split.  ``DataFrame.observe``
+    would spare the aggregate, but a session that has observed a frame can no longer
+    be serialised, which logistic models do with their training summary.
     """
     lab = F.col(label)
     parts = {"all": F.lit(True)}
@@ -235,10 +237,10 @@ def stored_with_stats(df: DataFrame, path: str, features: Sequence[str], label:
         for i, c in enumerate(features):
             value = F.when(rows, F.col(c).cast("double"))
             aggs += [F.min(value).alias(f"{part}_low{i}"), F.max(value).alias(f"{part}_high{i}")]
-    seen = Observation()
-    df.observe(seen, *aggs).write.mode("overwrite").parquet(path)
-    got = seen.get
+    df.write.mode("overwrite").parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    got = back.agg(*aggs).first()
     stats = {part: PassStats(got[f"{part}_n"], got[f"{part}_0"], got[f"{part}_1"],
                              {c: (got[f"{part}_low{i}"], got[f"{part}_high{i}"]) for i, c in enumerate(features)})
              for part in parts}
-    return df.sparkSession.read.schema(df.schema).parquet(path), stats
+    return back, stats

@@ -1,5 +1,5 @@
 """Queries for stored tables: rescued CSV rows, restarted and ordered sinks, tiles
-read by offset, statistics that come with a write."""
+read by offset, statistics of stored rows."""
 
 from __future__ import annotations
 
@@ -99,14 +99,14 @@ def resample_tiles_window(spark, sf_dir):
     return R.resample_tiles(cells, _stored_tiles(spark, sf_dir), meta, TILE, BAND_NAMES)
 
 
-@register("stats_with_write", "A1,A2,A3,A12", sql=f"""
+@register("stored_stats", "A1,A2,A3,A12", sql=f"""
 WITH p AS (SELECT *, {S.split_flag(0.7)} AS in_train FROM ({S.PREPARED_SQL}) q)
 """ + " UNION ALL ".join(f"""
 SELECT '{part}' AS part, '{c}' AS feature, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE label = 0) AS n_label0,
        COUNT(*) FILTER (WHERE label = 1) AS n_label1, MIN(CAST({c} AS DOUBLE)) AS min_value, MAX(CAST({c} AS DOUBLE)) AS max_value
 FROM p WHERE {where}""" for part, where in (("all", "TRUE"), ("train", "in_train")) for c in FEATURES))
-def stats_with_write(spark, sf_dir):
-    """Counts, class counts and ranges that came with the write of the prepared rows."""
+def stored_stats(spark, sf_dir):
+    """Counts, class counts and ranges of the prepared rows, stored once."""
     _, stats = prep.stored_with_stats(prepared(spark, sf_dir), scratch_path(spark, "prepared"), FEATURES, keys=F2_KEYS, fraction=0.7)
     rows = [(part, c, s.n_rows, s.n_label0, s.n_label1, *s.ranges[c]) for part, s in stats.items() for c in FEATURES]
     return spark.createDataFrame(rows, "part STRING, feature STRING, n_rows LONG, n_label0 LONG, n_label1 LONG, "

@@ -40,8 +40,8 @@ def prepare(pixels: DataFrame, features: Sequence[str] = FEATURES, label: str =
 def stored_rows(df: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES, split: float = 0.7,
                 weights: bool = True) -> tuple[DataFrame, int]:
     """Prepared rows without weights (``prepare(weights=False)``) stored once, and the
-    number of tasks for fits on their training part.  Class ratio and row counts come
-    with that write, so neither has a scan of its own."""
+    number of tasks for fits on their training part.  Class ratio and row counts are
+    one aggregate over the stored rows; the input is read and prepared once."""
     data, stats = prep.stored_with_stats(df, scratch_path(df.sparkSession, "prepared"), features, keys=keys, fraction=split)
     if weights:
         data = prep.with_class_weight(data, ratio=stats["all"].balancing_ratio)

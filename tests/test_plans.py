@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 
 # model fitting and file-writing queries build their plans through fits/writes
 SKIP = ("tune_", "workflow_", "fit_", "stream_", "score_", "best_params", "tvs_ridge", "cv_ridge", "cv_moments", "tvs_moments",
-        "logit_odds", "ridge_single", "gbt_stump", "csv_roundtrip", "csv_rescue", "rewrite_band", "window_ordered", "stats_with_write", "write_band_tiles", "resample_bucketed", "tvs_auc_choice")
+        "logit_odds", "ridge_single", "gbt_stump", "csv_roundtrip", "csv_rescue", "rewrite_band", "window_ordered", "stored_stats", "write_band_tiles", "resample_bucketed", "tvs_auc_choice")
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 

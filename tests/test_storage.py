@@ -1,4 +1,4 @@
-"""Stored tables: rescued CSV rows, restarted and ordered sinks, tiles by offset, statistics of a write."""
+"""Stored tables: rescued CSV rows, restarted and ordered sinks, tiles by offset, statistics of stored rows."""
 
 import glob
 import os
@@ -109,7 +109,7 @@ def test_tiles_resample_like_pixels(spark, block):
     assert R.resample_tiles(cells.where("false"), tiles, meta, 4, ["b1", "b2"]).count() == 0
 
 
-def test_stats_with_the_write(spark):
+def test_stored_stats(spark):
     df = spark.range(1000).selectExpr("id", "CAST(id % 4 = 0 AS DOUBLE) AS label", "IF(id % 10 = 0, NULL, id * 1.5D) AS x", "CAST(7 AS INT) AS y")
     path = scratch_path(spark, "stats")
     back, stats = prep.stored_with_stats(df.repartition(5), path, ["x", "y"], keys=["id"], fraction=0.7)
@@ -124,7 +124,7 @@ def test_stats_with_the_write(spark):
     assert none["all"].n_rows == 0 and none["all"].balancing_ratio is None and none["all"].ranges == {"x": (None, None)}
 
 
-def test_workflow_rows_take_ratio_and_tasks_from_the_write(spark):
+def test_workflow_rows_take_ratio_and_tasks_from_one_aggregate(spark):
     from pixelframe.plans.workflows import stored_rows
     df = spark.range(3000).selectExpr("id", "CAST(id % 5 = 0 AS DOUBLE) AS label", "id * 1.5D AS x")
     data, tasks = stored_rows(df, ["id"], ["x"])
