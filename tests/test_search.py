@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.regression import LinearRegression
 
 from conftest import SF_SMALL
@@ -181,6 +182,22 @@ def test_a_stopped_search_goes_on(spark, train, method, tmp_path, monkeypatch):
     assert len(fits) == total // 2 + 1
 
 
+@pytest.mark.parametrize("method", ["tvs", "cv"])
+def test_settled_fits_stand_for_more_iterations(weighted_train, method, monkeypatch):
+    """A fit that stops by itself is not repeated with more iterations; one that does not, is."""
+    pipe, est = staged_estimator("logistic", FEATURES, prep.WEIGHT_COL)
+    maps = TU.param_grid(est, {"regParam": [1.0], "maxIter": [200, 1, 100]})
+    rows, plain, fits = weighted_train, LogisticRegression._fit, []
+    search = ((lambda m, p: TU.train_validation_search(pipe, m, TU.auc_evaluator(), rows, F2_KEYS, parallelism=p)) if method == "tvs"
+              else lambda m, p: TU.cross_validation_search(pipe, m, TU.auc_evaluator(), rows, F2_KEYS, 2, p))
+    alone = search(maps[:1], 1).metrics[0]
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, data: fits.append(len(data.columns)) or plain(self, data))
+    got = search(maps, 2)
+    assert [got.metrics[0], got.metrics[2]] == pytest.approx([alone] * 2, abs=1e-12)
+    assert len(fits) == 2 * (1 if method == "tvs" else 2) + 1  # 1 and 100 iterations, not 200, in each part; the refit
+    assert set(fits[:-1]) == {3}  # label, weight, normFeatures: nothing else is kept for the fits
+
+
 def test_last_stage_as_columns_equals_the_pipeline(spark, train):
     test = prep.hash_split(prepared(spark, SF_SMALL), F2_KEYS, 0.7)[1]
     pipe, _ = staged_estimator("linear", FEATURES)
