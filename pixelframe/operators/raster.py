@@ -27,6 +27,8 @@ ROW, COL = "row_px", "col_px"
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Destination cells per partition of the generated grid.
 CELLS_PER_PARTITION = 2_000_000
+# Pixel values of the long table that one task gathers into tiles or stacks.
+VALUES_PER_TASK = 500_000
 
 
 # ---- pixel index, names, long/wide/tiles ------------------------------------
@@ -68,33 +70,51 @@ def _band_columns(n_bands: int, names: Sequence[str] | None) -> list[Column]:
             for i, n in enumerate(names)]
 
 
-def stack_bands(long: DataFrame, n_bands: int, names: Sequence[str] | None = None) -> DataFrame:
+def value_tasks(spark: SparkSession, n_values: int) -> int:
+    """Tasks that gather ``n_values`` rows of a long table: their number grows with
+    the rows, so that what a task holds does not."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_values // VALUES_PER_TASK))
+
+
+def stack_bands(long: DataFrame, n_bands: int, names: Sequence[str] | None = None,
+                partitions: int | None = None) -> DataFrame:
     """Long -> wide: one column per band, ``Band_1..Band_n`` by default.
 
     One shuffle on (row_px, col_px) with map-side partial aggregation; each
-    group holds at most ``n_bands`` rows (one value per band and pixel).
+    group holds at most ``n_bands`` rows (one value per band and pixel).  With
+    ``partitions`` (``value_tasks``) the rows are dealt to so many tasks first:
+    where the bands of a pixel come from different tasks, a map-side table would
+    hold a group for almost every row and merge nothing.
     """
     cols = _band_columns(n_bands, names)
+    if partitions is not None:
+        long = long.repartition(partitions, ROW, COL)
     wide = long.groupBy(ROW, COL).agg(*cols)
     return wide.select(*[c for c in wide.columns if c not in (ROW, COL)], ROW, COL)
 
 
-def to_tiles(long: DataFrame, tile: int = 50) -> DataFrame:
+def to_tiles(long: DataFrame, tile: int = 50, partitions: int | None = None) -> DataFrame:
     """Long -> ``band, tile_row, tile_col, values ARRAY<ARRAY<DOUBLE>>``.
 
     One shuffle on (band, tile_row, tile_col); both collect steps reuse
     that partitioning and every collected group is bounded by the tile size.
     Values are placed by their offset in the tile: an absent pixel leaves a
-    null, not a gap that moves the rest.  A repeated pixel is an error.
+    null, not a gap that moves the rest.  A repeated pixel is an error.  A tile
+    without absent pixels is its sorted values; only others are looked up place by
+    place.  ``partitions``: tasks of the shuffle (``value_tasks``).
     """
     t = F.lit(int(tile))
+    keys = ["band", "tile_row", "tile_col"]
     keyed = (long.withColumn("tile_row", F.floor(F.col(ROW) / t).cast("int"))
                  .withColumn("tile_col", F.floor(F.col(COL) / t).cast("int"))
-                 .repartition("band", "tile_row", "tile_col"))
+                 .repartition(*keys if partitions is None else (partitions, *keys)))
 
     def placed(offset: Column, value: str) -> Column:
-        at = F.map_from_entries(F.collect_list(F.struct(offset, F.col(value))))
-        return F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys(at))), lambda i: F.element_at(at, i))
+        entries = F.sort_array(F.collect_list(F.struct(offset.alias("at"), F.col(value).alias("v"))))
+        at = F.map_from_entries(entries)
+        looked_up = F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys(at))), lambda i: F.element_at(at, i))
+        whole = entries["at"] == F.sequence(F.lit(0), F.array_max(entries["at"]))
+        return F.when(whole, entries["v"]).otherwise(looked_up)
 
     rows = (keyed.groupBy("band", "tile_row", "tile_col", ROW)
             .agg(placed(F.col(COL) - F.col("tile_col") * t, "value").alias("vals")))

@@ -52,6 +52,27 @@ def test_tiles_roundtrip(small_raster):
     assert sorted(back.collect()) == sorted(long.collect())
 
 
+def test_tasks_of_tiles_and_stacks_grow_with_the_rows(spark, small_raster):
+    long = R.to_long(small_raster, ["b1", "b2"])
+    least = spark.sparkContext.defaultParallelism
+    assert [R.value_tasks(spark, n) for n in (0, 1, 10**9)] == [least, least, 2_000]
+    tiles = R.to_tiles(long, 4, partitions=13)
+    wide = R.stack_bands(long, 2, ["b1", "b2"], partitions=13)
+    for df in (tiles, wide):
+        assert df.rdd.getNumPartitions() == 13
+    assert sorted(R.flatten_tiles(tiles, 4).collect()) == sorted(long.collect())
+    assert sorted(wide.collect()) == sorted(R.stack_bands(long, 2, ["b1", "b2"]).collect())
+
+
+def test_tiles_with_absent_and_repeated_pixels(spark):
+    long = spark.createDataFrame([(1, 0, 0, 5.0), (1, 0, 2, None), (1, 2, 1, 7.0)], "band INT, row_px INT, col_px INT, value DOUBLE")
+    assert [r["values"] for r in R.to_tiles(long, 4).collect()] == [[[5.0, None, None], None, [None, 7.0]]]
+    # as many values as places, but one of them twice and one absent
+    twice = long.union(spark.createDataFrame([(1, 0, 0, 6.0)], "band INT, row_px INT, col_px INT, value DOUBLE"))
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        R.to_tiles(twice, 4).collect()
+
+
 def test_stack_bands_inverts_long(small_raster):
     long = R.to_long(small_raster, ["b1", "b2"])
     wide = R.stack_bands(long, 2, ["b1", "b2"])
