@@ -109,6 +109,13 @@ def test_tiles_resample_like_pixels(spark, block):
     assert R.resample_tiles(cells.where("false"), tiles, meta, 4, ["b1", "b2"]).count() == 0
 
 
+def test_stored_tiles_have_one_file_for_each_row_of_tiles(spark):
+    from conftest import SF_MID
+    from pixelframe.plans.queries_storage import _stored_tiles
+    tiles = _stored_tiles(spark, SF_MID)
+    assert len(tiles.inputFiles()) == tiles.select("tile_row").distinct().count() == 2
+
+
 def test_stored_stats(spark):
     df = spark.range(1000).selectExpr("id", "CAST(id % 4 = 0 AS DOUBLE) AS label", "IF(id % 10 = 0, NULL, id * 1.5D) AS x", "CAST(7 AS INT) AS y")
     path = scratch_path(spark, "stats")
