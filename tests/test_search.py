@@ -143,6 +143,23 @@ def test_fit_partitions():
     assert [prep.fit_partitions(n) for n in (0, 1, 800_000, 800_001, 10**9)] == [8, 8, 8, 9, 10_000]
 
 
+def test_boosted_trees_get_larger_tasks(spark, train, monkeypatch):
+    """Every level of a boosted tree sends the metrics of all its tasks to the driver."""
+    from pixelframe.plans import queries_models as Q
+    from pixelframe.plans import workflows as W
+
+    assert [prep.fit_partitions(n, W.rows_per_task("gbt")) for n in (1, 800_001, 88_000_000)] == [8, 8, 88]
+    assert {W.rows_per_task(k) for k in ("logistic", "forest", "linear")} == {prep.ROWS_PER_TASK}
+    n = train.count()
+    monkeypatch.setattr(prep, "FIT_PARTITIONS", 1)
+    monkeypatch.setattr(prep, "BOOSTED_ROWS_PER_TASK", n // 2)
+    monkeypatch.setattr(prep, "ROWS_PER_TASK", n // 10)
+    dealt, deal = [], prep.by_key
+    monkeypatch.setattr(prep, "by_key", lambda *a, **k: dealt.append(deal(*a, **k)) or dealt[-1])
+    Q._search("gbt", "cv", spark, SF_SMALL)
+    assert [d.rdd.getNumPartitions() for d in dealt] == [3]
+
+
 @pytest.mark.parametrize("method", ["tvs", "cv"])
 def test_a_stopped_search_goes_on(spark, train, method, tmp_path, monkeypatch):
     pipe, est = staged_estimator("linear", FEATURES)
