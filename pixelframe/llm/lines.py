@@ -19,8 +19,17 @@ than the bits in which their 128-bit parity sketches differ, which leaves few
 pairs that are not similar.
 
 Only the first line of a class can still be in question, and one similar class
-that began earlier settles it.  Under a prefix word of at most ``CROWD`` lines
-all pairs are formed.  Under a crowded one, every class is first compared with
+that began earlier settles it.  A prefix word found at most ``CROWD`` times in
+the whole table is a key by itself.  A more frequent one is a key together with
+each later word of a prefix that is longer by one word: two similar sets share
+two words there.  So the classes under a key do not grow with the table, unless
+they are alike.  (Sets of more than ``LONG`` words would have too many such keys;
+they and all they can be similar to meet under frequent words alone.)
+
+Under a key of at most ``CROWD`` classes every class looks at all earlier ones,
+but only the earliest and the latest that fit, in each of ``SLOTS`` slots, are
+compared by their words; a class that these do not settle and that has more is
+compared with all of them.  Under a larger key, every class is first compared with
 the earliest one (a star, not all pairs); what is then settled is no longer
 looked up, and only the classes left over meet all earlier ones.  The result is
 that of all pairs; groups of many similar lines cost a few pairs per line.
@@ -35,6 +44,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelframe.functions.ranges import global_index
@@ -42,7 +53,9 @@ from pixelframe.llm.base import WS, discard, read_table, stored
 
 BUCKET_BITS = 20
 _REST = (1 << 56) - 1  # the bits of a word's hash that its id keeps
-CROWD = 64
+CROWD = 4096
+LONG = 256
+SLOTS = 4
 BROADCAST_ROWS = 1_000_000
 
 
@@ -104,12 +117,13 @@ def _lines(docs: DataFrame) -> DataFrame:
 def index_lines(docs: DataFrame, levels: Column) -> DataFrame:
     """(doc_id, text_hash, line_no, k1, k2, n, sketch, sketch2, prefix) of every
     line with a word: its class (two hashes of its word set), its number of
-    different words, the two halves of their parity sketch and the ids of the rarest of them."""
+    different words, the two halves of their parity sketch and the ids of the rarest
+    of them, one more than the prefix filter needs."""
     some = F.length(F.ltrim("line", F.lit(" \t\r\x0b\x0c"))) > 0  # a filter on the words would cut them twice
     ids = _lines(docs).where(some).select("doc_id", "text_hash", "line_no", _word_ids(line_words(F.col("line")), levels).alias("ids"))
     n = F.size("ids")
-    # n - ceil(0.8 n) + 1 in whole numbers
-    length = F.when(n < 4, F.lit(0)).otherwise(F.floor(n / 5).cast("int") + 1)
+    # n - ceil(0.8 n) + 2 in whole numbers: similar sets share one word even without the last of these, and two with it
+    length = F.when(n < 4, F.lit(0)).otherwise(F.floor(n / 5).cast("int") + 2)
 
     def parity(bit) -> Column:  # of how many ids fall on each of 64 bits; a shift of a long takes the lowest six bits
         return F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function(
@@ -142,6 +156,39 @@ def _met(later: DataFrame, earlier: DataFrame) -> DataFrame:
         F.col("y.o").alias("a"), F.col("x.o").alias("b")).distinct()
 
 
+def _keys(classes: DataFrame, crowd: int, long: int) -> tuple[DataFrame, DataFrame]:
+    """(word, o, n, at, sketch, sketch2): the keys of the classes, those that are
+    rare words (of at most ``crowd`` classes each) and those of frequent words;
+    ``at`` is the place of the word, for a pair of words that of the rarer one."""
+    top = math.floor(3 * math.log2(crowd + 1))  # a bucket of this level has no more than crowd words
+
+    def rare(word: Column) -> Column:
+        return F.shiftrightunsigned(word, 56) <= top
+
+    about = ["o", "n", "sketch", "sketch2"]
+    some = classes.where(F.size("prefix") > 0)
+    words = F.slice("prefix", F.lit(1), F.size("prefix") - 1)
+    alone = some.select(*about, F.posexplode(words).alias("at", "word")).where(rare(F.col("word")))
+    often = some.where(F.exists(words, lambda w: ~rare(w))).select(*about, "prefix", F.posexplode(words).alias("at", "word"))
+    often = often.where(~rare(F.col("word")))
+    later = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
+    pairs = F.when(F.col("n") <= long, F.transform(later, lambda v: F.xxhash64("word", v))).otherwise(F.array().cast("array<long>"))
+    # a set of more than ``long`` words and one that can be similar to it
+    single = F.when(F.col("n") * 5 > long * 4, F.array(F.xxhash64("word"))).otherwise(F.array().cast("array<long>"))
+    often = often.select(*about, "at", F.explode(F.concat(pairs, single)).alias("word"))
+    columns = ["word", "o", "n", "at", "sketch", "sketch2"]
+    return alone.select(columns), often.select(columns)
+
+
+def _ends(rows: DataFrame) -> DataFrame:
+    """(b, lo, hi): of the classes that began before ``b`` and fit under a key,
+    dealt to slots, the earliest and the latest of each slot."""
+    x, y = rows.hint("merge").alias("x"), rows.hint("merge").alias("y")
+    met = x.join(y, (F.col("x.word") == F.col("y.word")) & _fits("x", "y")).select(F.col("y.o").alias("a"), F.col("x.o").alias("b"))
+    return met.groupBy("b", F.pmod("a", F.lit(SLOTS)).alias("slot")).agg(
+        F.min("a").alias("lo"), F.max("a").alias("hi")).select("b", "lo", "hi")
+
+
 def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
@@ -160,30 +207,39 @@ def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, broadcast_ro
     x = spelled.select(F.col("o").alias("a"), F.col("words").alias("x"), F.col("n").alias("nx"))
     y = spelled.select(F.col("o").alias("b"), F.col("words").alias("y"), F.col("n").alias("ny"))
     shared = F.size(F.array_intersect(F.split("x", " "), F.split("y", " ")))
-    return pairs.join(x, "a").join(y, "b").where(shared * 9 >= (F.col("nx") + F.col("ny")) * 4).select("b").distinct()
+    found = stored(pairs.join(x, "a").join(y, "b").where(shared * 9 >= (F.col("nx") + F.col("ny")) * 4).select("b").distinct(), "similar")
+    discard(reps, spelled)
+    return found
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, broadcast_rows: int, crowd: int = CROWD) -> DataFrame:
+def similar_classes(docs: DataFrame, classes: DataFrame, broadcast_rows: int, crowd: int = CROWD, long: int = LONG) -> DataFrame:
     """(o,) of the classes that are similar to a class which began earlier."""
-    columns = ["word", "o", "n", "at", "sketch", "sketch2"]
-    rows = classes.where(F.size("prefix") > 0).select("o", "n", "sketch", "sketch2", F.posexplode("prefix").alias("at", "word")).select(columns)
-    counts = rows.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
-    hot = _sized(stored(counts.select("word"), "hot"), broadcast_rows)
-    # under all other words: both sides of the join are the same rows and share one exchange
-    few = rows.join(hot, "word", "left_anti")
-    direct = stored(_met(few, few), "direct")
-    crowded = stored(rows.join(hot, "word", "left_semi").select(columns), "crowded")
-    earliest = crowded.groupBy("word").agg(F.min(F.struct(*columns[1:])).alias("e")).select("word", "e.*")
-    pairs = stored(direct.union(_met(crowded, earliest)).distinct(), "pairs")
-    settled = stored(_similar(docs, pairs, classes, broadcast_rows), "settled").withColumnRenamed("b", "o")
-    rest = crowded.join(settled, "o", "left_anti")
-    more = stored(_met(rest, crowded).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    alone, often = _keys(classes, crowd, long)
+    counts = often.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
+    hot = stored(counts.select("word"), "hot")
+    hot_words = _sized(hot, broadcast_rows)
+    # both sides of the join are the same rows and share one exchange
+    few = alone.union(often.join(hot_words, "word", "left_anti"))
+    ends = stored(_ends(few), "ends")
+    crowded = stored(often.join(hot_words, "word", "left_semi").select(often.columns), "crowded")
+    earliest = crowded.groupBy("word").agg(F.min(F.struct(*often.columns[1:])).alias("e")).select("word", "e.*")
+    pairs = stored(ends.select(F.col("lo").alias("a"), "b").union(ends.select(F.col("hi").alias("a"), "b"))
+                   .union(_met(crowded, earliest)).distinct(), "pairs")
+    settled = _similar(docs, pairs, classes, broadcast_rows).withColumnRenamed("b", "o")
+    # classes with more earlier ones in a slot than the two compared, none of them similar
+    unsettled = stored(ends.where("lo < hi").select(F.col("b").alias("o")).distinct().join(settled, "o", "left_anti"), "open")
+    discard(ends)
+    later = stored(few.join(_sized(unsettled, broadcast_rows), "o", "left_semi").select(few.columns), "later")
+    earlier = few.join(_sized(later.select("word").distinct(), broadcast_rows), "word", "left_semi").select(few.columns)
+    rest = crowded.join(settled, "o", "left_anti").select(crowded.columns)
+    more = stored(_met(later, earlier).union(_met(rest, crowded)).join(pairs, ["a", "b"], "left_anti").distinct(), "pairs")
+    discard(hot, crowded, pairs, unsettled, later)
     if more.isEmpty():
         return settled
     return settled.union(_similar(docs, more, classes, broadcast_rows))
 
 
-def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
+def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG) -> DataFrame:
     """(doc_id, text_hash, line_no) of the lines that go."""
     indexed = stored(index_lines(docs, word_levels(docs)), "indexed")
     # what depends on the words alone is the same in every line of a class
@@ -194,16 +250,16 @@ def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd:
     discard(ordered)
     places = stored(indexed.select("k1", "k2", _place().alias("place")), "places")
     discard(indexed)
-    near = similar_classes(docs, classes, broadcast_rows, crowd).withColumn("near", F.lit(True))
+    near = similar_classes(docs, classes, broadcast_rows, crowd, long).withColumn("near", F.lit(True))
     first = classes.select("k1", "k2", "o", F.col("place").alias("first")).join(near, "o", "left").drop("o")
     gone = stored(places.join(first, ["k1", "k2"]).where("near or place > first").select("place.*"), "gone")
     discard(places, classes)
     return gone
 
 
-def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
+def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG) -> DataFrame:
     """``docs`` with ``__n_lines`` and ``__removed`` (line numbers) added and the lines gone from ``text``."""
-    gone = removed_lines(docs, broadcast_rows, crowd)
+    gone = removed_lines(docs, broadcast_rows, crowd, long)
     r = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("__removed"))  # lines of one text
     r = r.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__removed")
     if gone.count() <= broadcast_rows:
@@ -218,9 +274,9 @@ def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int
     return joined.withColumn("text", text).drop("__id", "__hash", "__lines")
 
 
-def dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD) -> DataFrame:
+def dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed, text) for every row of ``docs`` (doc_id, text)."""
-    out = drop_lines(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]), broadcast_rows, crowd)
+    out = drop_lines(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]), broadcast_rows, crowd, long)
     gone = F.coalesce(F.sort_array("__removed"), F.array().cast("array<int>"))
     return out.select("doc_id", F.col("__n_lines").cast("long").alias("n_lines"),
                       F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed"), "text")

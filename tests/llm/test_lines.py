@@ -54,6 +54,38 @@ def test_against_brute_force(spark):
     check(df, rows, broadcast_rows=0, crowd=2)
 
 
+def test_frequent_words(spark):
+    """Lines of frequent words only: keys are pairs of words, long lines have single words, and
+    many that fit are not similar."""
+    rng, words = random.Random(8), [f"w{i}" for i in range(70)]
+    base = [rng.sample(words, n) for n in (5, 6, 9, 12, 15, 16, 20, 30, 40) for _ in range(5)]
+    rows = []
+    for i in range(40):
+        text = []
+        for _ in range(8):
+            w = list(rng.choice(base))
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 4])):
+                w[rng.randrange(len(w))] = rng.choice(words)
+            text.append(" ".join(w))
+        rows.append((i, "\n".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for options in ({"crowd": 1, "long": 16}, {"crowd": 8, "long": 16}):
+        check(df, rows, **options)
+
+
+def test_classes_under_a_key_do_not_grow_with_the_table(spark):
+    """Lines that share a frequent word and little else: no key has many of them, and each has a key."""
+    rng, crowd, n = random.Random(3), 16, 2000
+    rows = [(i, " ".join(f"f{k}" for k in rng.sample(range(300), 12))) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    indexed = lines.index_lines(df, lines.word_levels(df)).withColumn("o", F.col("doc_id")).cache()
+    alone, often = lines._keys(indexed, crowd, 256)
+    sizes = alone.union(often).groupBy("word").agg(F.count("*").alias("c"))
+    assert alone.union(often).select("o").distinct().count() == n
+    words = indexed.select(F.explode("prefix").alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    assert words.agg(F.max("c")).first()[0] > crowd >= sizes.agg(F.max("c")).first()[0]
+
+
 def test_corpus_rows(docs, corpus):
     seen = {}
     for i, text, *_ in corpus:
