@@ -26,13 +26,12 @@ two words there.  So the classes under a key do not grow with the table, unless
 they are alike.  (Sets of more than ``LONG`` words would have too many such keys;
 they and all they can be similar to meet under frequent words alone.)
 
-Under a key of at most ``CROWD`` classes every class looks at all earlier ones,
-but only the earliest and the latest that fit, in each of ``SLOTS`` slots, are
-compared by their words; a class that these do not settle and that has more is
-compared with all of them.  Under a larger key, every class is first compared with
-the earliest one (a star, not all pairs); what is then settled is no longer
-looked up, and only the classes left over meet all earlier ones.  The result is
-that of all pairs; groups of many similar lines cost a few pairs per line.
+A class is compared with a few earlier ones first: with the earliest one under a key
+of more than ``CROWD`` classes, and, under its rarest words of more than about ``BUSY``,
+with the ``FIRST`` there and those some places before it (``BACK``).  What these settle
+looks at no other class; each class left over meets all earlier ones under its keys
+that fit.  So the result is that of all pairs, and groups of many similar lines cost a
+few pairs per line.
 Lines of fewer than 4 different words can only be similar when equal and are
 not joined.
 
@@ -45,8 +44,9 @@ table gives an empty result.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pixelframe.functions.ranges import global_index
 from pixelframe.llm.base import WS, discard, read_table, stored
@@ -55,7 +55,10 @@ BUCKET_BITS = 20
 _REST = (1 << 56) - 1  # the bits of a word's hash that its id keeps
 CROWD = 4096
 LONG = 256
-SLOTS = 4
+BUSY = 512
+BUSY_KEYS = 4
+FIRST = (1, 2)
+BACK = (1, 2, 4, 8, 16, 64)
 BROADCAST_ROWS = 1_000_000
 
 
@@ -139,7 +142,7 @@ def index_lines(docs: DataFrame, levels: Column) -> DataFrame:
 
 
 def _fits(x: str, y: str) -> Column:
-    """Length, parity and positional filters between two prefix rows of a word."""
+    """Length, parity and positional filters between two prefix rows of a word, ``y`` earlier."""
     c = F.col
     return ((c(f"{y}.o") < c(f"{x}.o"))
             & ((F.bit_count(c(f"{x}.sketch").bitwiseXOR(c(f"{y}.sketch")))
@@ -156,14 +159,25 @@ def _met(later: DataFrame, earlier: DataFrame) -> DataFrame:
         F.col("y.o").alias("a"), F.col("x.o").alias("b")).distinct()
 
 
+def _open_met(rows: DataFrame, settled: DataFrame) -> DataFrame:
+    """``_met`` of the rows that are not of ``settled`` (o, known) with all of them.  What
+    tells them (``upto``: o, or -1) is named on both sides of one condition, so
+    that both are the same rows and share one exchange."""
+    upto = F.coalesce(F.when(F.col("known").isNull(), F.col("o")), F.lit(-1).cast("long"))  # never null, or one side is filtered
+    rows = rows.join(settled, "o", "left").select(*rows.columns, upto.alias("upto")).hint("merge")
+    x, y = rows.alias("x"), rows.alias("y")
+    asks = F.greatest("y.o", "y.upto") < F.col("x.upto")
+    return x.join(y, (F.col("x.word") == F.col("y.word")) & asks & _fits("x", "y")).select(
+        F.col("y.o").alias("a"), F.col("x.o").alias("b")).distinct()
+
+
 def _keys(classes: DataFrame, crowd: int, long: int) -> tuple[DataFrame, DataFrame]:
     """(word, o, n, at, sketch, sketch2): the keys of the classes, those that are
     rare words (of at most ``crowd`` classes each) and those of frequent words;
     ``at`` is the place of the word, for a pair of words that of the rarer one."""
-    top = math.floor(3 * math.log2(crowd + 1))  # a bucket of this level has no more than crowd words
 
     def rare(word: Column) -> Column:
-        return F.shiftrightunsigned(word, 56) <= top
+        return F.shiftrightunsigned(word, 56) <= _rarity(crowd)
 
     about = ["o", "n", "sketch", "sketch2"]
     some = classes.where(F.size("prefix") > 0)
@@ -180,13 +194,28 @@ def _keys(classes: DataFrame, crowd: int, long: int) -> tuple[DataFrame, DataFra
     return alone.select(columns), often.select(columns)
 
 
-def _ends(rows: DataFrame) -> DataFrame:
-    """(b, lo, hi): of the classes that began before ``b`` and fit under a key,
-    dealt to slots, the earliest and the latest of each slot."""
-    x, y = rows.hint("merge").alias("x"), rows.hint("merge").alias("y")
-    met = x.join(y, (F.col("x.word") == F.col("y.word")) & _fits("x", "y")).select(F.col("y.o").alias("a"), F.col("x.o").alias("b"))
-    return met.groupBy("b", F.pmod("a", F.lit(SLOTS)).alias("slot")).agg(
-        F.min("a").alias("lo"), F.max("a").alias("hi")).select("b", "lo", "hi")
+def _rarity(words: int) -> int:
+    """The highest level of buckets that surely have no more than ``words`` words."""
+    return math.floor(3 * math.log2(words + 1))
+
+
+def _beside(classes: DataFrame, busy: int, crowd: int) -> DataFrame:
+    """(a, b): every class under its ``BUSY_KEYS`` rarest prefix words of more than about
+    ``busy`` and at most ``crowd`` classes, beside those that fit of the word's earliest
+    classes (``FIRST``) and of those some places before it (``BACK``): a few pairs for a class."""
+    level = lambda w: F.shiftrightunsigned(w, 56)
+    words = F.slice("prefix", F.lit(1), F.size("prefix") - 1)
+    at = F.size(F.filter(words, lambda w: level(w) <= _rarity(busy)))  # rarest first
+    some = classes.where(F.size("prefix") > 0).select("o", "n", "sketch", "sketch2", words.alias("words"), at.alias("at"))
+    rows = reduce(DataFrame.union, [some.withColumn("at", F.col("at") + k).withColumn("word", F.get("words", F.col("at")))
+                                    for k in range(BUSY_KEYS)]).where(level(F.col("word")) <= _rarity(crowd))
+    order = Window.partitionBy("word").orderBy("o")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    about = F.struct("o", "n", "at", "sketch", "sketch2")
+    others = {f"first{i}": F.nth_value(about, i).over(so_far) for i in FIRST} | {f"back{i}": F.lag(about, i).over(order) for i in BACK}
+    found = rows.select("o", about.alias("x"), *[c.alias(name) for name, c in others.items()])
+    met = F.array_compact(F.array(*[F.when(_fits("x", y), F.col(f"{y}.o")) for y in others]))
+    return found.select(F.explode(F.array_distinct(met)).alias("a"), F.col("o").alias("b"))
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -212,34 +241,29 @@ def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, broadcast_ro
     return found
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, broadcast_rows: int, crowd: int = CROWD, long: int = LONG) -> DataFrame:
+def similar_classes(docs: DataFrame, classes: DataFrame, broadcast_rows: int, crowd: int = CROWD, long: int = LONG,
+                    busy: int = BUSY) -> DataFrame:
     """(o,) of the classes that are similar to a class which began earlier."""
     alone, often = _keys(classes, crowd, long)
     counts = often.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
     hot = stored(counts.select("word"), "hot")
     hot_words = _sized(hot, broadcast_rows)
-    # both sides of the join are the same rows and share one exchange
-    few = alone.union(often.join(hot_words, "word", "left_anti"))
-    ends = stored(_ends(few), "ends")
+    bounded = often.join(hot_words, "word", "left_anti").select(often.columns)
     crowded = stored(often.join(hot_words, "word", "left_semi").select(often.columns), "crowded")
     earliest = crowded.groupBy("word").agg(F.min(F.struct(*often.columns[1:])).alias("e")).select("word", "e.*")
-    pairs = stored(ends.select(F.col("lo").alias("a"), "b").union(ends.select(F.col("hi").alias("a"), "b"))
-                   .union(_met(crowded, earliest)).distinct(), "pairs")
+    pairs = stored(_beside(classes, busy, crowd).union(_met(crowded, earliest)).distinct(), "pairs")
     settled = _similar(docs, pairs, classes, broadcast_rows).withColumnRenamed("b", "o")
-    # classes with more earlier ones in a slot than the two compared, none of them similar
-    unsettled = stored(ends.where("lo < hi").select(F.col("b").alias("o")).distinct().join(settled, "o", "left_anti"), "open")
-    discard(ends)
-    later = stored(few.join(_sized(unsettled, broadcast_rows), "o", "left_semi").select(few.columns), "later")
-    earlier = few.join(_sized(later.select("word").distinct(), broadcast_rows), "word", "left_semi").select(few.columns)
+    known = _sized(settled.withColumn("known", F.lit(True)), broadcast_rows)
     rest = crowded.join(settled, "o", "left_anti").select(crowded.columns)
-    more = stored(_met(later, earlier).union(_met(rest, crowded)).join(pairs, ["a", "b"], "left_anti").distinct(), "pairs")
-    discard(hot, crowded, pairs, unsettled, later)
+    more = stored(_open_met(alone.union(bounded), known).union(_met(rest, crowded)).join(pairs, ["a", "b"], "left_anti").distinct(), "pairs")
+    discard(hot, crowded, pairs)
     if more.isEmpty():
         return settled
     return settled.union(_similar(docs, more, classes, broadcast_rows))
 
 
-def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG) -> DataFrame:
+def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG,
+                  busy: int = BUSY) -> DataFrame:
     """(doc_id, text_hash, line_no) of the lines that go."""
     indexed = stored(index_lines(docs, word_levels(docs)), "indexed")
     # what depends on the words alone is the same in every line of a class
@@ -250,16 +274,17 @@ def removed_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd:
     discard(ordered)
     places = stored(indexed.select("k1", "k2", _place().alias("place")), "places")
     discard(indexed)
-    near = similar_classes(docs, classes, broadcast_rows, crowd, long).withColumn("near", F.lit(True))
+    near = similar_classes(docs, classes, broadcast_rows, crowd, long, busy).withColumn("near", F.lit(True))
     first = classes.select("k1", "k2", "o", F.col("place").alias("first")).join(near, "o", "left").drop("o")
     gone = stored(places.join(first, ["k1", "k2"]).where("near or place > first").select("place.*"), "gone")
     discard(places, classes)
     return gone
 
 
-def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG) -> DataFrame:
+def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG,
+               busy: int = BUSY) -> DataFrame:
     """``docs`` with ``__n_lines`` and ``__removed`` (line numbers) added and the lines gone from ``text``."""
-    gone = removed_lines(docs, broadcast_rows, crowd, long)
+    gone = removed_lines(docs, broadcast_rows, crowd, long, busy)
     r = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("__removed"))  # lines of one text
     r = r.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__removed")
     if gone.count() <= broadcast_rows:
@@ -274,9 +299,10 @@ def drop_lines(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int
     return joined.withColumn("text", text).drop("__id", "__hash", "__lines")
 
 
-def dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG) -> DataFrame:
+def dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, crowd: int = CROWD, long: int = LONG,
+          busy: int = BUSY) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed, text) for every row of ``docs`` (doc_id, text)."""
-    out = drop_lines(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]), broadcast_rows, crowd, long)
+    out = drop_lines(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]), broadcast_rows, crowd, long, busy)
     gone = F.coalesce(F.sort_array("__removed"), F.array().cast("array<int>"))
     return out.select("doc_id", F.col("__n_lines").cast("long").alias("n_lines"),
                       F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed"), "text")

@@ -119,3 +119,49 @@ def test_native(spark, monkeypatch):
     plans.append(out._jdf.queryExecution().executedPlan().toString())
     assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 0}
     assert len(plans) > 5 and not any("Python" in p or "Arrow" in p or "CartesianProduct" in p for p in plans)
+
+
+def test_pairs_of_alike_lines_grow_with_the_lines(spark, monkeypatch):
+    """Many near copies under few keys: the pairs compared grow with the lines, not with their square,
+    and the result is that of all pairs."""
+    made, write = [], lines.stored
+
+    def noted(df, name):
+        out = write(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "stored", noted)
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(40)]
+
+    def near(n):
+        rows = []
+        for i in range(n):
+            w = list(base)
+            w[rng.randrange(40)] = f"x{rng.randrange(50)}"
+            w[rng.randrange(40)] = f"x{rng.randrange(50)}"
+            rows.append((i, " ".join(w)))
+        return rows
+
+    compared = []
+    for n in (150, 600):
+        rows, made[:] = near(n), []
+        check(spark.createDataFrame(rows, "doc_id long, text string"), rows, crowd=100_000, busy=8)
+        compared.append(sum(made))
+    assert compared[1] < 8 * compared[0] and compared[1] < 600 * 599 / 2 / 8
+
+
+def test_open_classes_meet_all(spark):
+    """A class similar to none of those beside it under its keys still finds the similar one among all."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(20)]
+    rows = []
+    for i in range(300):  # pairs of lines that share a third of the words with all others
+        own = [f"y{i % 150}_{k}" for k in range(14)]
+        rows.append((i, " ".join(base[:7] + own + ([] if i < 150 else ["z"]))))
+    rng.shuffle(rows)
+    rows = [(i, text) for i, (_, text) in enumerate(rows)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows, crowd=100_000, busy=1)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows, crowd=2, busy=1)
