@@ -4,14 +4,14 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import LinearRegression
 
 from conftest import SF_SMALL
 from pixelframe.operators import prep
 from pixelframe.operators import report as RP
 from pixelframe.operators.metrics import auc_by, auc_roc
-from pixelframe.plans import gram
+from pixelframe.plans import forests, gram
 from pixelframe.plans import tuning as TU
 from pixelframe.plans.models import linear_regression, staged_estimator
 from pixelframe.plans.queries_prep import prepared, weighted
@@ -215,6 +215,46 @@ def test_settled_fits_stand_for_more_iterations(weighted_train, method, monkeypa
     assert set(fits[:-1]) == {3}  # label, weight, normFeatures: nothing else is kept for the fits
 
 
+@pytest.mark.parametrize("parallelism", [1, 4])
+def test_deep_forests_stand_for_shallow_ones(weighted_train, parallelism, monkeypatch):
+    """One fit for each number of trees; the metrics are those of a fit for every depth."""
+    pipe, est = staged_estimator("forest", FEATURES, prep.WEIGHT_COL)
+    maps = TU.param_grid(est, {"maxDepth": [2, 9, 4], "numTrees": [3, 5]})
+    plain, fits = RandomForestClassifier._fit, []
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, data: fits.append(self.getMaxDepth()) or plain(self, data))
+    got = TU.cross_validation_search(pipe, maps, TU.auc_evaluator(), weighted_train, F2_KEYS, 2, parallelism)
+    assert sorted(fits[:-1]) == [9] * 4 and len(fits) == 5  # two folds; the refit
+    monkeypatch.setattr(forests, "holds", lambda *a: False)
+    want = TU.cross_validation_search(pipe, maps, TU.auc_evaluator(), weighted_train, F2_KEYS, 2, parallelism)
+    assert len(fits) == 5 + 13 and got.metrics == pytest.approx(want.metrics, abs=1e-12) and len(set(want.metrics)) > 3
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 6])
+def test_a_cut_forest_is_the_shallow_one(weighted_train, depth):
+    pipe, est = staged_estimator("forest", FEATURES, prep.WEIGHT_COL)
+    rows = pipe.getStages()[0].transform(weighted_train).cache()
+    trees = {est.numTrees: 6}
+    deep, own = est.fit(rows, {est.maxDepth: 8, **trees}), est.fit(rows, {est.maxDepth: depth, **trees})
+    got = forests.cut(est, {est.maxDepth: depth, **trees}, deep)
+    assert forests.holds(est, {est.maxDepth: depth, **trees}, deep)
+    assert [(t.numNodes, t.depth) for t in got.trees] == [(t.numNodes, t.depth) for t in own.trees]
+    assert got.uid == own.uid and got.getMaxDepth() == depth and got.getNumTrees == 6
+    assert got.featureImportances.toArray() == pytest.approx(own.featureImportances.toArray(), abs=1e-12)
+    a, b = (map_scores([m], rows).toPandas()["score"] for m in (got, own))
+    assert np.allclose(a, b, atol=1e-12)
+    # not where a level to be split may be several groups of nodes, nor from a shallower forest, nor for other models
+    small = {est.maxDepth: 6, **trees, est.maxMemoryInMB: 0}
+    assert not forests.holds(est, small, deep) and not forests.holds(est, {est.maxDepth: 9}, deep)
+    assert not forests.holds(LogisticRegression(), {}, deep)
+
+
+def test_fits_at_once_follow_the_tasks(spark, train):
+    """Fits whose stages fill all cores by themselves run one at a time: each holds the rows again."""
+    cores = spark.sparkContext.defaultParallelism
+    got = [TU.fits_at_once(train.repartition(n, "l_orderkey"), 4) for n in (1, 2 * cores, 4 * cores, 8 * cores, 30 * cores)]
+    assert got == [4, 4, 2, 1, 1] and TU.fits_at_once(train.repartition(1), 1) == 1
+
+
 def test_last_stage_as_columns_equals_the_pipeline(spark, train):
     test = prep.hash_split(prepared(spark, SF_SMALL), F2_KEYS, 0.7)[1]
     pipe, _ = staged_estimator("linear", FEATURES)
