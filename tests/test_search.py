@@ -255,6 +255,27 @@ def test_fits_at_once_follow_the_tasks(spark, train):
     assert got == [4, 4, 2, 1, 1] and TU.fits_at_once(train.repartition(1), 1) == 1
 
 
+@pytest.mark.parametrize("method", ["tvs", "cv"])
+def test_large_forests_keep_no_node_of_every_row(weighted_train, method, monkeypatch):
+    """Where a fit fills all cores the node cache, several times the rows on disk, is off: the same metrics."""
+    pipe, est = staged_estimator("forest", FEATURES, prep.WEIGHT_COL)
+    maps = TU.param_grid(est, {"maxDepth": [3, 12], "numTrees": [4]})
+    rows = prep.by_key(weighted_train, F2_KEYS)
+    search = ((lambda: TU.train_validation_search(pipe, maps, TU.auc_evaluator(), rows, F2_KEYS)) if method == "tvs"
+              else lambda: TU.cross_validation_search(pipe, maps, TU.auc_evaluator(), rows, F2_KEYS, 2))
+    plain, caches = RandomForestClassifier._fit, []
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, data: caches.append(self.getCacheNodeIds()) or plain(self, data))
+    want = search()
+    assert set(caches) == {True}
+    caches.clear()
+    monkeypatch.setattr(TU, "WAVES", 1)
+    got = search()
+    assert set(caches) == {False} and len(caches) == (2 if method == "tvs" else 3)
+    assert got.metrics == pytest.approx(want.metrics, abs=1e-12)
+    assert got.best_model.stages[-1].totalNumNodes == want.best_model.stages[-1].totalNumNodes
+    assert pipe.getStages()[-1].getCacheNodeIds()
+
+
 def test_last_stage_as_columns_equals_the_pipeline(spark, train):
     test = prep.hash_split(prepared(spark, SF_SMALL), F2_KEYS, 0.7)[1]
     pipe, _ = staged_estimator("linear", FEATURES)
